@@ -155,3 +155,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared checkpoint folder, for tables written on the way."""
     ensure_checkpoint_dir(spark)
     return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
+PART_ROWS = 10_000
+
+
+def listed_in_parts(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str | Column],
+    item: Column,
+    name: str,
+    part_rows: int = PART_ROWS,
+) -> DataFrame:
+    """Collect the items of each group in order, in parts of at most ``part_rows``.
+
+    Nearly every group has the one part 0; a hot group has more rows, each of bounded size.
+    """
+    placed = with_group_position(df, keys, order, "_position", f"{name}_count")
+    return (
+        placed.withColumn("part", F.floor((F.col("_position") - 1) / part_rows).cast("int"))
+        .groupBy(*keys, "part", f"{name}_count")
+        .agg(F.sort_array(F.collect_list(F.struct("_position", item.alias("item")))).alias("_rows"))
+        .select(*keys, "part", f"{name}_count", F.col("_rows.item").alias(name))
+    )

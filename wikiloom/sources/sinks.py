@@ -5,22 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wikiloom.scale import listed_in_parts
+
 
 def manifest(pages: DataFrame, attachments: DataFrame) -> DataFrame:
-    """One review row per page: size of the body, number of attachments and their names."""
-    held = attachments.groupBy(F.col("content_id").alias("id")).agg(
-        F.count(F.lit(1)).alias("attachment_count"),
-        F.sort_array(
-            F.collect_list(F.struct(F.col("id").alias("id"), F.col("filename").alias("filename")))
-        ).alias("attachments"),
-    )
+    """One review row per page: size of the body, number of attachments and their names.
+
+    A page with very many attachments has further rows, counted by ``part``.
+    """
+    item = F.struct(F.col("id").alias("id"), F.col("filename").alias("filename"))
+    held = listed_in_parts(
+        attachments.select("content_id", "id", "filename").where("content_id IS NOT NULL"),
+        ["content_id"], ["id"], item, "attachments",
+    ).withColumnRenamed("content_id", "id")
     return pages.join(held, "id", "left").select(
         "id",
         "title",
         "parent_id",
         "version",
         F.coalesce(F.length("body"), F.lit(0)).alias("body_length"),
-        F.coalesce("attachment_count", F.lit(0)).alias("attachment_count"),
+        F.coalesce("part", F.lit(0)).alias("part"),
+        F.coalesce("attachments_count", F.lit(0)).alias("attachment_count"),
         F.coalesce("attachments", F.array()).alias("attachments"),
     )
 
