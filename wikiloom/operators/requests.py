@@ -125,14 +125,12 @@ def slow_streaks(log: DataFrame, limit: float = SLOW) -> DataFrame:
 
 
 def longest_streak(streaks: DataFrame) -> DataFrame:
-    """The longest run, the first among equals, and the request at which it became the longest.
-
-    A run is the longest so far from its first request on that beats all runs before it. That
-    request is the reported start.
-    """
+    """The longest run, the first among equals, with the requests that began and ended it."""
     best = F.min(F.struct((-F.col("length")).alias("_len"), "start", "start_label", "end_label"))
     return streaks.agg(best.alias("b")).where("b IS NOT NULL").select(
-        (-F.col("b._len")).alias("length"), F.col("b.start_label").alias("start_label")
+        (-F.col("b._len")).alias("length"),
+        F.col("b.start_label").alias("start_label"),
+        F.col("b.end_label").alias("end_label"),
     )
 
 
