@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wikiloom.operators.requests import PING_CRITICAL, PING_WARN
-from wikiloom.scale import with_index
+from wikiloom.scale import lookup, with_index
 
 # Fixed values
 NO_ANSWER_SECONDS = 20.0
@@ -50,11 +50,12 @@ def pause_changes(pings: DataFrame) -> DataFrame:
     every = with_index(rows, ["server", "ts"], "_all")
     failures = with_index(every.where(failed).select("server", "ts", "class", "_all"), ["_all"], "_bad")
     failures = failures.withColumn("_run", F.col("_all") - F.col("_bad"))
-    runs = failures.groupBy("server", "_run").agg(F.min("_all").alias("_first"))
-    # Long runs are spread by the index of their rows; the join key is the run.
-    placed = failures.join(runs, ["server", "_run"]).withColumn(
-        "_place", F.col("_all") - F.col("_first") + 1
+    runs = failures.groupBy("server", "_run").agg(
+        F.min("_all").alias("_first"), F.count(F.lit(1)).alias("_n")
     )
+    placed = lookup(
+        failures, runs.drop("_n"), ["server", "_run"], ["_all"], "inner", counts=runs
+    ).withColumn("_place", F.col("_all") - F.col("_first") + 1)
     limit = F.when(F.col("class") == "no answer", NO_ANSWER_LIMIT).otherwise(BAD_STATUS_LIMIT)
     by_failure = placed.where(F.col("_place") >= limit).select(
         "server", "ts", F.lit(True).alias("paused")
@@ -83,13 +84,12 @@ def outages(changes: DataFrame, pings: DataFrame) -> DataFrame:
         "server", (F.col("_at") - 1).alias("_at"), F.col("ts").alias("resumed")
     )
     last = pings.groupBy("server").agg(F.max("ts").alias("_last"))
+    begun = placed.where("paused").join(ends, ["server", "_at"], "left")
     rows = (
-        placed.where("paused")
-        .join(ends, ["server", "_at"], "left")
-        .join(last, "server")
+        lookup(begun, last, ["server"], ["_at"], "inner")
         .withColumn(
             "_seconds",
-            F.coalesce("resumed", "_last").cast("double") - F.col("ts").cast("double"),
+            (F.unix_micros(F.coalesce("resumed", "_last")) - F.unix_micros("ts")) / 1_000_000,
         )
         .where(F.col("resumed").isNotNull() | (F.col("_seconds") >= LONGEST_WAIT))
     )

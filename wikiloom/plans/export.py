@@ -14,7 +14,7 @@ from wikiloom.markup.convert import (
     page_text,
 )
 from wikiloom.operators import pages as page_ops, tree, versions as version_ops
-from wikiloom.scale import lookup
+from wikiloom.scale import landed, lookup
 from wikiloom.sources import export
 
 SIBLINGS = ["position", "_under", "seen"]
@@ -38,7 +38,7 @@ def export_revisions(objects: DataFrame, with_history: bool = True) -> DataFrame
     """One row per revision of each page, oldest first; parts above 0 continue a child list."""
     pages, bodies = export.export_pages(objects), export.export_bodies(objects)
     attachments = page_ops.kept_attachments(export.export_attachments(objects))
-    ordered = export_tree(pages)
+    ordered = landed(export_tree(pages), "tree")
     chosen = page_ops.chosen_bodies(pages, bodies).withColumnRenamed("page_id", "id")
     versions = page_ops.versions_of_pages(pages)
     if not with_history:
@@ -49,14 +49,13 @@ def export_revisions(objects: DataFrame, with_history: bool = True) -> DataFrame
     )
     facts = pages.select("id", F.col("title").alias("version_title"), "modified", "modifier")
     rows = placed.join(facts, "id").join(chosen, "id")
-    converted = convert_pages(rows, form="export")
     about = ordered.select(
         F.col("id").alias("page_id"), "wiki_title", "parent_title", "ord"
     )
-    placed_rows = lookup(converted, about, ["page_id"], ["id"], "inner")
     links = tree.child_links(ordered, SIBLINGS).withColumnRenamed("id", "page_id")
-    first_links = links.where("part = 0").drop("part")
-    with_links = lookup(placed_rows, first_links, ["page_id"], ["id"])
+    first_links = about.join(links.where("part = 0").drop("part"), "page_id", "left")
+    keyed = landed(lookup(rows, first_links, ["page_id"], ["id"], "inner"), "revisions")
+    with_links = convert_pages(keyed, form="export")
     text = page_text(F.col("version_title"), F.col("text"), F.col("child_text"), "export")
     single = F.col("total") == 1
     comment = F.when(single, export_page_comment(F.col("modifier"), F.col("modified"))).otherwise(

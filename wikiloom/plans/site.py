@@ -18,7 +18,7 @@ from wikiloom.markup.convert import (
 )
 from wikiloom.operators import mapping, pages as page_ops, tree, versions as version_ops
 from wikiloom.operators.links import page_images, page_map
-from wikiloom.scale import lookup
+from wikiloom.scale import landed, lookup
 
 
 @dataclass
@@ -57,7 +57,8 @@ def moved_pages(tables: SiteTables) -> tuple[DataFrame, DataFrame, DataFrame]:
 def revisions(tables: SiteTables, fmt: str = "markdown", newest: int = 0) -> DataFrame:
     """One row per page revision in push order: old versions from oldest to newest, then the page.
 
-    All bodies, old and current, go through one conversion.
+    All bodies, old and current, go through one conversion. They are written once beside their
+    keys, since finding link targets reads them several times.
     """
     moved, targets, mapped = moved_pages(tables)
     placed = version_ops.history(tables.versions.select("page_id", "number"))
@@ -78,14 +79,13 @@ def revisions(tables: SiteTables, fmt: str = "markdown", newest: int = 0) -> Dat
         F.col("id").alias("page_id"), "title", "wiki_title", "project", "parent_title", "push_ord"
     )
     bodies = old.withColumn("number", F.col("number").cast("int")).unionByName(now)
-    # Revision number -1 stands for the current body in the key.
-    keyed = lookup(bodies, about, ["page_id"], ["number", "is_current"], "inner").withColumn(
-        "_revision", F.coalesce("number", F.lit(-1))
-    )
-    linked = with_link_targets(keyed, ["page_id", "_revision"], targets, mapped)
-    converted = convert_pages(linked, fmt)
     children = tree.child_macro(moved.select("id", "parent_id")).withColumnRenamed("id", "page_id")
-    rows = lookup(converted, children, ["page_id"], ["_revision"])
+    spread = ["number", "is_current"]
+    keyed = lookup(bodies, about.join(children, "page_id", "left"), ["page_id"], spread, "inner")
+    # Revision number -1 stands for the current body in the key.
+    keyed = landed(keyed.withColumn("_revision", F.coalesce("number", F.lit(-1))), "revisions")
+    linked = with_link_targets(keyed, ["page_id", "_revision"], landed(targets, "targets"), mapped)
+    rows = convert_pages(linked, fmt)
     current = F.col("is_current")
     return rows.select(
         "project",

@@ -179,3 +179,10 @@ def listed_in_parts(
         .agg(F.sort_array(F.collect_list(F.struct("_position", item.alias("item")))).alias("_rows"))
         .select(*keys, "part", f"{name}_count", F.col("_rows.item").alias(name))
     )
+
+
+def landed(df: DataFrame, name: str) -> DataFrame:
+    """Write a table to the shared folder and read it back: later steps read only what they need."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -11,10 +11,15 @@ from wikiloom.scale import first_rows
 
 
 def read_objects(spark: SparkSession, path: str) -> DataFrame:
-    """All ``<object>`` rows in file order. Spark splits large files at the row tag."""
+    """All ``<object>`` rows in file order.
+
+    Bodies run over many lines, so a file is streamed by one task; exports of many spaces are many
+    files. What follows shuffles by id and is spread again.
+    """
     raw = (
         spark.read.format("xml")
         .option("rowTag", "object")
+        .option("multiLine", True)
         .schema(schemas.EXPORT_OBJECT)
         .load(path)
     )
@@ -26,7 +31,7 @@ def class_counts(objects: DataFrame) -> DataFrame:
 
 
 def _property(name: str) -> Column:
-    return F.filter("property", lambda p: p["_name"] == name)[0]
+    return F.get(F.filter("property", lambda p: p["_name"] == name), F.lit(0))
 
 
 def _value(name: str) -> Column:
@@ -35,7 +40,7 @@ def _value(name: str) -> Column:
 
 def _ref(name: str) -> Column:
     with_id = F.filter("property", lambda p: (p["_name"] == name) & p["id"].isNotNull())
-    return F.nullif(strip(with_id[0]["id"]["_VALUE"]), F.lit(""))
+    return F.nullif(strip(F.get(with_id, F.lit(0))["id"]["_VALUE"]), F.lit(""))
 
 
 def _refs(name: str) -> Column:

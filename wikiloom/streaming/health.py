@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from wikiloom.operators.health import (
@@ -43,7 +44,7 @@ class HealthProcessor(StatefulProcessor):
             last = None if last is None else pd.Timestamp(last)
         pings = pd.concat(list(rows)).sort_values("ts")
         out = []
-        for ts, kind in zip(pings["ts"], pings["class"]):
+        for ts, kind in zip(pings["ts"], pings["kind"]):
             if last is not None and ts <= last:
                 continue
             last = ts
@@ -78,7 +79,7 @@ def health_changes(pings: DataFrame, lateness: str = "10 minutes") -> DataFrame:
     return (
         classified_pings(pings)
         .withWatermark("ts", lateness)
-        .select("server", "ts", "class")
+        .select("server", "ts", F.col("class").alias("kind"))
         .groupBy("server")
         .transformWithStateInPandas(
             statefulProcessor=HealthProcessor(),
