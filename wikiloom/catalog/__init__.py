@@ -3,6 +3,7 @@
 from wikiloom.catalog import (  # noqa: F401
     landed,
     logs,
+    markup,
     movement,
     names,
     spaces,

@@ -564,10 +564,12 @@ _EXPORT = f"""
         UNION ALL
         SELECT page_id, place + 1, text, TRUE, 'Final version with attachments' FROM r
         WHERE is_last AND total > 1 AND page_id IN (SELECT page_id FROM held)),
-  t AS (SELECT id, conv_id, turn, known, 0 AS depth, [[position, conv_id]] AS path FROM k
+  t AS (SELECT id, conv_id, turn, known, 0 AS depth,
+               [{{'p': position, 'u': coalesce(parent_id, '')}}] AS path FROM k
         WHERE known IS NULL
         UNION ALL
-        SELECT k.id, k.conv_id, k.turn, k.known, t.depth + 1, list_append(t.path, [k.position, k.conv_id])
+        SELECT k.id, k.conv_id, k.turn, k.known, t.depth + 1, list_append(t.path,
+               {{'p': k.position, 'u': k.parent_id}})
         FROM t JOIN k ON k.known = t.id),
   o AS (SELECT *, row_number() OVER (ORDER BY depth, path) - 1 AS ord FROM t)
   SELECT a.page_id, 'Topic_' || o.conv_id || o.turn AS wiki_title, o.ord, a.position, 0 AS part, a.text,
@@ -576,7 +578,7 @@ _EXPORT = f"""
   FROM a JOIN o ON o.id = a.page_id LEFT JOIN o p ON p.id = o.known"""
 
 
-@query("plan_export_revisions")
+@query("plan_export_revisions", _EXPORT)
 def export_revisions(spark: SparkSession, sf: str) -> DataFrame:
-    """The whole import plan of an XML export; the push order follows the object order of the file."""
+    """The whole import plan of an XML export."""
     return export_plan.export_revisions(standins.export_objects(spark, sf))
