@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wikiloom.catalog import movement, standins
-from wikiloom.catalog.registry import SQL_WORDS, query, string, table, words
+from wikiloom.catalog.registry import SQL_WORDS, query, string, texts, words
 from wikiloom.markup.convert import convert_pages, with_link_targets
 from wikiloom.operators.links import page_map
 
@@ -51,7 +51,7 @@ def rule(name: str, body: str, expected: str, fmt: str = "markdown", form: str =
     """Register a query that converts ``body`` for every document."""
 
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        bodies = table(spark, sf, "documents").select("doc_id", _filled(body).alias("body"))
+        bodies = texts(spark, sf, "documents", "doc_id").select("doc_id", _filled(body).alias("body"))
         return convert_pages(bodies, fmt, form).select("doc_id", "text")
 
     query(name, f"SELECT doc_id, {_sql(expected)} AS text FROM documents")(run)
@@ -353,7 +353,7 @@ def _linked(spark: SparkSession, sf: str) -> DataFrame:
         '<a href="/display/EN/My+Page%20{id}?x=1">d</a> <a href="/display/zz/T">e</a> '
         '<a href="/rel/{id}">rel</a> <a href="//e.org">f</a> <a href="http://e.org/{id}"></a>'
     )
-    bodies = table(spark, sf, "documents").select(
+    bodies = texts(spark, sf, "documents", "doc_id").select(
         "doc_id", body.alias("body"), F.lit("p-en").alias("project")
     )
     spaces = movement._languages(spark, sf)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wikiloom.catalog import standins
-from wikiloom.catalog.registry import landed, query, string, table
+from wikiloom.catalog.registry import query, string, table, texts
 from wikiloom.functions.keys import wiki_title
 from wikiloom.operators import links as link_ops
 from wikiloom.operators import pages as page_ops
@@ -401,7 +401,7 @@ def storage_bodies(spark: SparkSession, sf: str) -> DataFrame:
         F.col("source"),
         F.lit(' </a><ac:structured-macro ac:name="toc"></ac:structured-macro>'),
     )
-    return table(spark, sf, "documents").select(F.col("doc_id").alias("page_id"), body.alias("body"))
+    return texts(spark, sf, "documents", "doc_id").select(F.col("doc_id").alias("page_id"), body.alias("body"))
 
 
 @query(
@@ -528,6 +528,10 @@ def site_uploads(spark: SparkSession, sf: str) -> DataFrame:
     return site_plan.page_uploads(site_tables(spark, sf))
 
 
+def _export(spark: SparkSession, sf: str) -> export_plan.ExportTables:
+    return export_plan.load_export(standins.export_objects(spark, sf))
+
+
 @query(
     "plan_export_uploads",
     f"""SELECT content_id AS page_id, id, CASE WHEN lang = 'es' THEN 't_' || doc_id || '.png'
@@ -539,7 +543,7 @@ def site_uploads(spark: SparkSession, sf: str) -> DataFrame:
           AND content_id IN (SELECT id FROM ({_CURRENT}))""",
 )
 def export_uploads(spark: SparkSession, sf: str) -> DataFrame:
-    return export_plan.export_uploads(standins.export_objects(spark, sf), _files(spark, sf))
+    return export_plan.export_uploads(_export(spark, sf), _files(spark, sf))
 
 
 _TOPIC = "'Topic_' || conv_id || turn"
@@ -581,4 +585,4 @@ _EXPORT = f"""
 @query("plan_export_revisions", _EXPORT)
 def export_revisions(spark: SparkSession, sf: str) -> DataFrame:
     """The whole import plan of an XML export."""
-    return export_plan.export_revisions(standins.export_objects(spark, sf))
+    return export_plan.export_revisions(_export(spark, sf))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wikiloom.catalog.registry import query, string, table
+from wikiloom.catalog.registry import query, string, table, texts
 from wikiloom.functions import keys
 from wikiloom.markup import convert
 from wikiloom.operators import requests
@@ -29,7 +29,7 @@ _FINISH = (
                100), '') AS identifier FROM documents""",
 )
 def p1(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").select(
+    return texts(spark, sf, "documents", "doc_id").select(
         "doc_id", keys.identifier(F.col("text")).alias("identifier")
     )
 
@@ -53,7 +53,7 @@ def p2(spark: SparkSession, sf: str) -> DataFrame:
     numbered = F.concat(
         (F.col("doc_id") % 100).cast("string"), F.lit("."), string("doc_id"), F.lit(".7 "), "text"
     )
-    return table(spark, sf, "documents").select(
+    return texts(spark, sf, "documents", "doc_id").select(
         "doc_id", keys.wiki_title(numbered).alias("wiki_title")
     )
 
@@ -64,7 +64,7 @@ def p2(spark: SparkSession, sf: str) -> DataFrame:
         "strip_accents(text)")} AS w FROM documents)""",
 )
 def p3(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").select(
+    return texts(spark, sf, "documents", "doc_id").select(
         "doc_id", keys.wiki_title_plain(F.col("text")).alias("wiki_title")
     )
 
@@ -76,7 +76,7 @@ def p3(spark: SparkSession, sf: str) -> DataFrame:
                      '_+', '_', 'g'), '_') AS s FROM documents)""",
 )
 def p4(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").select(
+    return texts(spark, sf, "documents", "doc_id").select(
         "doc_id", keys.file_name(F.concat("text", F.lit(".png"))).alias("filename")
     )
 
@@ -84,7 +84,7 @@ def p4(spark: SparkSession, sf: str) -> DataFrame:
 @query("p13_cdata_repair", "SELECT doc_id, replace(text, '. ', '.]]>') AS body FROM documents")
 def p13(spark: SparkSession, sf: str) -> DataFrame:
     damaged = F.replace("text", F.lit(". "), F.lit(".]] >"))
-    return table(spark, sf, "documents").select("doc_id", repair_cdata(damaged).alias("body"))
+    return texts(spark, sf, "documents", "doc_id").select("doc_id", repair_cdata(damaged).alias("body"))
 
 
 @query(
@@ -155,6 +155,6 @@ def p18(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("p19_fingerprint", "SELECT doc_id, left(md5(text), 12) AS fingerprint FROM documents")
 def p19(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").select(
+    return texts(spark, sf, "documents", "doc_id").select(
         "doc_id", keys.fingerprint(F.col("text")).alias("fingerprint")
     )

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wikiloom.scale import scratch_path
+from wikiloom.scale import scratch_path, spread_scan
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -30,6 +30,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """A table of long texts, for work that is bound by CPU rather than by reading."""
+    return spread_scan(table(spark, sf_dir, name), [key])
+
+
 def landed(df: DataFrame, name: str, form: str = "json") -> str:
     """Write a table into the shared folder, as the servers' responses would lie there."""
     path = scratch_path(df.sparkSession, name)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wikiloom.catalog.registry import string, table
+from wikiloom.catalog.registry import string, table, texts
 from wikiloom.scale import scratch_path
 from wikiloom.sources import export
 from wikiloom.sources import landed as sources
@@ -106,7 +106,7 @@ SQL_ENTRIES = """
 
 def site_pages(spark: SparkSession, sf: str) -> DataFrame:
     """Given pages, their language part of the path as space."""
-    pages = table(spark, sf, "pages")
+    pages = texts(spark, sf, "pages", "page_id")
     return pages.select(
         string("page_id").alias("id"),
         F.regexp_extract("html", "(?s)<title>(.*?)</title>", 1).alias("title"),
@@ -123,7 +123,7 @@ SQL_SITE_PAGES = r"""
 
 
 def bodies(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "pages").select(
+    return texts(spark, sf, "pages", "page_id").select(
         F.col("page_id"), F.col("html").alias("body")
     )
 
@@ -135,7 +135,7 @@ def linked_bodies(spark: SparkSession, sf: str) -> DataFrame:
     """
     link = r'<a href="/([^"]*)">([^<]*)</a>'
     target = (F.col("page_id") * 7 + 3).cast("string")
-    pages = table(spark, sf, "pages")
+    pages = texts(spark, sf, "pages", "page_id")
     by_id = F.regexp_replace(
         "html", link, F.concat(F.lit('<a href="/pages/viewpage.action?pageId='), target, F.lit('">$2</a>'))
     )

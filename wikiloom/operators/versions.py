@@ -90,41 +90,31 @@ def named_versions(placed: DataFrame, numbers: list[int]) -> DataFrame:
 def missing_numbers(versions: DataFrame, block: int = 10_000) -> DataFrame:
     """Numbers between the first and the last version of a page that it does not have.
 
-    A gap starts after a number whose successor is missing and ends before a number whose
-    predecessor is missing. In the order of (page, number) the i-th start and the i-th end belong
-    together. Long gaps are unrolled in blocks.
+    In the order of (page, number) each version is joined to its neighbour by the global index, so
+    the versions of one page may lie in any number of tasks. Long gaps are unrolled in blocks.
     """
     have = versions.select("page_id", F.col("number").cast("long").alias("number")).distinct()
-    ends = have.groupBy("page_id").agg(
-        F.min("number").alias("_first"), F.max("number").alias("_last"),
-        F.count(F.lit(1)).alias("_n"),
+    placed = with_index(have, ["page_id", "number"], "_at")
+    before = placed.select(
+        "page_id", (F.col("_at") + 1).alias("_at"), F.col("number").alias("_before")
     )
-    broken = ends.where(F.col("_last") - F.col("_first") + 1 > F.col("_n"))
-    inside = lookup(have, broken, ["page_id"], ["number"], "inner",
-                    counts=ends)
-    taken = have.select("page_id", F.col("number").alias("_next"))
-    starts = (
-        inside.where("number < _last")
-        .withColumn("_next", F.col("number") + 1)
-        .join(taken, ["page_id", "_next"], "left_anti")
-        .select("page_id", F.col("_next").alias("gap_from"))
-    )
-    stops = (
-        inside.where("number > _first")
-        .withColumn("_next", F.col("number") - 1)
-        .join(taken, ["page_id", "_next"], "left_anti")
-        .select("page_id", F.col("_next").alias("gap_to"))
+    gaps = (
+        placed.join(before, ["page_id", "_at"])
+        .where(F.col("number") > F.col("_before") + 1)
+        .select(
+            "page_id",
+            (F.col("_before") + 1).alias("_from"),
+            (F.col("number") - 1).alias("_to"),
+        )
     )
-    left = with_index(starts, ["page_id", "gap_from"], "_gap")
-    right = with_index(stops, ["page_id", "gap_to"], "_gap").drop("page_id")
-    blocks = left.join(right, "_gap").withColumn(
-        "_at", F.explode(F.sequence("gap_from", "gap_to", F.lit(block).cast("long")))
+    blocks = gaps.withColumn(
+        "_at", F.explode(F.sequence("_from", "_to", F.lit(block).cast("long")))
     )
     return blocks.select(
         "page_id",
-        F.explode(
-            F.sequence("_at", F.least(F.col("_at") + (block - 1), F.col("gap_to")))
-        ).alias("number"),
+        F.explode(F.sequence("_at", F.least(F.col("_at") + (block - 1), F.col("_to")))).alias(
+            "number"
+        ),
     )
 
 

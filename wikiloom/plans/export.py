@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,19 +30,38 @@ def export_tree(pages: DataFrame) -> DataFrame:
         wiki_title_plain(F.col("title")).alias("wiki_title"),
         F.coalesce("parent_id", F.lit("")).alias("_under"),
     )
+    current = landed(current, "current")
     paths = tree.tree_paths(current, SIBLINGS)
     ordered = tree.push_order(paths).select("id", "depth", "ord", F.col("parent_id").alias("_known"))
     rows = current.join(ordered, "id").withColumn("parent_id", F.col("_known")).drop("_known")
     return tree.with_parent_title(rows)
 
 
-def export_revisions(objects: DataFrame, with_history: bool = True) -> DataFrame:
+@dataclass
+class ExportTables:
+    """The three tables of an export, written once as columns: XML is slow to read again."""
+
+    pages: DataFrame
+    bodies: DataFrame
+    attachments: DataFrame
+
+
+def load_export(objects: DataFrame) -> ExportTables:
+    objects = landed(objects, "objects")
+    return ExportTables(
+        landed(export.export_pages(objects), "pages"),
+        landed(export.export_bodies(objects), "bodies"),
+        landed(export.export_attachments(objects), "attachments"),
+    )
+
+
+def export_revisions(tables: ExportTables, with_history: bool = True) -> DataFrame:
     """One row per revision of each page, oldest first; parts above 0 continue a child list."""
-    pages, bodies = export.export_pages(objects), export.export_bodies(objects)
-    attachments = page_ops.kept_attachments(export.export_attachments(objects))
+    pages, bodies = tables.pages, tables.bodies
+    attachments = page_ops.kept_attachments(tables.attachments)
     ordered = landed(export_tree(pages), "tree")
     chosen = page_ops.chosen_bodies(pages, bodies).withColumnRenamed("page_id", "id")
-    versions = page_ops.versions_of_pages(pages)
+    versions = landed(page_ops.versions_of_pages(pages), "versions")
     if not with_history:
         versions = versions.where("current")
     placed = version_ops.merged_history(
@@ -81,11 +102,11 @@ def export_revisions(objects: DataFrame, with_history: bool = True) -> DataFrame
     return main.unionByName(final).unionByName(more).drop("_again")
 
 
-def export_uploads(objects: DataFrame, files: DataFrame) -> DataFrame:
+def export_uploads(tables: ExportTables, files: DataFrame) -> DataFrame:
     """Files of the current pages with the path in the export; a null path is a missing file."""
-    pages = page_ops.current_pages(export.export_pages(objects))
+    pages = page_ops.current_pages(tables.pages)
     attachments = page_ops.attachments_of_pages(
-        page_ops.kept_attachments(export.export_attachments(objects)), pages
+        page_ops.kept_attachments(tables.attachments), pages
     )
     return export.bind_files(attachments, files).select(
         F.col("content_id").alias("page_id"),

@@ -43,15 +43,16 @@ def moved_pages(tables: SiteTables) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Pages of spaces with a project, with parents and push order; link targets; the space map."""
     mapped = mapping.space_map(tables.spaces, tables.projects, tables.entries)
     homes = mapping.with_project(mapped).join(tables.spaces.select("key", "ord"), "key")
-    targets = page_map(tables.pages, homes)
-    titled = tree.with_parent_from_ancestors(tables.pages).join(targets, "id")
-    parented = tree.with_parent_title(titled.drop("ancestors"))
-    paths = tree.tree_paths(parented, ["ord"])
-    in_space = paths.join(parented.select("id", "project"), "id")
-    ordered = tree.push_order(in_space, ["project"]).select(
+    # Titles are made once; what follows reads them many times.
+    targets = landed(page_map(tables.pages, homes), "targets")
+    rooted = tree.with_parent_from_ancestors(tables.pages).drop("ancestors", "space_key")
+    titled = landed(rooted.join(targets, "id"), "titled")
+    paths = tree.tree_paths(titled, ["ord"]).join(titled.select("id", "project"), "id")
+    ordered = tree.push_order(paths, ["project"]).select(
         "id", "depth", F.col("ord").alias("push_ord")
     )
-    return parented.join(ordered, "id"), targets, mapped
+    moved = tree.with_parent_title(titled).join(ordered, "id")
+    return landed(moved, "moved"), targets, mapped
 
 
 def revisions(tables: SiteTables, fmt: str = "markdown", newest: int = 0) -> DataFrame:
@@ -84,7 +85,7 @@ def revisions(tables: SiteTables, fmt: str = "markdown", newest: int = 0) -> Dat
     keyed = lookup(bodies, about.join(children, "page_id", "left"), ["page_id"], spread, "inner")
     # Revision number -1 stands for the current body in the key.
     keyed = landed(keyed.withColumn("_revision", F.coalesce("number", F.lit(-1))), "revisions")
-    linked = with_link_targets(keyed, ["page_id", "_revision"], landed(targets, "targets"), mapped)
+    linked = with_link_targets(keyed, ["page_id", "_revision"], targets, mapped)
     rows = convert_pages(linked, fmt)
     current = F.col("is_current")
     return rows.select(

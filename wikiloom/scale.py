@@ -186,3 +186,13 @@ def landed(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def spread_scan(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Deal out the rows of a file scan that has fewer splits than there are cores.
+
+    Parquet is split no finer than its row groups, too coarse for CPU-bound text work on small
+    tables. Large tables have splits enough and are left alone. Only for plain scans.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
