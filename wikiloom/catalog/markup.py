@@ -16,6 +16,7 @@ from wikiloom.catalog import movement, standins
 from wikiloom.catalog.registry import SQL_WORDS, query, string, texts, words
 from wikiloom.markup.convert import convert_pages, with_link_targets
 from wikiloom.operators.links import page_map
+from wikiloom.scale import landed
 
 _FIELDS = {
     "w": (lambda: words(F.col("text")), SQL_WORDS),
@@ -358,7 +359,7 @@ def _linked(spark: SparkSession, sf: str) -> DataFrame:
     )
     spaces = movement._languages(spark, sf)
     targets = page_map(standins.site_pages(spark, sf), spaces)
-    return with_link_targets(bodies, ["doc_id"], targets, spaces)
+    return with_link_targets(landed(bodies, "bodies"), ["doc_id"], targets, spaces)
 
 
 def _links_sql(textile: bool) -> str:
@@ -393,7 +394,63 @@ def c33_textile(spark: SparkSession, sf: str) -> DataFrame:
 rule("c33_links_export", '<a class="x" href="/r/{id}">{w}</a>', "[{w}](/r/{id})", form=E)
 
 
-@query("convert_pages_markdown")
+_SPACE = r"[\s\x1c-\x1f\x85\p{Z}]"
+# The rules that the given pages can meet, one after the other. Their links all stand in one list.
+
+
+def _page_sql(listing: str, heading: str, html: str = "html", source: str = "pages") -> str:
+    """Text of whole pages, ``listing`` being the lines of the link list per page."""
+    clean_up = [
+        "replace(replace(replace(%s, '&copy;', '©'), '&middot;', '·'), '&quot;', '\"')",
+        "regexp_replace(%s, '&amp;?', '&', 'g')",
+        r"regexp_replace(%s, '\n\n\n+', chr(10) || chr(10), 'g')",
+        r"regexp_replace(%s, '[ \t]+\n', chr(10), 'g')",
+        rf"regexp_replace(%s, '^{_SPACE}+|{_SPACE}+$', '', 'g')",
+    ]
+    text = (
+        rf"regexp_replace({html}, '(?s)<nav><ul>.*?</ul></nav>', chr(1))"
+    )
+    text = rf"regexp_replace({text}, '(?s)<h1>(.*?)</h1>', chr(10) || '{heading} ' || '\1' || chr(10), 'g')"
+    text = rf"regexp_replace({text}, '</?p>|<br>', chr(10), 'g')"
+    text = rf"regexp_replace({text}, '<[^>]+>', '', 'g')"
+    text = f"replace({text}, chr(1), coalesce(chr(10) || items || chr(10), ''))"
+    for step in clean_up:
+        text = step % text
+    return f"SELECT p.page_id, {text} AS text FROM {source} p LEFT JOIN ({listing}) USING (page_id)"
+
+
+def _link_title(text: str) -> str:
+    kept = rf"trim(regexp_replace(strip_accents({text}), '[^\p{{L}}\p{{N}}_\s-]', '', 'g'))"
+    words_of = rf"regexp_replace({kept}, '\s+', '_', 'g')"
+    return f"CASE WHEN {words_of} = '' THEN 'Untitled' ELSE left({words_of}, 255) END"
+
+
+_SHOWN = "replace(label, '&amp;', '&')"
+_MARKDOWN_LINK = f"""CASE class
+  WHEN 'page' THEN CASE WHEN t.project IS NULL THEN '[[' || {_link_title(_SHOWN)} || '|' || {_SHOWN} || ']]'
+    WHEN t.project <> 'p-en' THEN '{{{{wiki(' || t.project || ', ' || t.wiki_title || ', ' || {_SHOWN} || ')}}}}'
+    ELSE '[[' || t.wiki_title || '|' || {_SHOWN} || ']]' END
+  WHEN 'anchor' THEN '[' || {_SHOWN} || '](#' || trim(regexp_replace(regexp_replace({_SHOWN},
+    '[^\\p{{L}}\\p{{N}}_\\s-]', '', 'g'), '\\s+[\\s-]*', '-', 'g'), '-') || ')'
+  WHEN 'display' THEN '{{{{wiki(p-en, ' || {_link_title("replace(substr(href, 13), '+', ' ')")} || ', ' ||
+    {_SHOWN} || ')}}}}'
+  WHEN 'external' THEN '[' || {_SHOWN} || '](' || href || ')' ELSE {_SHOWN} END"""
+_MARKDOWN_LINK = _MARKDOWN_LINK.replace("\\\\", "\\")
+_LINKS_TO = f"""SELECT l.*, t.wiki_title, t.project FROM ({standins.SQL_LINKS}) l
+  LEFT JOIN ({movement._MAP}) t ON t.id = (l.page_id * 7 + 3)::VARCHAR"""
+_RAW_LINKS = r"""SELECT page_id, unnest(regexp_extract_all(html, '<a href="(/[^"]*)">([^<]*)</a>', 1)) AS href,
+  unnest(regexp_extract_all(html, '<a href="(/[^"]*)">([^<]*)</a>', 2)) AS label,
+  generate_subscripts(regexp_extract_all(html, '<a href="(/[^"]*)">([^<]*)</a>', 1), 1) AS pos FROM pages"""
+
+
+def _list_sql(mark: str, link_text: str, links: str) -> str:
+    return (
+        f"SELECT page_id, string_agg('{mark} ' || ({link_text}) || chr(10), '' ORDER BY pos) AS items "
+        f"FROM ({links}) t GROUP BY page_id"
+    )
+
+
+@query("convert_pages_markdown", _page_sql(_list_sql("-", _MARKDOWN_LINK, _LINKS_TO), "#"))
 def pages_markdown(spark: SparkSession, sf: str) -> DataFrame:
     """All given pages, with links resolved over all spaces."""
     spaces = movement._languages(spark, sf)
@@ -403,11 +460,14 @@ def pages_markdown(spark: SparkSession, sf: str) -> DataFrame:
     return convert_pages(linked).select("page_id", "text")
 
 
-@query("convert_pages_textile")
+@query("convert_pages_textile", _page_sql(_list_sql("*", _SHOWN, _RAW_LINKS), "h1."))
 def pages_textile(spark: SparkSession, sf: str) -> DataFrame:
     return convert_pages(standins.bodies(spark, sf), "textile").select("page_id", "text")
 
 
-@query("convert_pages_export")
+@query(
+    "convert_pages_export",
+    _page_sql(_list_sql("-", f"'[' || {_SHOWN} || '](' || href || ')'", _RAW_LINKS), "#"),
+)
 def pages_export(spark: SparkSession, sf: str) -> DataFrame:
     return convert_pages(standins.bodies(spark, sf), form="export").select("page_id", "text")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wikiloom.catalog import standins
+from wikiloom.catalog.names import sql_title
 from wikiloom.catalog.registry import query, string, table, texts
 from wikiloom.functions.keys import wiki_title
 from wikiloom.operators import links as link_ops
@@ -268,11 +269,7 @@ def _languages(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-_TITLE = r"""regexp_replace(trim(regexp_replace(strip_accents(title), '[^\p{L}\p{N}_\s\x85\p{Z}-]', '',
-    'g')), '[\s\x85\p{Z}]+', '_', 'g')"""
-_MAP = f"""
-  SELECT id, CASE WHEN {_TITLE} = '' THEN 'Untitled' ELSE left({_TITLE}, 255) END AS wiki_title,
-         'p-' || space_key AS project FROM ({standins.SQL_SITE_PAGES})"""
+_MAP = sql_title("title", "id, 'p-' || space_key AS project", f"({standins.SQL_SITE_PAGES})")
 
 
 def _seen_twice(spark: SparkSession, sf: str) -> DataFrame:

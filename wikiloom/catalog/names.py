@@ -44,10 +44,15 @@ _UNDOTTED = (
 )
 
 
+def sql_title(text: str, key: str, source: str) -> str:
+    """Columns ``key`` and the wiki title of ``text``."""
+    padded = _PADDED.format(_TITLE_WORDS.format(_UNDOTTED.format(text)))
+    return f"SELECT {key}, {_FINISH} AS wiki_title FROM (SELECT *, {padded} AS w FROM {source})"
+
+
 @query(
     "p2_wiki_title",
-    f"""SELECT doc_id, {_FINISH} AS wiki_title FROM (SELECT doc_id, {_PADDED.format(_TITLE_WORDS.format(
-        _UNDOTTED.format("doc_id % 100 || '.' || doc_id || '.7 ' || text")))} AS w FROM documents)""",
+    sql_title("doc_id % 100 || '.' || doc_id || '.7 ' || text", "doc_id", "documents"),
 )
 def p2(spark: SparkSession, sf: str) -> DataFrame:
     numbered = F.concat(

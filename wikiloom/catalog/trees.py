@@ -9,6 +9,7 @@ from wikiloom.catalog import standins
 from wikiloom.catalog.registry import query, string, table
 from wikiloom.functions.keys import wiki_title
 from wikiloom.operators import tree
+from wikiloom.scale import lookup, with_group_position
 
 N = standins.SQL_NODES
 # Wiki titles of the nodes, written down from their making: kind, padded number, 001, node.
@@ -42,7 +43,14 @@ def w6(spark: SparkSession, sf: str) -> DataFrame:
     return ordered(spark, sf)
 
 
-@query("w6_unreached_pages")
+@query(
+    "w6_unreached_pages",
+    f"""WITH RECURSIVE n AS (SELECT id, CASE id WHEN 'N1' THEN 'N6' WHEN 'N6' THEN 'N1' ELSE parent_id END
+                               AS parent_id, position, ord, title FROM ({N})),
+        t AS (SELECT id FROM n WHERE parent_id IS NULL OR parent_id NOT IN (SELECT id FROM n)
+              UNION ALL SELECT n.id FROM t JOIN n ON n.parent_id = t.id)
+        SELECT * FROM n WHERE id NOT IN (SELECT id FROM t)""",
+)
 def w6_unreached(spark: SparkSession, sf: str) -> DataFrame:
     """Nations of one region point at each other, so what hangs below them has no root."""
     nodes = standins.tree_nodes(spark, sf)
@@ -133,15 +141,17 @@ def j12_links(spark: SparkSession, sf: str) -> DataFrame:
     "p16_listing",
     f"""WITH o AS ({_ORDERED}), n AS ({_TITLED})
         SELECT o.ord, repeat('  ', depth) || n.wiki_title || ' [parent: ' ||
-               coalesce(p.wiki_title, '(root)') || ', body: ' || length(n.title) || 'b]' AS line
+               coalesce(p.title, '(root)') || ', body: ' || length(n.title) || 'b]' AS line
         FROM o JOIN n USING (id) LEFT JOIN n p ON p.id = o.parent_id WHERE o.ord < 30
         UNION ALL SELECT 30, '... and ' || (count(*) - 30) || ' more' FROM o""",
 )
 def p16(spark: SparkSession, sf: str) -> DataFrame:
-    pages = tree.with_parent_title(titled(spark, sf)).select(
-        "id", "wiki_title", "parent_title", F.length("title").alias("body_length")
+    pages = titled(spark, sf).select("id", "wiki_title", F.length("title").alias("body_length"))
+    parents = standins.tree_nodes(spark, sf).select(
+        F.col("id").alias("parent_id"), F.col("title").alias("parent_title")
     )
-    return tree.listing(ordered(spark, sf).join(pages, "id"))
+    rows = lookup(ordered(spark, sf).join(pages, "id"), parents, ["parent_id"], ["id"])
+    return tree.listing(rows)
 
 
 @query(
@@ -155,8 +165,6 @@ def p16(spark: SparkSession, sf: str) -> DataFrame:
        WHERE versions > 12 OR (number % 50 = 0 AND number < n)""",
 )
 def w9(spark: SparkSession, sf: str) -> DataFrame:
-    from wikiloom.scale import with_group_position
-
     customers = table(spark, sf, "customer").select(
         string("c_nationkey").alias("space"), F.col("c_custkey").alias("id")
     )

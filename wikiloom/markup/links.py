@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from wikiloom.functions.keys import file_name, heading_anchor
-from wikiloom.functions.text import drop_tags, group, has, rewrite, strip, url_unquote
+from wikiloom.functions.text import bind, drop_tags, group, has, rewrite, strip, url_unquote
 from wikiloom.markup.macros import attribute, from_map, text
 from wikiloom.markup.marks import title_mark
 from wikiloom.markup.nesting import innermost
@@ -210,8 +210,13 @@ def shown_links(
     no_text = F.lit(None).cast("string")
 
     def replace(tag: Column) -> Column:
-        href = group(tag, LINK, 1)
-        label = _or(label_text(group(tag, LINK, 2)), href)
+        label = label_text(group(tag, LINK, 2))
+        return bind(
+            group(tag, LINK, 1),
+            lambda href: bind(_or(label, href), lambda shown: made(href, shown)),
+        )
+
+    def made(href: Column, label: Column) -> Column:
         if fmt == "textile":
             outside = text('"', label, '":', href)
             jump = text('"', label, '":#', heading_anchor(label))

@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from wikiloom.functions.keys import file_name
-from wikiloom.functions.text import group, has, one_line, rewrite, strip, sub
+from wikiloom.functions.text import bind, group, has, one_line, rewrite, strip, sub
 from wikiloom.markup.marks import (
     COLUMN_CLOSE,
     COLUMN_OPEN,
@@ -156,9 +156,15 @@ def _quote(lines: Column) -> Column:
     return F.replace(quoted, F.lit(NEWLINE_MARK), F.lit(NEWLINE_MARK + armoured("> ")))
 
 
+def _macro_name(macro: Column) -> Column:
+    return group(macro, r'^<ac:structured-macro[^>]*ac:name="([^"]*)"')
+
+
 def _site_macro(fmt: str):
     def replace(macro: Column) -> Column:
-        name = group(macro, r'^<ac:structured-macro[^>]*ac:name="([^"]*)"')
+        return bind(_macro_name(macro), lambda name: by_name(macro, name))
+
+    def by_name(macro: Column, name: Column) -> Column:
         title = parameter(macro, "title")
         content = rich_body(macro)
 
@@ -290,7 +296,10 @@ def _site_macro(fmt: str):
 
 
 def _export_macro(macro: Column) -> Column:
-    name = group(macro, r'^<ac:structured-macro[^>]*ac:name="([^"]*)"')
+    return bind(_macro_name(macro), lambda name: _export_by_name(macro, name))
+
+
+def _export_by_name(macro: Column, name: Column) -> Column:
     content = rich_body(macro)
     page = attribute(macro, "ri:content-title")
     include = F.when(

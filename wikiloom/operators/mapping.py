@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wikiloom.functions.keys import identifier
+from wikiloom.scale import lookup
 
 
 def without_spaces(spaces: DataFrame, excluded: DataFrame) -> DataFrame:
@@ -64,11 +65,13 @@ def space_map(spaces: DataFrame, projects: DataFrame, entries: DataFrame | None)
             .withColumn("_mapped", F.coalesce("_exact", "_by_upper"))
         )
 
-    def exists(df: DataFrame, column: str, flag: str) -> DataFrame:
+    def exists(df: DataFrame, column: str, flag: str, shared: bool = False) -> DataFrame:
         found = known.select(F.col("_id").alias(column), F.lit(True).alias(flag))
-        return df.join(found, column, "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
+        joined = lookup(df, found, [column], ["key"]) if shared else df.join(found, column, "left")
+        return joined.withColumn(flag, F.coalesce(flag, F.lit(False)))
 
-    checked = exists(mapped, "_mapped", "_has_mapped")
+    # Many spaces may go to one mapped project; the other names come from the space's own key.
+    checked = exists(mapped, "_mapped", "_has_mapped", shared=True)
     checked = exists(checked, "_lower", "_has_lower")
     checked = exists(checked, "_clean", "_has_clean")
     by_map = F.col("_mapped").isNotNull()
@@ -210,16 +213,18 @@ def project_plan(entries: DataFrame, projects: DataFrame) -> DataFrame:
         F.col("name").alias("parent"), F.col("action").alias("_parent_action")
     )
     # A skipped subproject does not take its identifier from a later one.
-    sub_rows = subs.join(parent_action, "parent")
+    sub_rows = lookup(subs, parent_action, ["parent"], ["row_no"], "inner")
     first = (
         sub_rows.where("_parent_action <> 'skip'")
         .groupBy("identifier")
         .agg(F.min("row_no").alias("_first"))
     )
-    subs = (
-        sub_rows.join(by_id, "identifier", "left")
+    known = (
+        first.join(by_id, "identifier", "full")
         .join(created_parents, "identifier", "left")
-        .join(first, "identifier", "left")
+    )
+    subs = (
+        lookup(sub_rows, known, ["identifier"], ["row_no"])
         .withColumn(
             "action",
             F.when(

@@ -132,9 +132,9 @@ def sorted_pages(pages: DataFrame) -> DataFrame:
 
 
 def listing(ordered: DataFrame, rows: int = 30) -> DataFrame:
-    """Dry-run lines of the first pages in push order, and one line that counts the rest.
+    """Dry-run lines of the first pages of a space in push order, and one line for the rest.
 
-    ``ordered`` holds ``ord, depth, wiki_title, parent_title, body_length``.
+    ``ordered`` holds ``ord, depth, wiki_title, parent_title`` (as written) and ``body_length``.
     """
 
     def text(column: str) -> Column:
