@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wikiloom.catalog import standins
-from wikiloom.catalog.registry import landed, query, string, table
+from wikiloom.catalog.registry import land, query, string, table
+from wikiloom.scale import scratch_path
 from wikiloom.sources import landed as read
 
 PAGE_SIZE = 25
@@ -30,7 +31,7 @@ def _responses(df: DataFrame, number: Column, item: Column, *keep: str) -> DataF
 def s1(spark: SparkSession, sf: str) -> DataFrame:
     spaces = standins.spaces(spark, sf)
     item = F.struct("key", "name", "type")
-    return read.read_spaces(spark, landed(_responses(spaces, F.col("ord"), item), "spaces"))
+    return read.read_spaces(spark, land(_responses(spaces, F.col("ord"), item), "spaces"))
 
 
 @query(
@@ -54,7 +55,7 @@ def s2(spark: SparkSession, sf: str) -> DataFrame:
         F.when(other, F.slice("results", 1, 0)).otherwise(F.col("results")).alias("results"),
         F.when(other, F.struct("results")).alias("page"),
     )
-    return read.read_pages(spark, landed(shaped, "pages")).select(
+    return read.read_pages(spark, land(shaped, "pages")).select(
         "id", "title", "version.number", F.length("body.view.value").alias("size"), "ord"
     )
 
@@ -77,8 +78,8 @@ def s3(spark: SparkSession, sf: str) -> DataFrame:
     listing = shape.where("o_orderstatus <> 'P'").select("start", item("listed"))
     below = shape.select("start", string("o_custkey").alias("parent_id"), item("found"))
     again = shape.select((F.col("start") + 1).alias("start"), F.lit("z").alias("parent_id"), item("again"))
-    pages = read.read_pages(spark, landed(listing, "listing"))
-    children = read.read_child_pages(spark, landed(below.unionByName(again), "children"))
+    pages = read.read_pages(spark, land(listing, "listing"))
+    children = read.read_child_pages(spark, land(below.unionByName(again), "children"))
     return read.complete_pages(pages, children).select("id", "title")
 
 
@@ -96,7 +97,7 @@ def s4(spark: SparkSession, sf: str) -> DataFrame:
         F.concat(F.lit("m"), string("turn")).alias("message"),
         F.struct(F.col("role").alias("displayName")).alias("by"),
     )
-    path = landed(_responses(turns, F.col("turn"), item, "page_id"), "versions")
+    path = land(_responses(turns, F.col("turn"), item, "page_id"), "versions")
     return read.read_versions(spark, path).orderBy("page_id", "number")
 
 
@@ -116,7 +117,7 @@ def s5(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("2024-01-01").alias("when"),
         F.struct(F.concat(F.lit("a"), string("n")).alias("displayName")).alias("by"),
     )
-    path = landed(latest.select("page_id", last.alias("lastUpdated")), "history")
+    path = land(latest.select("page_id", last.alias("lastUpdated")), "history")
     return read.versions_from_latest(read.read_latest_versions(spark, path))
 
 
@@ -138,7 +139,7 @@ def s6(spark: SparkSession, sf: str) -> DataFrame:
             "body"
         ),
     )
-    return read.read_version_bodies(spark, landed(responses, "bodies")).drop("when")
+    return read.read_version_bodies(spark, land(responses, "bodies")).drop("when")
 
 
 @query(
@@ -157,7 +158,7 @@ def s7(spark: SparkSession, sf: str) -> DataFrame:
     responses = part.select(
         string("p_partkey").alias("page_id"), F.lit(0).alias("start"), F.array(item).alias("results")
     )
-    return read.read_attachments(spark, landed(responses, "attachments"))
+    return read.read_attachments(spark, land(responses, "attachments"))
 
 
 @query(
@@ -177,7 +178,7 @@ def s8(spark: SparkSession, sf: str) -> DataFrame:
     responses = _responses(supplier, F.col("s_suppkey"), item).select(
         F.col("start").alias("offset"), F.col("results").alias("projects")
     )
-    return read.read_projects(spark, landed(responses, "projects"))
+    return read.read_projects(spark, land(responses, "projects"))
 
 
 @query(
@@ -189,16 +190,9 @@ def s8(spark: SparkSession, sf: str) -> DataFrame:
 def s9(spark: SparkSession, sf: str) -> DataFrame:
     """The sheet as CSV; its column names are kept for the first three, the last is found by place."""
     sheet = standins.sheet(spark, sf).withColumnRenamed("wiki_keys", "Spaces")
-    path = scratch_csv(sheet)
+    path = scratch_path(spark, "sheet")
+    sheet.write.option("header", True).csv(path)
     return read.read_mapping(spark, path).select(
         "row_no", "parent", "subproject", F.array_join("jira_keys", " ").alias("jira_keys"),
         F.array_join("wiki_keys", " ").alias("wiki_keys"), "identifier",
     )
-
-
-def scratch_csv(sheet: DataFrame) -> str:
-    from wikiloom.scale import scratch_path
-
-    path = scratch_path(sheet.sparkSession, "sheet")
-    sheet.write.option("header", True).csv(path)
-    return path

@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from wikiloom.catalog import standins
 from wikiloom.catalog.names import sql_title
-from wikiloom.catalog.registry import query, string, table, texts
-from wikiloom.functions.keys import wiki_title
+from wikiloom.catalog.registry import query, string, table, texts, words
 from wikiloom.operators import links as link_ops
 from wikiloom.operators import pages as page_ops
 from wikiloom.plans import export as export_plan
@@ -382,8 +381,6 @@ def u1(spark: SparkSession, sf: str) -> DataFrame:
 
 def storage_bodies(spark: SparkSession, sf: str) -> DataFrame:
     """Documents in storage form: macros, mentions and headings around the text's words."""
-    from wikiloom.catalog.registry import words
-
     body = F.concat(
         F.lit('<ac:structured-macro ac:name="toc"/><ac:structured-macro ac:name="src-'),
         F.col("lang"),

@@ -35,7 +35,7 @@ def texts(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
     return spread_scan(table(spark, sf_dir, name), [key])
 
 
-def landed(df: DataFrame, name: str, form: str = "json") -> str:
+def land(df: DataFrame, name: str, form: str = "json") -> str:
     """Write a table into the shared folder, as the servers' responses would lie there."""
     path = scratch_path(df.sparkSession, name)
     df.write.format(form).save(path)

@@ -1,6 +1,7 @@
 """Macro rules: what each structured macro becomes, per input form and target format.
 
 All rules work on one innermost macro at a time, so a macro's body holds converted text already.
+The texts and macro calls put out are fixed values of the target wiki.
 """
 
 from __future__ import annotations

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000
-SALTS = 64
+_NULL_SALTS = 1 << 20
 _ROW_BITS = 33  # monotonically_increasing_id keeps the partition number above this bit
 
 
@@ -52,10 +52,10 @@ def lookup(
 ) -> DataFrame:
     """Join ``left`` to ``right``, which holds one row per key, safely for hot keys of ``left``.
 
-    Keys with more than ``hot_rows`` rows in ``left`` are salted over ``SALTS`` tasks by a hash of
-    the ``spread`` columns, and only their rows of ``right`` are copied. The table of hot keys has
-    at most ``count(left) / hot_rows`` rows, which bounds the broadcast. ``counts`` (the key and
-    ``_n``) saves the count when the caller has it.
+    Keys with more than ``hot_rows`` rows in ``left`` are salted by a hash of the ``spread``
+    columns, into so many pieces that each has about ``hot_rows`` rows, and only their rows of
+    ``right`` are copied. The table of hot keys has at most ``count(left) / hot_rows`` rows, which
+    bounds the broadcast. ``counts`` (the key and ``_n``) saves the count when the caller has it.
     """
     on = list(on)
     if counts is None:
@@ -63,24 +63,25 @@ def lookup(
     hot = (
         counts.where(F.col("_n") > hot_rows)
         .where(" AND ".join(f"`{c}` IS NOT NULL" for c in on))
-        .select(*on, F.lit(True).alias("_hot"))
+        .select(*on, F.ceil(F.col("_n") / hot_rows).cast("int").alias("_salts"))
     )
     hot = F.broadcast(hot)
-    salt = F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int")
+    place = F.xxhash64(*spread)
     # Null keys match nothing; spreading them keeps an outer join from piling them up.
     no_key = F.lit(False)
     for c in on:
         no_key = no_key | F.col(c).isNull()
-    salted_left = left.join(hot, on, "left").withColumn(
-        "_salt", F.when(F.col("_hot") | no_key, salt).otherwise(F.lit(0))
+    salt = F.when(no_key, F.pmod(place, F.lit(_NULL_SALTS))).otherwise(
+        F.pmod(place, F.coalesce("_salts", F.lit(1)))
     )
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(
-        F.array(F.lit(0))
-    )
-    salted_right = (
-        right.join(hot, on, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
+    pieces = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
+    salted_left = left.join(hot, on, "left").withColumn("_salt", salt.cast("int"))
+    salted_right = right.join(hot, on, "left").withColumn("_salt", F.explode(pieces))
+    return (
+        salted_left.drop("_salts")
+        .join(salted_right.drop("_salts"), [*on, "_salt"], how)
+        .drop("_salt")
     )
-    return salted_left.drop("_hot").join(salted_right, [*on, "_salt"], how).drop("_salt")
 
 
 def with_index(df: DataFrame, order: Sequence[str | Column], name: str = "idx") -> DataFrame:
