@@ -12,10 +12,12 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from wikiloom.llm.cqf import exact_groups  # noqa: E402
 from wikiloom.llm.jaccard_join import jaccard_components  # noqa: E402
+from wikiloom.llm.outliers import quality  # noqa: E402
+from wikiloom.llm.pii import personal_data, redacted  # noqa: E402
 from wikiloom.llm.token_queries import packed  # noqa: E402
 from wikiloom.scale import landed  # noqa: E402
 
-# Rejection in one stage and a hash over ids in another are not SQL; tests compare with brute force.
+# Robust estimates, hashed shingles and token ids are not SQL; tests compare with brute force.
 ORACLE_SQL = None
 
 
@@ -25,6 +27,11 @@ def _kept(docs: DataFrame, keep: DataFrame) -> DataFrame:
     return docs.join(keep, docs["doc_id"].eqNullSafe(keep["_keep"]), "left_semi")
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the limits or the outlier test reject go."""
+    return _kept(docs, quality(docs).where("kept"))
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the smallest id stays."""
     return _kept(docs, exact_groups(docs).where("kept"))
@@ -36,14 +43,31 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _kept(docs, groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))))
 
 
+def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data in texts is replaced by its kind in brackets; n_chars is counted anew."""
+    spans = personal_data(docs).where(F.size("spans") > 0)
+    spans = landed(spans.select(F.col("doc_id").alias("_id"), "spans"), "pipeline-spans")
+    spans = spans.dropDuplicates(["_id"])
+    both = docs.join(spans, docs["doc_id"].eqNullSafe(spans["_id"]), "left")
+    clean = redacted(F.col("text"), F.col("spans"))
+    text = F.when(F.col("spans").isNotNull(), clean).otherwise(F.col("text"))
+    both = both.withColumn("text", text)
+    if "n_chars" in docs.columns:
+        chars = F.length("text").cast(docs.schema["n_chars"].dataType)
+        both = both.withColumn("n_chars", F.when(F.col("spans").isNotNull(), chars).otherwise(F.col("n_chars")))
+    return both.select(*docs.columns)
+
+
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences, with each piece's place and checksum."""
     return packed(docs)
 
 
 STAGES = [
+    ("quality rules", quality_rules),
     ("exact dedup", exact_dedup),
     ("n-gram Jaccard join", near_dedup),
+    ("PII", redact),
     ("packing", packing),
 ]
 
