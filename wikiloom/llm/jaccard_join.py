@@ -18,7 +18,8 @@ in three steps, each exact: no pair within the radius is lost.
    radius cannot be linked. What is left, the points outside the ball and those of the ball in the
    window that the triangle inequality leaves, is cut into blocks of bounded size, which are
    joined recursively around pivots of their own (``near_pairs``), on count vectors whose distance
-   never exceeds that of the sets. The pairs that are left are compared exactly.
+   never exceeds that of the sets. The pairs that are left are compared exactly: first those
+   that connect points, then, from the components these links give, all that lie between two.
 
 Hot regions are never gathered: the pivot is a minimum, members are joined to it (Spark splits
 skewed joins), and blocks hold BLOCK rows each.
@@ -43,7 +44,8 @@ from wikiloom.llm.shingles import mix, shingle_sets
 from wikiloom.scale import landed, lookup
 
 SHELL_RATIO = 1.3
-BUCKETS = 256
+BUCKETS = 1024
+FOLD = 4
 BLOCK = 512
 LEAF = 64
 _PART, _SHELL, _CONTENT = (np.uint64(c) for c in (1000003, 0x51ED270B7A1B, 0x77))
@@ -124,17 +126,21 @@ def counts_of(points: np.ndarray) -> bytes:
 
 
 def near_pairs(
-    vectors: np.ndarray, sizes: np.ndarray, groups: np.ndarray, percent: int
+    vectors: np.ndarray, sizes: np.ndarray, groups: np.ndarray, percent: int, forest: bool = False
 ) -> np.ndarray:
     """Pairs of rows that may be within the radius, by recursion around pivots.
 
     ``vectors`` are bucket counts with the sum of differences as the metric. Around a pivot the rows
     are halved by distance; a pair over the middle needs both ends in the window around it. Rows of
-    one group are not paired.
+    one group are not paired. With ``forest`` a pair joins its rows' groups, so of the pairs only as
+    many are given as it takes to connect their rows. Buckets are folded first, which brings vectors only closer; the whole
+    vectors decide about pairs that are left.
     """
     found: list[np.ndarray] = []
-    vectors = vectors.astype(np.int16)
+    whole = vectors.astype(np.int16)
+    vectors = whole.reshape(len(whole), -1, FOLD).sum(axis=2, dtype=np.int16)
     share = 2 * (100 - percent) / (100 + percent)
+    groups = groups.copy()
 
     def compare(a: np.ndarray, b: np.ndarray | None) -> None:
         for at, row in enumerate(a.tolist()):
@@ -145,8 +151,16 @@ def near_pairs(
             if len(rest):
                 apart = np.abs(vectors[rest] - vectors[row]).sum(axis=1)
                 close = (100 + percent) * apart <= (100 - percent) * (sizes[rest] + sizes[row])
-                if close.any():
-                    hit = rest[close]
+                hit = rest[close]
+                if len(hit):
+                    apart = np.abs(whole[hit] - whole[row]).sum(axis=1)
+                    close = (100 + percent) * apart <= (100 - percent) * (sizes[hit] + sizes[row])
+                    hit = hit[close]
+                if forest and len(hit):
+                    joined, first = np.unique(groups[hit], return_index=True)
+                    hit = hit[first]
+                    groups[np.isin(groups, joined)] = groups[row]
+                if len(hit):
                     found.append(np.stack([np.full(len(hit), row), hit], axis=1))
 
     def split(rows: np.ndarray) -> None:
@@ -239,10 +253,10 @@ def measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
-def block_pairs(rows: DataFrame, percent: int) -> DataFrame:
+def block_pairs(rows: DataFrame, percent: int, forest: bool) -> DataFrame:
     """Candidate pairs a, b within blocks of rows (block, point, part, n, counts, grp).
 
-    A block has the parts 0 and 1, or 0 only; with two, pairs go between them.
+    A block has the parts 0 and 1, or 0 only; with two, pairs go between them, unless ``forest``.
     """
     ddl = "a long, b long"
     tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -254,8 +268,8 @@ def block_pairs(rows: DataFrame, percent: int) -> DataFrame:
         grp, sizes = rows["grp"].to_numpy(), rows["n"].to_numpy()
         part = rows["part"].to_numpy()
         vectors = np.frombuffer(b"".join(rows["counts"].to_pylist()), np.uint8).reshape(-1, BUCKETS)
-        hit = near_pairs(vectors, sizes, grp, percent)
-        if len(hit) and part.any():
+        hit = near_pairs(vectors, sizes, grp, percent, forest)
+        if len(hit) and part.any() and not forest:
             hit = hit[part[hit[:, 0]] != part[hit[:, 1]]]
         return np.sort(point[hit], axis=1) if len(hit) else np.empty((0, 2), dtype=np.int64)
     schema = arrow_schema(ddl)
@@ -322,17 +336,27 @@ def jaccard_components(
     links = star.where(linked).select("a", "b")
     balls = landed(components(links), "jaccard-balls")
     rest = rest_of_regions(members, star, balls, percent)
-    pairs = block_pairs(in_blocks(rest, sets), percent)
+    pairs = block_pairs(in_blocks(rest, sets), percent, forest=True)
     more = landed(measured(pairs, sets).where(linked).select("a", "b"), "jaccard-more")
 
-    # Links between balls join them.
+    # Links between balls join them. Nearly all candidates are links, so the pairs that connect them
+    # come first; then all candidates between what is still apart.
     ball = balls.select("vertex", "component")
 
     def to_ball(links: DataFrame, side: str) -> DataFrame:
         named = ball.select(F.col("vertex").alias(side), F.col("component").alias("_c"))
         return links.join(named, side, "left").withColumn(side, F.coalesce("_c", side)).drop("_c")
 
-    joined = components(to_ball(to_ball(more, "a"), "b"))
+    joined = landed(components(to_ball(to_ball(more, "a"), "b")), "jaccard-joined")
+    newer = joined.select(F.col("vertex").alias("grp"), F.col("component").alias("_c"))
+    apart = rest.join(newer, "grp", "left").withColumn("grp", F.coalesce("_c", "grp")).drop("_c")
+    apart = landed(apart, "jaccard-apart")
+    still = apart.groupBy("region").agg(F.min("grp").alias("_g"), F.max("grp").alias("_h"))
+    apart = apart.join(still.where("_g <> _h").select("region"), "region", "left_semi")
+    pairs = block_pairs(in_blocks(apart, sets), percent, forest=False)
+    last = landed(measured(pairs, sets).where(linked).select("a", "b"), "jaccard-last")
+    if not last.isEmpty():
+        joined = components(to_ball(to_ball(more.union(last), "a"), "b"))
     top = joined.select(F.col("vertex").alias("_ball"), F.col("component").alias("_top"))
     first = points.join(ball.withColumnRenamed("vertex", "point"), "point", "left")
     first = first.withColumn("_ball", F.coalesce("component", "point")).join(top, "_ball", "left")
@@ -388,7 +412,7 @@ def rest_of_regions(
     sizes = rows.groupBy("region").agg(
         F.count(F.lit(1)).alias("size"), F.min("grp").alias("_g"), F.max("grp").alias("_h")
     ).where("_g <> _h")
-    return rows.join(sizes.select("region", "size"), "region")
+    return landed(rows.join(sizes.select("region", "size"), "region"), "jaccard-sized")
 
 
 def in_blocks(rest: DataFrame, sets: DataFrame) -> DataFrame:
