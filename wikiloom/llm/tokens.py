@@ -11,9 +11,11 @@ import json
 import re
 from array import array
 
+import numpy as np
 from tokenizers import Tokenizer
 
-MEMO_PIECES = 400_000
+MEMO_PIECES = 500_000
+JOINED_WORDS = 64
 KEPT_LENGTH = 64
 
 # Places where neither supported pre-tokenizer joins: a letter before a sign or a line break, a sign
@@ -61,8 +63,36 @@ class Encoder:
         self.marks = [t["content"] for t in spec["added_tokens"]]
         self.kind = _kind(spec)
         self.memo, self.parts = Memo(), Memo()
+        self.plain = re.compile(rf"{' ' if self.kind == 'byte' else ''}[{_LETTER}]+")
+        vocab = self.library.get_vocab()
+        self.edges = np.zeros(max(vocab.values(), default=0) + 1, dtype=bool)
+        for token, i in vocab.items():
+            self.edges[i] = token.startswith("Ġ") if self.kind == "byte" else token.endswith("</w>")
 
     def _library(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts. Plain words are joined, as a long text costs the library less."""
+        plain = [t for t in texts if self.plain.fullmatch(t)] if self.kind != "whole" else []
+        known: dict[str, bytes] = {}
+        for at in range(0, len(plain), JOINED_WORDS):
+            words = plain[at : at + JOINED_WORDS]
+            joined = "".join(words) if self.kind == "byte" else " ".join(words)
+            known.update(zip(words, self._split(joined, len(words))))
+        rest = [t for t in texts if t not in known]
+        known.update(zip(rest, self._each(rest)))
+        return [known[t] for t in texts]
+
+    def _split(self, joined: str, words: int) -> list[bytes]:
+        """Ids of each of the words of a joined text, parted at the tokens that begin or end one."""
+        ids = self.library.encode_batch_fast([joined], add_special_tokens=False)[0].ids
+        ids = np.array(ids, dtype="<u4")
+        edges = np.flatnonzero(self.edges[ids])
+        edges = np.append(edges, len(ids)) if self.kind == "byte" else np.append(0, edges + 1)
+        if len(edges) != words + 1 or edges[0] != 0 or edges[-1] != len(ids):
+            raise ValueError("joined words do not part as expected")
+        data, at = ids.tobytes(), (edges * 4).tolist()
+        return [data[a:b] for a, b in zip(at[:-1], at[1:])]
+
+    def _each(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
