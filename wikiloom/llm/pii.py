@@ -153,9 +153,15 @@ def personal_data(docs: DataFrame, text: str = "text", key: str = "doc_id") -> D
     overlap = F.filter(
         "base", lambda b: (b["start"] < F.col("t.end")) & (b["end"] > F.col("t.start"))
     )
+    # The token in which a seed begins stands for the whole seed; its other tokens drop out.
     tokens = (
         marked.where("size(tokens) > 0").select("row", "base", F.explode("tokens").alias("t"))
-        .select("row", "t.left", "t.value", "t.start", "t.end", F.get(overlap, F.lit(0))["rank"].alias("rank"))
+        .select("row", "t", F.get(overlap, F.lit(0)).alias("b"))
+        .where("b is null or t.start <= b.start")
+        .select(
+            "row", "t.left", F.coalesce("b.value", "t.value").alias("value"), "t.start", "t.end",
+            F.col("b.rank").alias("rank"),
+        )
     )
     patterns = learn_patterns(tokens).withColumnRenamed("rank", "_rank")
     unseen = tokens.where(F.col("rank").isNull() & (F.col("left") != ""))
