@@ -134,6 +134,7 @@ def test_summary_and_verdict(spark):
     ]
     summary = requests.log_summary(spark.createDataFrame(rows, schema))
     r = summary.first()
+    assert r.wall_time == 0.0
     assert (r.requests, r.total_time, r.mean_response, r.max_response) == (5, 23.5, 4.7, 16.0)
     assert (r.baseline, r.final, r.degradation) == (0.5, 1.0, 2.0)
     assert (r.warnings, r.criticals, r.errors, r.pages, r.versions) == (1, 1, 2, 1, 2)

@@ -158,3 +158,32 @@ def test_payload_files(spark, tmp_path):
     )
     sinks.write_payload(rows, str(tmp_path / "out"))
     assert spark.read.parquet(str(tmp_path / "out")).count() == 50
+
+
+def test_payload_keeps_the_order_of_revisions(spark, tmp_path):
+    rows = spark.range(300).select(
+        F.lit("p").alias("project"), F.floor(F.col("id") / 100).alias("ord"),
+        F.when(F.col("id") % 100 > 0, 99 - F.col("id") % 100).alias("position"),
+    )
+    path = str(tmp_path / "ordered")
+    sinks.write_payload(rows.orderBy(F.desc("ord")), path)
+    files = spark.read.parquet(path).select("ord", "position", F.input_file_name().alias("f")).collect()
+    by_file = {}
+    for r in files:
+        by_file.setdefault(r["f"], []).append((r["ord"], 1000 if r["position"] is None else r["position"]))
+    assert len(files) == 300 and all(v == sorted(v) for v in by_file.values())
+
+
+def test_added_children_follow_the_listing(spark):
+    pages = spark.createDataFrame(
+        [("A", "p0", 0), ("A", "p1", 1), ("B", "q0", 0)], "space_key string, id string, ord long"
+    )
+    children = spark.createDataFrame(
+        [("A", "p1", "k1", 0), ("A", "p0", "k0", 1), ("A", "k0", "k2", 0), ("C", "z", "k3", 0), ("A", "p0", "p1", 0)],
+        "space_key string, parent_id string, id string, ord long",
+    )
+    got = {r["id"]: (r["space_key"], r["ord"]) for r in landed.complete_pages(pages, children).collect()}
+    assert got == {
+        "p0": ("A", 0), "p1": ("A", 1), "q0": ("B", 0), "k0": ("A", 2), "k1": ("A", 3), "k2": ("A", 4),
+        "k3": ("C", 0),
+    }

@@ -501,7 +501,7 @@ _SITE = f"""
 @query("plan_site_revisions", _SITE)
 def site_revisions(spark: SparkSession, sf: str) -> DataFrame:
     """The whole migration plan of a running wiki."""
-    return site_plan.revisions(site_tables(spark, sf)).drop("page_id", "push_ord")
+    return site_plan.revisions(site_tables(spark, sf)).drop("page_id", "push_ord", "position")
 
 
 @query("s16_wiki_payload", _SITE)
@@ -510,7 +510,7 @@ def s16(spark: SparkSession, sf: str) -> DataFrame:
     payload = site_plan.revisions(site_tables(spark, sf)).withColumnRenamed("push_ord", "ord")
     path = scratch_path(spark, "payload")
     sinks.write_payload(payload, path)
-    return spark.read.parquet(path).drop("page_id", "ord")
+    return spark.read.parquet(path).drop("page_id", "ord", "position")
 
 
 @query(

@@ -47,7 +47,7 @@ def pause_changes(pings: DataFrame) -> DataFrame:
     """
     rows = classified_pings(pings).select("server", "ts", "class")
     failed = F.col("class").isin("bad status", "no answer")
-    every = with_index(rows, ["server", "ts"], "_all")
+    every = with_index(rows, ["server", "ts", "class"], "_all")
     failures = with_index(every.where(failed).select("server", "ts", "class", "_all"), ["_all"], "_bad")
     failures = failures.withColumn("_run", F.col("_all") - F.col("_bad"))
     runs = failures.groupBy("server", "_run").agg(
@@ -58,12 +58,12 @@ def pause_changes(pings: DataFrame) -> DataFrame:
     ).withColumn("_place", F.col("_all") - F.col("_first") + 1)
     limit = F.when(F.col("class") == "no answer", NO_ANSWER_LIMIT).otherwise(BAD_STATUS_LIMIT)
     by_failure = placed.where(F.col("_place") >= limit).select(
-        "server", "ts", F.lit(True).alias("paused")
+        "server", "ts", "_all", F.lit(True).alias("paused")
     )
     by_answer = every.where(~failed).select(
-        "server", "ts", (F.col("class") == "critical").alias("paused")
+        "server", "ts", "_all", (F.col("class") == "critical").alias("paused")
     )
-    decisions = with_index(by_answer.unionByName(by_failure), ["server", "ts"], "_at")
+    decisions = with_index(by_answer.unionByName(by_failure), ["_all"], "_at").drop("_all")
     before = decisions.select(
         "server", (F.col("_at") + 1).alias("_at"), F.col("paused").alias("_before")
     )

@@ -68,7 +68,7 @@ def log_summary(log: DataFrame) -> DataFrame:
     """
     answered = F.col("http_status").isNotNull()
     time = F.when(answered, F.col("elapsed"))
-    place = F.struct("ts", "seq")
+    place, moment = F.struct("ts", "seq"), F.col("ts").cast("timestamp")
     kind, subject = parsed_label(F.col("label"))
     rows = log.withColumns({"_kind": kind, "_subject": subject, "_time": time, "_place": place})
     first = F.min_by("elapsed", "_place")
@@ -76,6 +76,7 @@ def log_summary(log: DataFrame) -> DataFrame:
     return rows.agg(
         F.count(F.lit(1)).alias("requests"),
         F.sum("_time").alias("total_time"),
+        ((F.unix_micros(F.max(moment)) - F.unix_micros(F.min(moment))) / 1_000_000).alias("wall_time"),
         (F.sum("_time") / F.count(F.lit(1))).alias("mean_response"),
         F.max("_time").alias("max_response"),
         first.alias("baseline"),

@@ -62,8 +62,8 @@ def unreached_pages(pages: DataFrame, paths: DataFrame) -> DataFrame:
 
 
 def push_order(paths: DataFrame, partition: Sequence[str] = ()) -> DataFrame:
-    """Breadth-first order: by depth, then by path. Every parent comes before its children."""
-    return with_index(paths, [*partition, "depth", "path"], "ord")
+    """Breadth-first order: by depth, then by path, then by id. Parents come before their children."""
+    return with_index(paths, [*partition, "depth", "path", "id"], "ord")
 
 
 def root_counts(pages: DataFrame) -> DataFrame:

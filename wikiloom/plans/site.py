@@ -47,8 +47,14 @@ def moved_pages(tables: SiteTables) -> tuple[DataFrame, DataFrame, DataFrame]:
     targets = landed(page_map(tables.pages, homes), "targets")
     rooted = tree.with_parent_from_ancestors(tables.pages).drop("ancestors", "space_key")
     titled = landed(rooted.join(targets, "id"), "titled")
-    paths = tree.tree_paths(titled, ["ord"]).join(titled.select("id", "project"), "id")
-    ordered = tree.push_order(paths, ["project"]).select(
+    # A space is finished before the next one of its project begins.
+    seen = lookup(
+        tables.pages.select("id", "space_key"),
+        homes.select(F.col("key").alias("space_key"), F.col("ord").alias("space_ord")),
+        ["space_key"], ["id"], "inner",
+    ).groupBy("id").agg(F.min("space_ord").alias("space_ord"))
+    paths = tree.tree_paths(titled, ["ord"]).join(titled.select("id", "project"), "id").join(seen, "id")
+    ordered = tree.push_order(paths, ["project", "space_ord"]).select(
         "id", "depth", F.col("ord").alias("push_ord")
     )
     moved = tree.with_parent_title(titled).join(ordered, "id")
@@ -93,6 +99,7 @@ def revisions(tables: SiteTables, fmt: str = "markdown", newest: int = 0) -> Dat
         "page_id",
         "wiki_title",
         "push_ord",
+        "position",
         "number",
         F.when(
             current, page_text(F.col("title"), F.col("text"), F.col("child_text"))

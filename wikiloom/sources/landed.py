@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from wikiloom import schemas
 from wikiloom.functions.keys import identifier
 from wikiloom.functions.text import SPACE, strip
-from wikiloom.scale import first_rows
+from wikiloom.scale import first_rows, lookup, with_index
 
 
 def _rows(responses: DataFrame, items: Column, offset: str, keep: list[str]) -> DataFrame:
@@ -36,12 +36,27 @@ def read_child_pages(spark: SparkSession, path: str) -> DataFrame:
 
 
 def complete_pages(pages: DataFrame, children: DataFrame) -> DataFrame:
-    """Add the child pages that the listing lacks, each id once, the first one seen."""
+    """Add the child pages that the listing lacks, each id once, the first one seen.
+
+    They follow the listed pages of their space, by the place of their parent, then their own.
+    """
     unseen = children.join(pages.select("id"), "id", "left_anti")
     # The same child may come from several responses: (ord, parent) tells them apart.
     unseen = unseen.withColumn("_seen", F.struct("ord", "parent_id"))
-    firsts = first_rows(unseen, ["id"], "_seen").drop("_seen", "parent_id")
-    return pages.unionByName(firsts)
+    firsts = first_rows(unseen, ["id"], "_seen").drop("_seen")
+    places = pages.groupBy(F.col("id").alias("parent_id")).agg(F.min("ord").alias("_parent"))
+    firsts = lookup(firsts, places, ["parent_id"], ["id"])
+    order = ["space_key", F.col("_parent").asc_nulls_last(), "ord", "id"]
+    placed = with_index(firsts, order, "_at")
+    starts = placed.groupBy("space_key").agg(F.min("_at").alias("_first"))
+    listed = pages.groupBy("space_key").agg(F.max("ord").alias("_last"))
+    shift = starts.join(listed, starts["space_key"].eqNullSafe(listed["space_key"]), "left").select(
+        starts["space_key"].alias("_space"),
+        (F.coalesce(F.col("_last"), F.lit(-1)) + 1 - F.col("_first")).alias("_shift"),
+    )
+    moved = placed.join(shift, placed["space_key"].eqNullSafe(shift["_space"]))
+    moved = moved.withColumn("ord", (F.col("_at") + F.col("_shift")).cast(pages.schema["ord"].dataType))
+    return pages.unionByName(moved.select(*pages.columns))
 
 
 def read_versions(spark: SparkSession, path: str) -> DataFrame:

@@ -35,13 +35,17 @@ def write_json(table: DataFrame, path: str) -> None:
 
 
 def write_payload(payload: DataFrame, path: str, form: str = "parquet") -> None:
-    """Page revisions in push order: files are ranges of (project, order), split by volume.
+    """Page revisions in push order, each page's from oldest to newest (its current row has no
+    position): files are ranges of that order, split by volume.
 
-    A project that holds most pages spans many files, so no task writes it alone.
+    A project that holds most pages, or a page that holds most revisions, spans many files.
     """
+    order = [F.col("project"), F.col("ord")]
+    if "position" in payload.columns:
+        order.append(F.col("position").asc_nulls_last())
     (
-        payload.repartitionByRange("project", "ord")
-        .sortWithinPartitions("project", "ord")
+        payload.repartitionByRange(*order)
+        .sortWithinPartitions(*order)
         .write.mode("overwrite")
         .partitionBy("project")
         .format(form)

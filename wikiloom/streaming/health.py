@@ -29,7 +29,8 @@ _STATE_SCHEMA = "failures int, paused boolean, paused_at timestamp, reported boo
 
 class HealthProcessor(StatefulProcessor):
     """Emits a ``change`` when a server pauses or resumes and an ``outage`` when a pause ends or
-    has lasted for the longest wait. Pings older than the last one seen are dropped."""
+    has lasted for the longest wait. Pings of equal time all count, in the order of their classes, as
+    in the batch operators. Pings older than the last one of an earlier micro-batch are dropped."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._state = handle.getValueState("health", _STATE_SCHEMA)
@@ -42,10 +43,10 @@ class HealthProcessor(StatefulProcessor):
             failures, paused, paused_at, reported, last = self._state.get()
             paused_at = None if paused_at is None else pd.Timestamp(paused_at)
             last = None if last is None else pd.Timestamp(last)
-        pings = pd.concat(list(rows)).sort_values("ts")
+        pings = pd.concat(list(rows)).sort_values(["ts", "kind"])
         out = []
         for ts, kind in zip(pings["ts"], pings["kind"]):
-            if last is not None and ts <= last:
+            if last is not None and ts < last:
                 continue
             last = ts
             now = paused
