@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 import itertools
 import re
 from collections import Counter, defaultdict
@@ -131,7 +130,6 @@ def test_components(spark):
     links = [(1, 2), (2, 3), (10, 11), (3, 1), (20, 19), (19, 18), (18, 17), (17, 16)]
     got = dict(components(spark.createDataFrame(links, "a long, b long")).collect())
     assert got == {1: 1, 2: 1, 3: 1, 10: 10, 11: 10, 16: 16, 17: 16, 18: 16, 19: 16, 20: 16}
-    assert hashlib.sha256(b"").hexdigest()[:4] == "e3b0"
 
 
 def test_shingles_of_case_and_space():

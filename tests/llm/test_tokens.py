@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import zlib
-
 import numpy as np
 import public_tokenizers
 import pytest
@@ -112,7 +110,7 @@ def test_packing(spark):
     long = sorted((r["start"], bytes(r["ids"])) for r in got if r["doc_id"] == 7)
     want = ids_of(WORD, [HARD[5][1]])[0] + np.array([1], "<u4").tobytes()
     assert b"".join(b for _, b in long) == want
-    assert zlib.crc32(b"") == 0 and pack_documents(hard(spark).limit(0), WORD, 1).count() == 0
+    assert pack_documents(hard(spark).limit(0), WORD, 1).count() == 0
 
 
 def test_encode_decode(spark):
