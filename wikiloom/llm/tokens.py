@@ -8,14 +8,15 @@ ids of a text are the ids of its pieces. Tokenizers of an unknown kind encode wh
 from __future__ import annotations
 
 import json
+import os
 import re
 from array import array
 
 import numpy as np
 from tokenizers import Tokenizer
 
-MEMO_PIECES = 500_000
-JOINED_WORDS = 64
+MEMO_PIECES = 400_000
+JOINED_WORDS = 128
 KEPT_LENGTH = 64
 
 # Places where neither supported pre-tokenizer joins: a letter before a sign or a line break, a sign
@@ -63,34 +64,31 @@ class Encoder:
         self.marks = [t["content"] for t in spec["added_tokens"]]
         self.kind = _kind(spec)
         self.memo, self.parts = Memo(), Memo()
-        self.plain = re.compile(rf"{' ' if self.kind == 'byte' else ''}[{_LETTER}]+")
+        self.word = re.compile(rf"[{_LETTER}]+")
         vocab = self.library.get_vocab()
         self.edges = np.zeros(max(vocab.values(), default=0) + 1, dtype=bool)
         for token, i in vocab.items():
             self.edges[i] = token.startswith("Ġ") if self.kind == "byte" else token.endswith("</w>")
 
-    def _library(self, texts: list[str]) -> list[bytes]:
-        """Ids of texts. Plain words are joined, as a long text costs the library less."""
-        plain = [t for t in texts if self.plain.fullmatch(t)] if self.kind != "whole" else []
-        known: dict[str, bytes] = {}
-        for at in range(0, len(plain), JOINED_WORDS):
-            words = plain[at : at + JOINED_WORDS]
-            joined = "".join(words) if self.kind == "byte" else " ".join(words)
-            known.update(zip(words, self._split(joined, len(words))))
-        rest = [t for t in texts if t not in known]
-        known.update(zip(rest, self._each(rest)))
-        return [known[t] for t in texts]
-
-    def _split(self, joined: str, words: int) -> list[bytes]:
-        """Ids of each of the words of a joined text, parted at the tokens that begin or end one."""
-        ids = self.library.encode_batch_fast([joined], add_special_tokens=False)[0].ids
-        ids = np.array(ids, dtype="<u4")
+    def _words(self, words: list[str], lead: str) -> list[bytes]:
+        """Ids of plain words that follow the lead. They are joined, as a long text costs the
+        library less, and parted at the tokens that begin or end a word."""
+        if not words:
+            return []
+        joined = [
+            lead + " ".join(words[at : at + JOINED_WORDS]) for at in range(0, len(words), JOINED_WORDS)
+        ]
+        found = self._each(joined)
+        data = b"".join(found)
+        ids = np.frombuffer(data, "<u4")
         edges = np.flatnonzero(self.edges[ids])
         edges = np.append(edges, len(ids)) if self.kind == "byte" else np.append(0, edges + 1)
-        if len(edges) != words + 1 or edges[0] != 0 or edges[-1] != len(ids):
+        starts = np.cumsum([0] + [len(f) // 4 for f in found])
+        firsts = edges[:-1:JOINED_WORDS]
+        if len(edges) != len(words) + 1 or (firsts != starts[:-1]).any() or edges[-1] != len(ids):
             raise ValueError("joined words do not part as expected")
-        data, at = ids.tobytes(), (edges * 4).tolist()
-        return [data[a:b] for a, b in zip(at[:-1], at[1:])]
+        at = (edges * 4).tolist()
+        return [data[a:b] for a, b in zip(at, at[1:])]
 
     def _each(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
@@ -109,26 +107,41 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         if self.kind == "whole":
-            return self._library(texts)
+            return self._each(texts)
         cut = [self.cut(text) for text in texts]
         head, lead = [b""] * len(cut), ""
         if self.kind == "byte":
             lead = " "
-            head = self._library([pieces[0] for pieces in cut])
+            head = self._each([pieces[0] for pieces in cut])
             cut = [pieces[1:] for pieces in cut]
         self._learn(set().union(*cut).difference(self.memo), lead)
         get = self.memo.__getitem__
         return [first + b"".join(map(get, pieces)) for first, pieces in zip(head, cut)]
 
     def _learn(self, pieces: set[str], lead: str) -> None:
-        split = {}
-        for piece in pieces:
-            whole = lead + piece
-            split[piece] = [whole] if "<" in whole else _CUT.split(whole)
-        new = list({part for parts in split.values() for part in parts}.difference(self.parts))
-        self.parts.add(dict(zip(new, self._library(new))))
+        """Keep the ids of pieces. A piece is cut on: its head follows the lead, as plain words do,
+        and the parts behind the head follow other text."""
+        plain = self.word.fullmatch
+        words = set(filter(plain, pieces))
+        split, others = {}, set()
+        for piece in pieces - words:
+            first, *rest = [lead + piece] if "<" in piece else _CUT.split(lead + piece)
+            head = first[len(lead):]
+            (words if plain(head) else others).add(head)
+            if rest:
+                split[piece] = (head, rest)
+        parts = {part for _, rest in split.values() for part in rest}
+        parts = list(parts.difference(self.parts))
+        self.parts.add(dict(zip(parts, self._each(parts))))
+        new = list(words.difference(self.memo))
+        found = dict(zip(new, self._words(new, lead)))
+        new = list(others.difference(self.memo))
+        found.update(zip(new, self._each([lead + head for head in new])))
         get = self.parts.__getitem__
-        self.memo.add({piece: b"".join(map(get, parts)) for piece, parts in split.items()})
+        for piece, (head, rest) in split.items():
+            ids = found[head] if head in found else self.memo[head]
+            found[piece] = ids + b"".join(map(get, rest))
+        self.memo.add(found)
 
 
 def _kind(spec: dict) -> str:
@@ -154,5 +167,7 @@ _ENCODERS: dict[str, Encoder] = {}
 def encoder(path: str) -> Encoder:
     """The worker's encoder of a tokenizer file; its memo outlives the task."""
     if path not in _ENCODERS:
+        # Spark spreads the work: threads of the library would take the cores of other tasks.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         _ENCODERS[path] = Encoder(path)
     return _ENCODERS[path]
