@@ -73,6 +73,18 @@ def test_export_tables(spark, tmp_path):
     assert {r.id for r in page_ops.current_pages(export.export_pages(table)).collect()} == {"1", "3"}
 
 
+def test_the_last_file_wins_whatever_its_size(spark, tmp_path):
+    def page(number, title):
+        return f'<object class="Page"><id name="id">{number}</id><property name="title">{title}</property></object>'
+
+    for name, titles in (("a", ["first"]), ("b", ["second" * 50] * 40 + ["last"]), ("c", ["third"])):
+        rows = "".join(page(1 if name < "c" else 2, t) for t in titles)
+        (tmp_path / f"{name}.xml").write_text(f"<objects>{rows}</objects>", encoding="utf-8")
+    table = export.read_objects(spark, str(tmp_path))
+    assert table.select("ord").distinct().count() == 43 and table.where("ord is null").count() == 0
+    assert {r.id: r.title for r in export.export_pages(table).collect()} == {"1": "last", "2": "third"}
+
+
 def test_export_plan(spark, tmp_path):
     tables = export_plan.load_export(objects(spark, tmp_path))
     rows = export_plan.export_revisions(tables).orderBy("ord", "position").collect()

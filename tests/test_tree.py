@@ -57,7 +57,8 @@ def test_child_links_and_parent_titles(spark):
     nodes = [("p", None, 0, 0, "Top 1")] + [(f"c{i}", "p", 9 - i, i, f"C {i}") for i in range(3)]
     frame = spark.createDataFrame(nodes, SCHEMA).withColumn("wiki_title", wiki_title(F.col("title")))
     links = tree.child_links(frame, ["position", "ord"]).collect()
-    assert [(r.id, r.part) for r in links] == [("p", 0)]
+    assert [r.id for r in links] == ["p"]
+    assert tree.child_links(frame, ["position", "ord"], part_rows=2).collect() == links
     assert links[0].child_text == (
         "\n\n---\n\n## Child pages\n\n- [[C_002|C 2]]\n- [[C_001|C 1]]\n- [[C_000|C 0]]\n"
     )

@@ -570,7 +570,7 @@ _EXPORT = f"""
                {{'p': k.position, 'u': k.parent_id}})
         FROM t JOIN k ON k.known = t.id),
   o AS (SELECT *, row_number() OVER (ORDER BY depth, path) - 1 AS ord FROM t)
-  SELECT a.page_id, 'Topic_' || o.conv_id || o.turn AS wiki_title, o.ord, a.position, 0 AS part, a.text,
+  SELECT a.page_id, 'Topic_' || o.conv_id || o.turn AS wiki_title, o.ord, a.position, a.text,
          CASE WHEN is_current AND p.id IS NOT NULL THEN 'Topic_' || p.conv_id || p.turn END
            AS parent_title, a.comments, is_current
   FROM a JOIN o ON o.id = a.page_id LEFT JOIN o p ON p.id = o.known"""

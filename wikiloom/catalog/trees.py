@@ -123,17 +123,14 @@ def j12_macro(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "j12_child_links",
-    f"""SELECT parent_id AS id, ((place - 1) // 20)::INT AS part,
-               CASE WHEN (place - 1) // 20 = 0 THEN chr(10) || chr(10) || '---' || chr(10) || chr(10)
-                    || '## Child pages' || chr(10) || chr(10) ELSE '' END
-               || string_agg('- [[' || wiki_title || '|' || title || ']]' || chr(10), '' ORDER BY place)
+    f"""SELECT parent_id AS id, chr(10) || chr(10) || '---' || chr(10) || chr(10)
+               || '## Child pages' || chr(10) || chr(10)
+               || string_agg('- [[' || wiki_title || '|' || title || ']]' || chr(10), '' ORDER BY position, ord)
                AS child_text
-        FROM (SELECT *, row_number() OVER (PARTITION BY parent_id ORDER BY position, ord) AS place
-              FROM ({_TITLED}) WHERE parent_id IS NOT NULL)
-        GROUP BY parent_id, (place - 1) // 20""",
+        FROM ({_TITLED}) WHERE parent_id IS NOT NULL GROUP BY parent_id""",
 )
 def j12_links(spark: SparkSession, sf: str) -> DataFrame:
-    """Parts of 20 links each, so that large parents show several parts."""
+    """Joined in parts of 20 links each, so that large parents are made of several parts."""
     return tree.child_links(titled(spark, sf), ["position", "ord"], part_rows=20)
 
 

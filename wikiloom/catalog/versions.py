@@ -147,13 +147,28 @@ def _pairs(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("w3_version_changes", _CHANGES)
 def w3(spark: SparkSession, sf: str) -> DataFrame:
-    return ops.version_changes(_pairs(spark, sf), lines=False)
+    return ops.version_changes(_pairs(spark, sf))
 
 
-@query("w3_version_line_changes")
+@query(
+    "w3_version_line_changes",
+    f"""WITH c AS (
+          SELECT * FROM (SELECT conv_id, turn, text, lag(text) OVER w AS old
+                         FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn))
+          WHERE old <> text),
+        d AS (SELECT conv_id, turn, line, sum(sign) AS n FROM (
+                SELECT conv_id, turn, unnest(string_split(text, chr(10))) AS line, 1 AS sign FROM c
+                WHERE text <> '' UNION ALL
+                SELECT conv_id, turn, unnest(string_split(old, chr(10))), -1 FROM c WHERE old <> '')
+              GROUP BY conv_id, turn, line),
+        t AS (SELECT conv_id AS page_id, turn AS number, sum(greatest(n, 0)) AS added,
+                     sum(greatest(-n, 0)) AS removed FROM d GROUP BY conv_id, turn)
+        SELECT x.*, coalesce(added, 0)::BIGINT AS added, coalesce(removed, 0)::BIGINT AS removed
+        FROM ({_CHANGES}) x LEFT JOIN t USING (page_id, number)""",
+)
 def w3_lines(spark: SparkSession, sf: str) -> DataFrame:
-    """With the lines added and removed of a sequence comparison, which SQL cannot express."""
-    return ops.version_changes(_pairs(spark, sf))
+    """With the lines added and removed, as a difference of multisets."""
+    return ops.line_changes(ops.version_changes(_pairs(spark, sf)), standins.talks(spark, sf))
 
 
 @query(

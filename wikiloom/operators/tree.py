@@ -100,10 +100,10 @@ def child_macro(pages: DataFrame) -> DataFrame:
 
 
 def child_links(pages: DataFrame, sibling_order: Sequence[str], part_rows: int = 10_000) -> DataFrame:
-    """Sorted list of links to the children, appended to the parent's text.
+    """Sorted list of links to the children, appended to the parent's text: one row per parent.
 
-    A parent with more than ``part_rows`` children has several rows; the parts follow each other
-    in the text.
+    The lines are sorted over all tasks and joined in parts of ``part_rows`` before a parent's row
+    is made, so the size of a part never shows in the text.
     """
     line = F.concat(
         F.lit("- [["), F.col("wiki_title"), F.lit("|"), F.col("title"), F.lit("]]\n")
@@ -118,12 +118,12 @@ def child_links(pages: DataFrame, sibling_order: Sequence[str], part_rows: int =
         "lines",
         part_rows,
     )
-    heading = F.when(F.col("part") == 0, F.lit(CHILD_HEADING)).otherwise(F.lit(""))
-    return parts.select(
-        F.col("parent_id").alias("id"),
-        "part",
-        F.concat(heading, F.array_join("lines", "")).alias("child_text"),
+    part = F.struct("part", F.array_join("lines", "").alias("text"))
+    whole = parts.groupBy(F.col("parent_id").alias("id")).agg(
+        F.array_sort(F.collect_list(part)).alias("_parts")
     )
+    text = F.concat(F.lit(CHILD_HEADING), F.array_join(F.col("_parts.text"), ""))
+    return whole.select("id", text.alias("child_text"))
 
 
 def sorted_pages(pages: DataFrame) -> DataFrame:

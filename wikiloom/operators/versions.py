@@ -2,12 +2,8 @@
 
 from __future__ import annotations
 
-import difflib
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from wikiloom.functions.keys import fingerprint
 from wikiloom.scale import lookup, with_group_position, with_index
@@ -153,72 +149,70 @@ def content_members(bodies: DataFrame, groups: DataFrame) -> DataFrame:
                   counts=groups.withColumnRenamed("sources", "_n"))
 
 
-_DELTA = T.StructType(
-    [T.StructField("added", T.LongType()), T.StructField("removed", T.LongType())]
-)
-
-
-@F.pandas_udf(_DELTA)
-def _line_delta(before: pd.Series, after: pd.Series) -> pd.DataFrame:
-    rows = []
-    for old, new in zip(before, after):
-        if old is None or new is None:
-            rows.append((0, 0))
-            continue
-        diff = list(
-            difflib.unified_diff(old.splitlines(True), new.splitlines(True), "old", "new", n=1)
-        )
-        rows.append(
-            (
-                sum(d.startswith("+") and not d.startswith("+++") for d in diff),
-                sum(d.startswith("-") and not d.startswith("---") for d in diff),
-            )
-        )
-    return pd.DataFrame(rows, columns=["added", "removed"])
-
-
 def consecutive_pairs(placed: DataFrame, bodies: DataFrame) -> DataFrame:
-    """Each version beside the one before it: ``number, previous, body, previous_body``.
+    """Each version beside the one before it: ``number, previous``, their sizes and fingerprints.
 
     Positions are known, so the neighbour is found by an equi-join on (page, position) and the
-    history of one page may lie in any number of tasks.
+    history of one page may lie in any number of tasks. No body is moved.
     """
-    texts = placed.select("page_id", "number", "position").join(
-        bodies.select("page_id", "number", "body"), ["page_id", "number"], "left"
+    body = F.coalesce("body", F.lit(""))
+    marks = bodies.select(
+        "page_id", "number", F.length(body).alias("size"), F.sha2(body, 256).alias("mark")
+    )
+    found = placed.select("page_id", "number", "position").join(marks, ["page_id", "number"], "left")
+    # A version without a body counts as empty.
+    texts = found.select(
+        "page_id", "number", "position", F.coalesce("size", F.lit(0)).alias("size"),
+        F.coalesce("mark", F.sha2(F.lit(""), 256)).alias("mark"),
     )
     before = texts.select(
         "page_id",
         (F.col("position") + 1).alias("position"),
         F.col("number").alias("previous"),
-        F.col("body").alias("previous_body"),
+        F.col("size").alias("previous_size"),
+        F.col("mark").alias("previous_mark"),
     )
     return texts.join(before, ["page_id", "position"])
 
 
-def version_changes(pairs: DataFrame, lines: bool = True) -> DataFrame:
-    """What changed against the version before: nothing, or sizes and lines added and removed."""
-    old = F.coalesce("previous_body", F.lit(""))
-    new = F.coalesce("body", F.lit(""))
+def version_changes(pairs: DataFrame) -> DataFrame:
+    """What changed against the version before: nothing, or the sizes."""
+    same = (F.col("size") == F.col("previous_size")) & (F.col("mark") == F.col("previous_mark"))
     state = (
-        F.when((old == "") & (new == ""), F.lit("both empty"))
-        .when(old == new, F.lit("identical"))
+        F.when((F.col("size") == 0) & (F.col("previous_size") == 0), F.lit("both empty"))
+        .when(same, F.lit("identical"))
         .otherwise(F.lit("changed"))
     )
-    out = pairs.withColumn("state", state)
-    if lines:
-        changed = F.col("state") == "changed"
-        out = out.withColumn("_delta", _line_delta(F.when(changed, old), F.when(changed, new)))
-    columns = [
-        "page_id",
-        "previous",
-        "number",
-        "state",
-        F.length(old).alias("previous_size"),
-        F.length(new).alias("size"),
-    ]
-    if lines:
-        columns += [F.col("_delta.added").alias("added"), F.col("_delta.removed").alias("removed")]
-    return out.select(*columns)
+    return pairs.select(
+        "page_id", "previous", "number", state.alias("state"), "previous_size", "size"
+    )
+
+
+def line_changes(changes: DataFrame, bodies: DataFrame) -> DataFrame:
+    """Add the lines added and removed: the difference of the two bodies as multisets of lines.
+
+    A line that only moved counts nowhere. Bodies are joined for changed pairs only, and counted
+    line by line, so no body is too long and no pair is one task.
+    """
+    keys = ["page_id", "number", "previous"]
+    changed = changes.where("state = 'changed'").select(*keys)
+    texts = bodies.where("body <> ''").select(
+        "page_id", F.col("number").alias("_of"), F.split("body", "\n").alias("_lines")
+    )
+
+    def lines(side: str, sign: int) -> DataFrame:
+        both = changed.withColumn("_of", F.col(side)).join(texts, ["page_id", "_of"])
+        return both.select(*keys, F.explode("_lines").alias("_line"), F.lit(sign).alias("_sign"))
+
+    counts = (
+        lines("number", 1).unionByName(lines("previous", -1))
+        .groupBy(*keys, "_line").agg(F.sum("_sign").alias("_n"))
+        .groupBy(*keys).agg(
+            F.sum(F.greatest("_n", F.lit(0))).alias("added"),
+            F.sum(F.greatest(-F.col("_n"), F.lit(0))).alias("removed"),
+        )
+    )
+    return changes.join(counts, keys, "left").fillna(0, ["added", "removed"])
 
 
 def version_totals(versions: DataFrame) -> DataFrame:

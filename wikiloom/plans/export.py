@@ -26,7 +26,7 @@ def export_tree(pages: DataFrame) -> DataFrame:
     """Current pages with wiki title, known parent and push order."""
     current = page_ops.current_pages(pages).select(
         "id", "title", "parent_id", "position", "modified", "modifier", "version",
-        F.col("ord").alias("seen"),
+        F.col("ord").alias("seen"),  # place in the export, over all its files
         wiki_title_plain(F.col("title")).alias("wiki_title"),
         F.coalesce("parent_id", F.lit("")).alias("_under"),
     )
@@ -56,7 +56,7 @@ def load_export(objects: DataFrame) -> ExportTables:
 
 
 def export_revisions(tables: ExportTables, with_history: bool = True) -> DataFrame:
-    """One row per revision of each page, oldest first; parts above 0 continue a child list."""
+    """One row per revision of each page, oldest first. Every body is converted once."""
     pages, bodies = tables.pages, tables.bodies
     attachments = page_ops.kept_attachments(tables.attachments)
     ordered = landed(export_tree(pages), "tree")
@@ -74,32 +74,29 @@ def export_revisions(tables: ExportTables, with_history: bool = True) -> DataFra
         F.col("id").alias("page_id"), "wiki_title", "parent_title", "ord"
     )
     links = tree.child_links(ordered, SIBLINGS).withColumnRenamed("id", "page_id")
-    first_links = about.join(links.where("part = 0").drop("part"), "page_id", "left")
-    keyed = landed(lookup(rows, first_links, ["page_id"], ["id"], "inner"), "revisions")
+    filed = attachments.select(F.col("content_id").alias("page_id")).distinct()
+    about = about.join(links, "page_id", "left").join(
+        filed.withColumn("_filed", F.lit(True)), "page_id", "left"
+    )
+    keyed = landed(lookup(rows, about, ["page_id"], ["id"], "inner"), "revisions")
     with_links = convert_pages(keyed, form="export")
     text = page_text(F.col("version_title"), F.col("text"), F.col("child_text"), "export")
     single = F.col("total") == 1
     comment = F.when(single, export_page_comment(F.col("modifier"), F.col("modified"))).otherwise(
         export_version_comment(F.col("number"), F.col("modifier"), F.col("modified"))
     )
-    main = with_links.select(
-        "page_id", "wiki_title", "ord", "position", F.lit(0).alias("part"), text.alias("text"),
-        F.when(F.col("is_current"), F.col("parent_title")).alias("parent_title"),
-        comment.alias("comments"), "is_current",
-        (F.col("is_current") & ~single).alias("_again"),
-    )
     # A page with history and files is written once more, with the files.
-    filed = attachments.select(F.col("content_id").alias("page_id")).distinct()
-    final = main.where("_again").join(filed, "page_id", "left_semi").select(
-        "page_id", "wiki_title", "ord", (F.col("position") + 1).alias("position"), "part", "text",
-        "parent_title", F.lit(EXPORT_FINAL_COMMENT).alias("comments"), "is_current", "_again",
+    once = F.struct(F.col("position").alias("position"), comment.alias("comments"))
+    again = F.struct(
+        (F.col("position") + 1).alias("position"), F.lit(EXPORT_FINAL_COMMENT).alias("comments")
     )
-    more = links.where("part > 0").join(about, "page_id").select(
-        "page_id", "wiki_title", "ord", F.lit(None).cast("long").alias("position"), "part",
-        F.col("child_text").alias("text"), "parent_title", F.lit(None).cast("string").alias("comments"),
-        F.lit(True).alias("is_current"), F.lit(False).alias("_again"),
+    twice = F.col("is_current") & ~single & F.col("_filed").isNotNull()
+    converted = with_links.select(
+        "page_id", "wiki_title", "ord", text.alias("text"),
+        F.when(F.col("is_current"), F.col("parent_title")).alias("parent_title"), "is_current",
+        F.when(twice, F.array(once, again)).otherwise(F.array(once)).alias("_written"),
     )
-    return main.unionByName(final).unionByName(more).drop("_again")
+    return converted.select("*", F.inline("_written")).drop("_written")
 
 
 def export_uploads(tables: ExportTables, files: DataFrame) -> DataFrame:

@@ -7,14 +7,17 @@ from pyspark.sql import functions as F
 
 from wikiloom import schemas
 from wikiloom.functions.text import strip
-from wikiloom.scale import first_rows
+from wikiloom.scale import first_rows, with_index
+
+_ROW_BITS = 33  # monotonically_increasing_id keeps the partition number above this bit
 
 
 def read_objects(spark: SparkSession, path: str) -> DataFrame:
-    """All ``<object>`` rows in file order.
+    """All ``<object>`` rows; ``ord`` is their order, by path of the file, then place in the file.
 
     Bodies run over many lines, so a file is streamed by one task; exports of many spaces are many
-    files. What follows shuffles by id and is spread again.
+    files. What follows shuffles by id and is spread again. The table of files that is broadcast has
+    one row per file, as has the listing that the driver holds anyway.
     """
     raw = (
         spark.read.format("xml")
@@ -23,7 +26,15 @@ def read_objects(spark: SparkSession, path: str) -> DataFrame:
         .schema(schemas.EXPORT_OBJECT)
         .load(path)
     )
-    return raw.withColumn("ord", F.monotonically_increasing_id())
+    file = F.col("_metadata.file_path").alias("_file")
+    # Spark reads larger files first, so the number of a partition is no order of files.
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    files = with_index(spark.read.format("binaryFile").load(path).select(file), ["_file"], "_at")
+    return (
+        raw.select("*", file, row.alias("_row"))
+        .join(F.broadcast(files), "_file", "left")
+        .select(*raw.columns, (F.shiftleft("_at", _ROW_BITS) + F.col("_row")).alias("ord"))
+    )
 
 
 def class_counts(objects: DataFrame) -> DataFrame:

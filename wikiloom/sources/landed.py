@@ -174,7 +174,10 @@ def read_mapping(spark: SparkSession, path: str) -> DataFrame:
     """Mapping sheet exported as CSV with a header; a ``row_no`` column keeps its order."""
     sheet = spark.read.option("header", True).csv(path)
     if "row_no" not in sheet.columns:
-        sheet = sheet.withColumn("row_no", F.monotonically_increasing_id())
+        place = F.struct(
+            "_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("row")
+        )
+        sheet = with_index(sheet.withColumn("_place", place), ["_place"], "row_no").drop("_place")
     else:
         sheet = sheet.withColumn("row_no", F.col("row_no").cast("long"))
     return mapping_entries(sheet)

@@ -9,24 +9,24 @@ from wikiloom.scale import listed_in_parts
 
 
 def manifest(pages: DataFrame, attachments: DataFrame) -> DataFrame:
-    """One review row per page: size of the body, number of attachments and their names.
-
-    A page with very many attachments has further rows, counted by ``part``.
-    """
+    """One review row per page: size of the body, number of attachments and their names."""
     item = F.struct(F.col("id").alias("id"), F.col("filename").alias("filename"))
-    held = listed_in_parts(
+    parts = listed_in_parts(
         attachments.select("content_id", "id", "filename").where("content_id IS NOT NULL"),
         ["content_id"], ["id"], item, "attachments",
-    ).withColumnRenamed("content_id", "id")
+    )
+    held = parts.groupBy(F.col("content_id").alias("id")).agg(
+        F.first("attachments_count").alias("attachments_count"),
+        F.array_sort(F.collect_list(F.struct("part", "attachments"))).alias("_parts"),
+    )
     return pages.join(held, "id", "left").select(
         "id",
         "title",
         "parent_id",
         "version",
         F.coalesce(F.length("body"), F.lit(0)).alias("body_length"),
-        F.coalesce("part", F.lit(0)).alias("part"),
         F.coalesce("attachments_count", F.lit(0)).alias("attachment_count"),
-        F.coalesce("attachments", F.array()).alias("attachments"),
+        F.coalesce(F.flatten(F.col("_parts.attachments")), F.array()).alias("attachments"),
     )
 
 
