@@ -245,7 +245,7 @@ def shown_links(
         return (
             F.when(F.startswith(href, F.lit("#")), jump)
             .when(page_id != "", page)
-            .when(has(href, "^/display/[^/]+/."), shown)
+            .when(has(href, "^/display/[^/?]+/[^?]"), shown)
             .when(F.startswith(href, F.lit("/")) & ~F.startswith(href, F.lit("//")), label)
             .otherwise(outside)
         )

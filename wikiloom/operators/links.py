@@ -35,7 +35,7 @@ def link_class(href: Column) -> Column:
     return (
         F.when(F.startswith(href, F.lit("#")), F.lit("anchor"))
         .when(F.regexp_like(href, F.lit(r"pageId=\d+")), F.lit("page"))
-        .when(F.regexp_like(href, F.lit("^/display/[^/]+/.")), F.lit("display"))
+        .when(F.regexp_like(href, F.lit("^/display/[^/?]+/[^?]")), F.lit("display"))
         .when(F.startswith(href, F.lit("/")) & ~F.startswith(href, F.lit("//")), F.lit("relative"))
         .otherwise(F.lit("external"))
     )
