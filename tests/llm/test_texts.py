@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import random
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from wikiloom.llm.chat import read_back, windows
@@ -116,6 +118,27 @@ def test_quality(spark):
     assert quality(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("clean", [120, 600])
+def test_quality_rejects_outliers_of_one_statistic(spark, clean):
+    draw = random.Random(clean)
+
+    def words(count):
+        return ["".join(draw.choices("abcdefghij", k=draw.randint(2, 9))) for _ in range(count)]
+
+    def lines(count):
+        return "\n".join(" ".join(words(draw.randint(8, 14))) for _ in range(count))
+
+    rows = [(n, lines(draw.randint(8, 30)), "en", "s") for n in range(clean)]
+    # Symbols are a tenth of the word characters; most lines are equal, few words beside them.
+    junk = [(10_000 + n, " | ".join(words(150)), "en", "s") for n in range(12)]
+    same = [(20_000 + n, lines(14) + "\nword" * 12, "en", "s") for n in range(3)]
+    docs = spark.createDataFrame(rows + junk + same, "doc_id long, text string, lang string, source string")
+    got = {r["doc_id"]: r for r in quality(docs).collect()}
+    assert not any(got[n]["base_failed"] for n in got)
+    assert not any(got[n]["kept"] for n, *_ in junk + same)
+    assert sum(got[n]["kept"] for n in range(clean)) >= 0.97 * clean
+
+
 def test_language(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     train, held = docs.where("doc_id % 3 <> 1"), docs.where("doc_id % 3 = 1")

@@ -1,11 +1,18 @@
 """Quality rules: simple limits and robust multivariate outliers, in DataFrame operations only.
 
 Words are runs of characters other than blank, tab and line breaks. Five transformed statistics of a
-text form its vector. Per language and source the minimum covariance determinant is estimated: from
-a start at medians and median deviations, the share CORE of rows with the least distances gives the
-next mean and covariance, for some rounds. A text is rejected if its squared Mahalanobis distance,
-scaled so that the median is that of a chi-square, passes a cut far out in the tail, so that
-ordinary texts are kept. Rows that fail the limits take no part in the estimates.
+text form its vector. Per language and source the minimum covariance determinant is estimated. From
+each of three starts (median deviations, hyperbolic tangents, spatial signs) the share CORE of rows
+with the least distances gives the next mean and covariance, until a step no longer lowers the log
+determinant by SETTLED; the start with the least determinant wins. The rows within the 97.5% point
+of a chi-square of it give the final mean and covariance. Both covariances are made consistent for
+normal rows. A text is rejected if its squared Mahalanobis distance passes the 99.9% point of the
+F distribution that such distances have with so many rows (a chi-square if there are many). Rows
+that fail the limits take no part in the estimates.
+
+Most texts have no symbols, equal lines or repeated words, so a covariance may be singular. Half the
+least step of each statistic at the pool's median text is therefore added to its spread. As it keeps
+determinants from below, the steps end.
 
 Groups with fewer than MIN_ROWS such rows use those of their language over all sources, then all
 rows; if even those are too few, none is rejected by distance. Null language and source are
@@ -25,19 +32,22 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 MIN_ROWS = 100
 CORE = 0.75
-ROUNDS = 3
+SETTLED = 1e-4
 ACCURACY = 10_000
 SPACES = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
-# The median of a chi-square with five degrees of freedom, and a point in its tail
-# that one in 1e12 of normal rows passes.
-CHI2_MEDIAN = 4.351
-CHI2_CUT = 64.6
+# Of a chi-square with five degrees of freedom: the points that 2.5% and 0.1% of normal rows pass,
+# and the factors that make covariances of the nearest 75% and 97.5% consistent.
+CHI2_INNER = 12.8325
+CHI2_CUT = 20.515
+NORMAL_CUT = 3.0902
+CORE_FACTOR = 1.41207
+INNER_FACTOR = 1.05553
 _PLACE_BITS = 24
 
 FEATURES = ["word_length", "symbols", "dup_lines", "repeats", "size"]
-# Least spread of each statistic, so that a constant one does not reject the first that differs.
-FLOORS = [0.1, 0.05, 0.25, 0.15, 0.5]
+_N = range(len(FEATURES))
+_PAIRS = [(i, j) for i in _N for j in range(i + 1)]
 
 
 def repeated_words(words: Column) -> Column:
@@ -117,13 +127,14 @@ def _vector() -> list[Column]:
 
 def _cholesky(params: DataFrame) -> DataFrame:
     """Add l<i><j>, the triangular factor of the covariance c<i><j>."""
-    for i in range(len(FEATURES)):
-        for j in range(i + 1):
-            rest = F.col(f"c{i}{j}") if i != j else F.col(f"c{i}{i}") + FLOORS[i] ** 2
+    for j in _N:
+        rest = {}
+        for i in range(j, len(FEATURES)):
+            rest[i] = F.col(f"c{i}{j}") if i != j else F.col(f"c{i}{i}") + F.col(f"r{i}") ** 2
             for k in range(j):
-                rest = rest - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
-            value = F.sqrt(F.greatest(rest, F.lit(1e-12))) if i == j else rest / F.col(f"l{j}{j}")
-            params = params.withColumn(f"l{i}{j}", value)
+                rest[i] = rest[i] - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
+        params = params.withColumn(f"l{j}{j}", F.sqrt(F.greatest(rest.pop(j), F.lit(1e-12))))
+        params = params.withColumns({f"l{i}{j}": r / F.col(f"l{j}{j}") for i, r in rest.items()})
     return params
 
 
@@ -161,47 +172,113 @@ def _pools(rows: DataFrame) -> DataFrame:
         F.col("grp"), F.concat(F.lit("l"), F.sha2("lang_", 256)), F.lit("all")
     ))).alias("pool")).where("used and pool is not null")
     return pools.join(needed.withColumnRenamed("grp", "pool"), "pool", "left_semi").select(
-        "pool", *[f"x{i}" for i in range(len(FEATURES))]
+        "pool", "n_words", "word_chars", "n_lines", *[f"x{i}" for i in _N]
     )
 
 
-def estimates(pools: DataFrame) -> DataFrame:
-    """Per pool: m<i>, l<i><j> and scale, by rounds of concentration steps."""
-    n = range(len(FEATURES))
+def _steps() -> list[Column]:
+    """Half the least step of each statistic at a pool's median text; a repeat has four words."""
+    words, chars, lines = (F.greatest(F.col(c), F.lit(1)) for c in ("n_words", "word_chars", "n_lines"))
+    return [0.5 / chars, 0.5 / F.sqrt(chars), 0.5 / F.sqrt(lines), 1 / F.sqrt(words), 0.5 / words]
+
+
+def _quantile(column: Column, share: float) -> Column:
+    return F.percentile_approx(column, F.lit(share), ACCURACY)
 
-    def quantile(column: Column, share: float) -> Column:
-        return F.percentile_approx(column, F.lit(share), ACCURACY)
 
-    middle = pools.groupBy("pool").agg(*[quantile(F.col(f"x{i}"), 0.5).alias(f"m{i}") for i in n])
-    spread = pools.join(middle, "pool").groupBy("pool").agg(
-        *[F.first(f"m{i}").alias(f"m{i}") for i in n],
-        *[(quantile(F.abs(F.col(f"x{i}") - F.col(f"m{i}")), 0.5) * 1.4826).alias(f"d{i}") for i in n],
+def _starts(pools: DataFrame) -> DataFrame:
+    """Per pool and start: m<i>, r<i> and a first covariance c<i><j>."""
+    middle = pools.groupBy("pool").agg(
+        *[_quantile(F.col(f"x{i}"), 0.5).alias(f"m{i}") for i in _N],
+        *[_quantile(F.col(c), 0.5).alias(c) for c in ("n_words", "word_chars", "n_lines")],
+    ).select("pool", *[f"m{i}" for i in _N], *[r.alias(f"r{i}") for i, r in enumerate(_steps())])
+    middle = landed(middle, "mcd-middle")
+    narrow = pools.select("pool", *[f"x{i}" for i in _N])
+    mads = narrow.join(middle, "pool").groupBy("pool").agg(
+        *[(_quantile(F.abs(F.col(f"x{i}") - F.col(f"m{i}")), 0.5) * 1.4826).alias(f"d{i}") for i in _N],
     )
-    params = spread.select(
-        "pool", *[f"m{i}" for i in n],
-        *[(F.col(f"d{i}") ** 2 if i == j else F.lit(0.0)).alias(f"c{i}{j}") for i in n for j in range(i + 1)],
+    spread = landed(middle.join(mads, "pool").select(
+        "*", *[F.sqrt(F.col(f"d{i}") ** 2 + F.col(f"r{i}") ** 2).alias(f"s{i}") for i in _N]
+    ), "mcd-spread")
+    z = [((F.col(f"x{i}") - F.col(f"m{i}")) / F.col(f"s{i}")).alias(f"z{i}") for i in _N]
+    scaled = narrow.join(spread, "pool").select("pool", *z)
+    norm = F.greatest(F.sqrt(sum((F.col(f"z{i}") ** 2 for i in _N), F.lit(0.0))), F.lit(1e-9))
+    tanh = [F.tanh(f"z{i}") for i in _N]
+    sign = [F.col(f"z{i}") / norm for i in _N]
+    sums = scaled.groupBy("pool").agg(
+        *[F.covar_pop(tanh[i], tanh[j]).alias(f"t{i}{j}") for i, j in _PAIRS],
+        *[F.covar_pop(sign[i], sign[j]).alias(f"u{i}{j}") for i, j in _PAIRS],
     )
-    for _ in range(ROUNDS):
-        params = landed(_cholesky(params), "mcd-step")
-        near = pools.join(params, "pool").withColumn("d2", _distance(pools))
-        limits = near.groupBy("pool").agg(quantile(F.col("d2"), CORE).alias("limit"))
-        core = near.join(limits, "pool").where("d2 <= limit")
-        # Moments around the last centre, so that no large squares cancel.
-        off = [F.col(f"x{i}") - F.col(f"m{i}") for i in n]
-        sums = core.groupBy("pool").agg(
-            F.count(F.lit(1)).alias("n"),
-            *[F.first(f"m{i}").alias(f"m{i}") for i in n],
-            *[F.avg(off[i]).alias(f"a{i}") for i in n],
-            *[F.avg(off[i] * off[j]).alias(f"b{i}{j}") for i in n for j in range(i + 1)],
-        )
-        params = sums.select(
-            "pool", *[(F.col(f"m{i}") + F.col(f"a{i}")).alias(f"m{i}") for i in n],
-            *[(F.col(f"b{i}{j}") - F.col(f"a{i}") * F.col(f"a{j}")).alias(f"c{i}{j}") for i in n for j in range(i + 1)],
-        )
-    params = landed(_cholesky(params), "mcd-step")
-    near = pools.join(params, "pool").withColumn("d2", _distance(pools))
-    scale = near.groupBy("pool").agg((quantile(F.col("d2"), 0.5) / CHI2_MEDIAN).alias("scale"))
-    return landed(params.join(scale, "pool"), "mcd")
+    both = spread.join(sums, "pool")
+    firsts = [
+        [F.col(f"d{i}") ** 2 if i == j else F.lit(0.0) for i, j in _PAIRS],
+        [F.col(f"t{i}{j}") * F.col(f"s{i}") * F.col(f"s{j}") for i, j in _PAIRS],
+        [F.col(f"u{i}{j}") * len(FEATURES) * F.col(f"s{i}") * F.col(f"s{j}") for i, j in _PAIRS],
+    ]
+    entries = [
+        F.struct(F.lit(k).alias("start"), *[c.alias(f"c{i}{j}") for c, (i, j) in zip(first, _PAIRS)])
+        for k, first in enumerate(firsts)
+    ]
+    each = both.select("pool", *[f"m{i}" for i in _N], *[f"r{i}" for i in _N], F.explode(F.array(*entries)).alias("e"))
+    return each.select("pool", "e.*", *[f"m{i}" for i in _N], *[f"r{i}" for i in _N])
+
+
+def _moments(rows: DataFrame, keys: list[str], factor: float, kept: list[str]) -> DataFrame:
+    """Mean and covariance of rows, times a factor, with their factor l<i><j> and log determinant."""
+    # Moments around the last centre, so that no large squares cancel.
+    off = [F.col(f"x{i}") - F.col(f"m{i}") for i in _N]
+    kept = [*kept, *[f"m{i}" for i in _N], *[f"r{i}" for i in _N]]
+    sums = rows.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.first(c).alias(c) for c in kept],
+        *[F.avg(off[i]).alias(f"a{i}") for i in _N],
+        *[F.avg(off[i] * off[j]).alias(f"b{i}{j}") for i, j in _PAIRS],
+    )
+    fresh = {f"m{i}": F.col(f"m{i}") + F.col(f"a{i}") for i in _N}
+    params = sums.select(
+        *keys, "n", *[fresh.get(c, F.col(c)).alias(c) for c in kept],
+        *[((F.col(f"b{i}{j}") - F.col(f"a{i}") * F.col(f"a{j}")) * factor).alias(f"c{i}{j}") for i, j in _PAIRS],
+    )
+    return _cholesky(params).withColumn("det", sum((F.log(f"l{i}{i}") * 2 for i in _N), F.lit(0.0)))
+
+
+def estimates(pools: DataFrame) -> DataFrame:
+    """Per pool: m<i>, l<i><j> and n, the rows that they come from."""
+    narrow = pools.select("pool", *[f"x{i}" for i in _N])
+
+    def near(params: DataFrame) -> DataFrame:
+        return narrow.join(params, "pool").withColumn("d2", _distance(narrow))
+
+    first = _cholesky(landed(_starts(pools), "mcd-start")).withColumn("last", F.lit(float("inf")))
+    moving = landed(first, "mcd-params")
+    settled = None
+    while True:
+        rows = near(moving)
+        limits = rows.groupBy("pool", "start").agg(_quantile(F.col("d2"), CORE).alias("limit"))
+        core = rows.join(limits, ["pool", "start"]).where("d2 <= limit")
+        stepped = landed(_moments(core, ["pool", "start"], CORE_FACTOR, ["last"]), "mcd-step")
+        done = stepped.where(F.col("last") - F.col("det") <= SETTLED)
+        settled = done if settled is None else settled.unionByName(done)
+        moving = stepped.where(F.col("last") - F.col("det") > SETTLED)
+        moving = moving.drop("last").withColumnRenamed("det", "last")
+        if moving.isEmpty():
+            break
+    best = settled.groupBy("pool").agg(
+        F.min_by(F.struct(*settled.columns), F.struct("det", "start")).alias("best")
+    ).select("best.*")
+    inner = near(landed(best, "mcd-best")).where(F.col("d2") <= CHI2_INNER)
+    return landed(_moments(inner, ["pool"], INNER_FACTOR, []), "mcd")
+
+
+def _finite_cut() -> Column:
+    """The point of CHI2_CUT for distances from estimates of n rows: of F with 5 and n - 5 degrees
+    of freedom, by Paulson's approximation."""
+    p = len(FEATURES)
+    n, z = F.col("n"), NORMAL_CUT
+    a, b = 2 / (9 * p), 2 / (9 * (n - p))
+    root = F.sqrt(a * (1 - b) ** 2 + b * (1 - a) ** 2 - a * z * z * b)
+    cube = ((1 - a) * (1 - b) + z * root) / ((1 - b) ** 2 - z * z * b)
+    return (n + 1) / n * (n - 1) * p / (n - p) * cube ** 3
 
 
 def quality(
@@ -209,7 +286,8 @@ def quality(
     source: str = "source", cut: float = CHI2_CUT,
 ) -> DataFrame:
     """Per row: key, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-    distance (null without an estimate), kept."""
+    distance (null without an estimate; squared, scaled so that CHI2_CUT is the cut at any number of
+    rows), kept."""
     null = F.lit("\x00null")
     keep = [
         F.col(key).alias("doc_id"),
@@ -227,7 +305,7 @@ def quality(
     grouped = landed(_grouped(rows), "quality-groups")
     params = estimates(_pools(grouped)).withColumnRenamed("pool", "grp")
     near = grouped.join(params, "grp", "left")
-    distance = _distance(near) / F.greatest("scale", F.lit(1.0))
+    distance = _distance(near) * CHI2_CUT / _finite_cut()
     return near.select(
         F.col("doc_id").alias(key), "n_words", "word_chars", "n_symbols", "n_dup_lines",
         "n_repeat_words", "base_failed", distance.alias("distance"),
