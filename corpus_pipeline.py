@@ -1,4 +1,8 @@
-"""A corpus pipeline of five stages; each reads what its predecessor kept."""
+"""A corpus pipeline of five stages; each reads what its predecessor kept.
+
+Stages decide per row: ids may be null or repeated, so decisions and spans are joined by a row key
+that each stage writes. Packed pieces carry the id as it is.
+"""
 
 from __future__ import annotations
 
@@ -21,34 +25,50 @@ from wikiloom.scale import landed  # noqa: E402
 ORACLE_SQL = None
 
 
-def _kept(docs: DataFrame, keep: DataFrame) -> DataFrame:
-    """Rows of docs whose ids are in the table of kept ids, which is written first."""
-    keep = landed(keep.select(F.col("doc_id").alias("_keep")).distinct(), "pipeline-keep")
-    return docs.join(keep, docs["doc_id"].eqNullSafe(keep["_keep"]), "left_semi")
+ROW = "_stage_row"
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """The rows with a key of their own, written, as ids may be null or repeated."""
+    return landed(docs.withColumn(ROW, F.monotonically_increasing_id()), "pipeline-rows")
+
+
+def _kept(keyed: DataFrame, keep: DataFrame) -> DataFrame:
+    """Rows whose row keys are in the table of kept keys, which is written first."""
+    keep = landed(keep.select(ROW), "pipeline-keep")
+    return keyed.join(keep, ROW, "left_semi").drop(ROW)
+
+
+def _first_of(keyed: DataFrame, groups: DataFrame, group: str) -> DataFrame:
+    """The row key of each group's smallest id; null is the smallest, and of equal ids the first row is taken."""
+    rows = groups.select(ROW, group).join(keyed.select(ROW, "doc_id"), ROW)
+    first = rows.groupBy(group).agg(F.min(F.struct("doc_id", ROW)).alias("first"))
+    return first.select(F.col(f"first.{ROW}").alias(ROW))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the limits or the outlier test reject go."""
-    return _kept(docs, quality(docs).where("kept"))
+    """Rows that the limits or the outlier test reject go, whatever their ids."""
+    keyed = _keyed(docs)
+    return _kept(keyed, quality(keyed, key=ROW).where("kept"))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the row with the smallest id stays."""
-    return _kept(docs, exact_groups(docs).where("kept"))
+    """Of equal texts one row stays, that with the smallest id (null first)."""
+    keyed = _keyed(docs)
+    return _kept(keyed, _first_of(keyed, exact_groups(keyed, key=ROW), "keep_id"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of linked texts (five-word shingles, similarity 0.8) the row with the smallest id stays."""
-    groups = jaccard_components(docs, words=5, percent=80)
-    return _kept(docs, groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))))
+    """Of linked texts (five-word shingles, similarity 0.8) one row stays, that with the smallest id (null first)."""
+    keyed = _keyed(docs)
+    return _kept(keyed, _first_of(keyed, jaccard_components(keyed, words=5, percent=80, key=ROW), "component_id"))
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data in texts is replaced by its kind in brackets; n_chars is counted anew."""
-    spans = personal_data(docs).where(F.size("spans") > 0)
-    spans = landed(spans.select(F.col("doc_id").alias("_id"), "spans"), "pipeline-spans")
-    spans = spans.dropDuplicates(["_id"])
-    both = docs.join(spans, docs["doc_id"].eqNullSafe(spans["_id"]), "left")
+    keyed = _keyed(docs)
+    spans = personal_data(keyed, key=ROW).where(F.size("spans") > 0)
+    both = keyed.join(landed(spans.select(ROW, "spans"), "pipeline-spans"), ROW, "left")
     clean = redacted(F.col("text"), F.col("spans"))
     text = F.when(F.col("spans").isNotNull(), clean).otherwise(F.col("text"))
     both = both.withColumn("text", text)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 import corpus_pipeline
 
 
@@ -20,3 +22,41 @@ def test_stages(spark, sf_dir):
     assert len(set(texts)) == len(texts)
     pieces = corpus_pipeline.STAGES[-1][1](spark, current, sf_dir).collect()
     assert {p["doc_id"] for p in pieces} == before
+
+
+def test_null_and_repeated_ids(spark, sf_dir):
+    draw = random.Random(5)
+
+    def words(count):
+        return ["".join(draw.choices("abcdefghij", k=draw.randint(3, 9))) for _ in range(count)]
+
+    def through(number, rows):
+        kind = "doc_id long, text string, lang string, source string, n_chars long"
+        docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], kind).repartition(3)
+        return [(r["doc_id"], r["text"]) for r in corpus_pipeline.STAGES[number][1](spark, docs, sf_dir).collect()]
+
+    good = [" ".join(words(60)) for _ in range(3)]
+    junk = [(i, "too short " + str(i)) for i in (None, None, 1)]
+    rows = [(None, good[0]), (None, good[1]), (1, good[2])]
+    assert sorted(t for _, t in through(0, rows + junk)) == sorted(good)
+
+    rows = [(None, good[0]), (None, good[0]), (7, good[0]), (3, good[1]), (3, good[1]), (3, good[2]), (9, good[2])]
+    left = [(None, good[0]), (3, good[1]), (3, good[2])]
+    assert sorted(through(1, rows), key=str) == sorted(left, key=str)
+
+    near = [good[0] + " " + w for w in words(4)]
+    rows = [(None, near[0]), (None, near[1]), (2, good[1]), (2, good[1] + " more"), (2, good[2]), (5, good[2] + " more")]
+    kept = through(2, rows)
+    assert sorted(map(str, (i for i, _ in kept))) == ["2", "2", "None"]
+    assert sum(t in near for _, t in kept) == 1 and sum(t.startswith(good[1]) for _, t in kept) == 1
+    assert (2, good[2]) in kept
+
+    rows = [(i, f"{'x' * n} write to name{n}@site.org now") for n in range(1, 9) for i in (None, 4)]
+    assert sorted(through(3, rows), key=str) == sorted(
+        ((i, f"{'x' * n} write to [EMAIL] now") for n in range(1, 9) for i in (None, 4)), key=str
+    )
+
+    pieces = corpus_pipeline.STAGES[4][1](
+        spark, spark.createDataFrame([(None, good[0]), (None, good[1]), (4, good[2]), (4, good[2])], "doc_id long, text string"), sf_dir
+    ).collect()
+    assert sorted(str(p["doc_id"]) for p in pieces if p["start"] == 0) == ["4", "4", "None", "None"]
