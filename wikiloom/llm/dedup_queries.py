@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from wikiloom.llm.cqf import exact_groups
 from wikiloom.llm.jaccard_join import jaccard_components
 from wikiloom.llm.registry import query, table
+from wikiloom.llm.simhash_covering import simhash_components
 
 OP2_SQL = r"""
 WITH d AS (
@@ -27,3 +28,8 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_jaccard_join")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), words=3, percent=90)
+
+
+@query("op13_simhash_covering")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(table(spark, sf_dir, "documents"), words=4, radius=4)

@@ -3,6 +3,7 @@
 from wikiloom.llm import (  # noqa: F401
     chat_queries,
     dedup_queries,
+    divergence_queries,
     language_queries,
     pii_queries,
     quality_queries,
