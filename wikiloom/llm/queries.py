@@ -8,6 +8,7 @@ from wikiloom.llm import (  # noqa: F401
     pii_queries,
     quality_queries,
     token_queries,
+    trie_queries,
     warc_queries,
 )
 from wikiloom.llm.registry import QUERIES, SQL  # noqa: F401
