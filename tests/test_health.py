@@ -22,10 +22,16 @@ def pings(seed, servers=4, count=120):
     ]
 
 
+def kind(row):
+    if row[3] is None:
+        return "no answer"
+    return "bad status" if row[3] != 200 else "critical" if row[2] > 8 else "warn" if row[2] > 3 else "ok"
+
+
 def replay(rows):
     """The monitor ping by ping."""
     changes, state = [], {}
-    for server, ts, elapsed, status in sorted(rows, key=lambda r: (r[0], r[1])):
+    for server, ts, elapsed, status in sorted(rows, key=lambda r: (r[0], r[1], kind(r))):
         failures, paused = state.get(server, (0, False))
         now = paused
         if status == 200:
@@ -41,8 +47,8 @@ def replay(rows):
 
 
 def waits(rows):
-    """Pauses with their length, cut at five minutes."""
-    last = {s: max(r[1] for r in rows if r[0] == s) for s in {r[0] for r in rows}}
+    """Pauses with their length, cut at five minutes; the clock is the last ping of any server."""
+    last = max(r[1] for r in rows)
     out, begun = [], {}
     for server, ts, paused in replay(rows):
         if paused:
@@ -51,9 +57,9 @@ def waits(rows):
             out.append((server, begun.pop(server), ts))
     full = [(s, at, (end - at).total_seconds()) for s, at, end in out]
     full += [
-        (s, at, (last[s] - at).total_seconds())
+        (s, at, (last - at).total_seconds())
         for s, at in begun.items()
-        if (last[s] - at).total_seconds() >= 300
+        if (last - at).total_seconds() >= 300
     ]
     return {(s, at, min(n, 300.0), n < 300) for s, at, n in full}
 
@@ -69,15 +75,18 @@ def test_batch(spark):
 
 
 def test_stream_over_several_batches(spark):
-    """Pings land in three files; some of the last file are older than what was seen and drop out."""
-    rows = pings(2)
+    """Pings land in five files, up to nine minutes late, some at equal times; one server falls silent."""
+    rows = pings(2) + [(s, t, 9.0, 503) for s, t, _, _ in pings(2)[::5]]
+    rows += [(9, START + dt.timedelta(seconds=60 * i), 12.0, 200) for i in range(3)]
+    rng = random.Random(7)
+    arrivals = sorted((t + dt.timedelta(seconds=rng.randint(0, 540)), n) for n, (_, t, _, _) in enumerate(rows))
+    end = max(r[1] for r in rows) + dt.timedelta(hours=1)
+    batches = [[rows[n] for _, n in arrivals[i : i + 130]] for i in range(0, len(arrivals), 130)]
+    batches.append([(77, end, 1.0, 200)])
+    batches.append([(0, START, 9.0, 200), (9, START + dt.timedelta(seconds=30), 1.0, 200)])  # beyond the watermark
     landed, out = scratch_path(spark, "pings"), scratch_path(spark, "out")
-    cut = [START, START + dt.timedelta(seconds=1500), START + dt.timedelta(seconds=3100), START + dt.timedelta(days=9)]
-    job = None
-    for number, (low, high) in enumerate(zip(cut, cut[1:])):
-        part = [r for r in rows if low <= r[1] < high]
-        if number == 2:
-            part += [(r[0], r[1], 9.0, 200) for r in rows[:2]]
+    per_batch = []
+    for part in batches:
         spark.createDataFrame(part, SCHEMA).repartition(1).write.mode("append").parquet(landed)
         job = (
             health_changes(spark.readStream.schema(SCHEMA).parquet(landed))
@@ -88,11 +97,19 @@ def test_stream_over_several_batches(spark):
             .start()
         )
         job.awaitTermination()
+        per_batch.append(spark.read.parquet(out).count())
+    assert len(set(per_batch)) > 3  # results come as the watermark passes, not at the end
     events = spark.read.parquet(out)
     changes = events.where("event = 'change'").collect()
     assert sorted((r.server, r.ts, r.paused) for r in changes) == sorted(replay(rows))
     outages = events.where("event = 'outage'").collect()
-    assert {(r.server, r.ts, r.seconds, r.recovered) for r in outages} == waits(rows)
+    got = sorted((r.server, r.ts, r.seconds, r.recovered) for r in outages)
+    assert got == sorted(waits(rows + [(77, end, 1.0, 200)]))
+    assert (9, START, 300.0, False) in got
+
+    frame = spark.createDataFrame(rows + [(77, end, 1.0, 200)], SCHEMA).repartition(4)
+    batch = health.outages(health.pause_changes(frame), frame).collect()
+    assert sorted((r.server, r.paused_at, r.seconds, r.recovered) for r in batch) == got
 
 
 def test_thresholds(spark):

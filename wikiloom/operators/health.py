@@ -77,19 +77,20 @@ def pause_changes(pings: DataFrame) -> DataFrame:
 def outages(changes: DataFrame, pings: DataFrame) -> DataFrame:
     """Pauses with their length in seconds, cut at the longest wait.
 
-    A pause that has not ended counts once its server's last ping is past that wait.
+    A pause that has not ended counts once the clock is past that wait. The clock is the last ping of any
+    server, so a server that is never pinged again has its outage too.
     """
     placed = with_index(changes, ["server", "ts"], "_at")
     ends = placed.select(
         "server", (F.col("_at") - 1).alias("_at"), F.col("ts").alias("resumed")
     )
-    last = pings.groupBy("server").agg(F.max("ts").alias("_last"))
-    begun = placed.where("paused").join(ends, ["server", "_at"], "left")
+    clock = pings.agg(F.max("ts").alias("_clock"))
     rows = (
-        lookup(begun, last, ["server"], ["_at"], "inner")
+        placed.where("paused").join(ends, ["server", "_at"], "left")
+        .join(F.broadcast(clock))  # one row
         .withColumn(
             "_seconds",
-            (F.unix_micros(F.coalesce("resumed", "_last")) - F.unix_micros("ts")) / 1_000_000,
+            (F.unix_micros(F.coalesce("resumed", "_clock")) - F.unix_micros("ts")) / 1_000_000,
         )
         .where(F.col("resumed").isNotNull() | (F.col("_seconds") >= LONGEST_WAIT))
     )

@@ -1,8 +1,9 @@
 """Server health on a stream of pings, with the same results as the batch operators.
 
-The state of a server is four values. Pings of one server in a micro-batch are sorted by time in
-the processor; limit the size of a micro-batch at the source. A monitor pings a server every few
-seconds, so no server's share of a micro-batch is large.
+Pings may come late and in any order, up to the watermark. They wait in keyed state, a minute in an entry,
+until the watermark has passed them, and are then taken in order of time and class; so results do
+not depend on how the stream is cut into micro-batches. A pause gets an event-time timer for the longest
+wait, which is deleted if the server resumes: a server that is never pinged again still yields its outage.
 """
 
 from __future__ import annotations
@@ -21,71 +22,114 @@ from wikiloom.operators.health import (
     classified_pings,
 )
 
-CHANGE_SCHEMA = (
-    "server long, ts timestamp, event string, paused boolean, seconds double, recovered boolean"
-)
-_STATE_SCHEMA = "failures int, paused boolean, paused_at timestamp, reported boolean, last timestamp"
+_OUT = "server long, us long, event string, paused boolean, seconds double, recovered boolean"
+_STATE = "failures int, paused boolean, paused_at long, reported boolean, alarm long"
+_WAIT = int(LONGEST_WAIT * 1_000_000)
+_MINUTE = 60_000_000
 
 
 class HealthProcessor(StatefulProcessor):
-    """Emits a ``change`` when a server pauses or resumes and an ``outage`` when a pause ends or
-    has lasted for the longest wait. Pings of equal time all count, in the order of their classes, as
-    in the batch operators. Pings older than the last one of an earlier micro-batch are dropped."""
+    """Emits a ``change`` when a server pauses or resumes, and an ``outage`` when a pause ends or has
+    lasted for the longest wait.
+
+    A ping is taken once the watermark is past its time; times are in microseconds, those of the watermark
+    and of timers in milliseconds. The timer of a ping is the millisecond it lies in.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._state = handle.getValueState("health", _STATE_SCHEMA)
+        self._handle = handle
+        self._health = handle.getValueState("health", _STATE)
+        self._waiting = handle.getMapState("waiting", "minute long", "us array<long>, kinds array<string>")
 
     def handleInputRows(
         self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object
     ) -> Iterator[pd.DataFrame]:
-        failures, paused, paused_at, reported, last = (0, False, None, False, None)
-        if self._state.exists():
-            failures, paused, paused_at, reported, last = self._state.get()
-            paused_at = None if paused_at is None else pd.Timestamp(paused_at)
-            last = None if last is None else pd.Timestamp(last)
-        pings = pd.concat(list(rows)).sort_values(["ts", "kind"])
+        first = None
+        now = timerValues.getCurrentWatermarkInMs() * 1000
+        for frame in rows:
+            frame = frame[frame["us"] >= now]
+            for minute, part in frame.groupby(frame["us"] // _MINUTE):
+                us, kinds = part["us"].tolist(), part["kind"].tolist()
+                first = min([*us, first] if first is not None else us)
+                held = (int(minute),)
+                if self._waiting.containsKey(held):
+                    before = self._waiting.getValue(held)
+                    us, kinds = list(before[0]) + us, list(before[1]) + kinds
+                self._waiting.updateValue(held, (us, kinds))
+        if first is not None:
+            self._handle.registerTimer(first // 1000)
+        return iter([])
+
+    def handleExpiredTimer(
+        self, key: tuple, timerValues: object, expiredTimerInfo: object
+    ) -> Iterator[pd.DataFrame]:
+        now = timerValues.getCurrentWatermarkInMs() * 1000
+        failures, paused, paused_at, reported, alarm = (0, False, None, False, None)
+        if self._health.exists():
+            failures, paused, paused_at, reported, alarm = self._health.get()
         out = []
-        for ts, kind in zip(pings["ts"], pings["kind"]):
-            if last is not None and ts < last:
-                continue
-            last = ts
-            now = paused
+        for us, kind in self._due(now):
+            then = paused
             if kind in ("bad status", "no answer"):
                 failures += 1
                 if failures >= (NO_ANSWER_LIMIT if kind == "no answer" else BAD_STATUS_LIMIT):
-                    now = True
+                    then = True
             else:
                 failures = 0
-                now = kind == "critical"
-            waited = (ts - paused_at).total_seconds() if paused else 0.0
-            if paused and not reported and (not now or waited >= LONGEST_WAIT):
-                out.append(
-                    (key[0], paused_at, "outage", True, min(waited, LONGEST_WAIT), waited < LONGEST_WAIT)
-                )
+                then = kind == "critical"
+            waited = us - paused_at if paused else 0
+            if paused and not reported and (not then or waited >= _WAIT):
+                seconds = min(waited, _WAIT) / 1_000_000
+                out.append((key[0], paused_at, "outage", True, seconds, waited < _WAIT))
                 reported = True
-            if now != paused:
-                out.append((key[0], ts, "change", now, None, None))
-                paused, paused_at, reported = now, ts if now else None, False
-        self._state.update((failures, paused, paused_at, reported, last))
-        yield pd.DataFrame(
-            out, columns=["server", "ts", "event", "paused", "seconds", "recovered"]
-        )
+            if then != paused:
+                out.append((key[0], us, "change", then, None, None))
+                paused, paused_at, reported = then, us if then else None, False
+        if paused and not reported and paused_at + _WAIT < now:
+            out.append((key[0], paused_at, "outage", True, LONGEST_WAIT, False))
+            reported = True
+        wanted = (paused_at + _WAIT) // 1000 if paused and not reported else None
+        if wanted != alarm:
+            if alarm is not None and alarm * 1000 >= now:
+                self._handle.deleteTimer(alarm)
+            if wanted is not None:
+                self._handle.registerTimer(wanted)
+        self._health.update((failures, paused, paused_at, reported, wanted))
+        if out:
+            yield pd.DataFrame(out, columns=["server", "us", "event", "paused", "seconds", "recovered"])
+
+    def _due(self, now: int) -> Iterator[tuple[int, str]]:
+        """Waiting pings before the watermark, in order; the next one to wait for gets a timer."""
+        for minute in sorted(k[0] for k in self._waiting.keys()):
+            us, kinds = self._waiting.getValue((minute,))
+            pings = sorted(zip(us, kinds))
+            later = [p for p in pings if p[0] >= now]
+            yield from pings[: len(pings) - len(later)]
+            if later:
+                self._waiting.updateValue((minute,), ([p[0] for p in later], [p[1] for p in later]))
+                self._handle.registerTimer(later[0][0] // 1000)
+                return
+            self._waiting.removeKey((minute,))
 
     def close(self) -> None:
         pass
 
 
 def health_changes(pings: DataFrame, lateness: str = "10 minutes") -> DataFrame:
-    """Stream of pauses, resumptions and outages per server."""
+    """Stream of pauses, resumptions and outages per server: server, ts, event, paused, seconds, recovered.
+
+    ``lateness`` is how far a ping may lie behind the latest one of any server; later ones are dropped.
+    """
     return (
         classified_pings(pings)
         .withWatermark("ts", lateness)
-        .select("server", "ts", F.col("class").alias("kind"))
+        .select("server", "ts", F.unix_micros("ts").alias("us"), F.col("class").alias("kind"))
         .groupBy("server")
         .transformWithStateInPandas(
             statefulProcessor=HealthProcessor(),
-            outputStructType=CHANGE_SCHEMA,
+            outputStructType=_OUT,
             outputMode="Append",
-            timeMode="None",
+            timeMode="EventTime",
         )
+        .select("server", F.timestamp_micros("us").alias("ts"), "event", "paused", "seconds", "recovered")
     )
