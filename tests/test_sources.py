@@ -73,6 +73,43 @@ def test_export_tables(spark, tmp_path):
     assert {r.id for r in page_ops.current_pages(export.export_pages(table)).collect()} == {"1", "3"}
 
 
+def test_one_file_is_read_by_several_tasks(spark, tmp_path):
+    """Splits of one file cut objects anywhere; bodies hold the tags of objects and marks of CDATA."""
+    import random
+    import xml.etree.ElementTree as ET
+
+    draw = random.Random(3)
+    parts = [
+        "text ", "line\nline ", "</object>", '<object class="Page"><id name="id">77</id></object>', "<![CDATA[",
+        "]] >", "é日 ", "</objects>", "x" * 300, "&amp;",
+    ]
+    lines = ['<?xml version="1.0" encoding="UTF-8"?>', "<objects>"]
+    for i in range(400):
+        body = "a" + "".join(draw.choices(parts, k=draw.randint(0, 12))) + "z"
+        if draw.random() < 0.5:
+            value = f"<![CDATA[{body}]]>"
+        else:
+            value = body.replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;")
+        more = f'<property name="title"><![CDATA[t {body}]]></property>' if draw.random() < 0.3 else ""
+        lines.append(f'<object class="BodyContent"><id name="id">{i}</id><property name="body">{value}</property>{more}</object>')
+    lines.append("</objects>")
+    (tmp_path / "entities.xml").write_text("\n".join(lines), encoding="utf-8")
+    want = [
+        (e.find("id").text, e.find("property").text, len(e.findall("property")))
+        for e in ET.fromstringlist(lines).findall("object")
+    ]
+    split = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(split)
+    for size in ("7k", "20k", before):
+        spark.conf.set(split, size)
+        table = export.read_objects(spark, str(tmp_path))
+        got = table.orderBy("ord").collect()
+        assert [(r["id"]["_VALUE"], r["property"][0]["_VALUE"], len(r["property"])) for r in got] == want
+        if size == "7k":
+            assert spark.read.option("lineSep", "</object>").text(str(tmp_path)).rdd.getNumPartitions() > 8
+    spark.conf.set(split, before)
+
+
 def test_the_last_file_wins_whatever_its_size(spark, tmp_path):
     def page(number, title):
         return f'<object class="Page"><id name="id">{number}</id><property name="title">{title}</property></object>'

@@ -12,7 +12,7 @@ from wikiloom.operators import links as link_ops
 from wikiloom.operators import pages as page_ops
 from wikiloom.plans import export as export_plan
 from wikiloom.plans import site as site_plan
-from wikiloom.scale import scratch_path
+from wikiloom.scale import scratch_path, with_index
 from wikiloom.sources import export, sinks
 
 X, FILES = standins.SQL_EXPORT, standins.SQL_EXPORT_FILES
@@ -20,12 +20,19 @@ X, FILES = standins.SQL_EXPORT, standins.SQL_EXPORT_FILES
 
 @query(
     "s10_export_objects",
-    """SELECT 'Page' AS class, count(*) AS objects FROM conversations
-       UNION ALL SELECT 'BodyContent', count(*) FROM conversations
-       UNION ALL SELECT 'Attachment', count(*) FROM documents""",
+    f"""SELECT class, id, (row_number() OVER (ORDER BY doc_id, class))::BIGINT AS place, body FROM (
+          SELECT doc_id, 'BodyContent' AS class, 'b' || doc_id AS id, md5({standins.SQL_EXPORT_BODY}) AS body
+          FROM documents
+          UNION ALL SELECT doc_id, 'Page', 'c' || doc_id, NULL FROM documents)""",
 )
 def s10(spark: SparkSession, sf: str) -> DataFrame:
-    return export.class_counts(standins.export_objects(spark, sf))
+    body = F.get(F.filter("property", lambda p: p["_name"] == "body"), F.lit(0))["_VALUE"]
+    objects = standins.export_text(spark, sf).select(
+        "ord", F.col("_class").alias("class"), F.col("id._VALUE").alias("id"),
+        F.md5(export.repair_cdata(body)).alias("body"),
+    )
+    placed = with_index(objects, ["ord"], "_at")
+    return placed.select("class", "id", (F.col("_at") + 1).alias("place"), "body")
 
 
 @query(

@@ -325,6 +325,35 @@ def export_objects(spark: SparkSession, sf: str) -> DataFrame:
     return export.read_objects(spark, path)
 
 
+def export_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents as bodies of an XML export, in order; two of three hold the tags of an object."""
+    doc = string("doc_id")
+    tags = text('</object> <object class="Page"><id name="id">p', doc, "</id></object>")
+    code = text("<pre><![CDATA[x</object>]] ></pre> </object> and ", tags)
+    body = text(
+        "<p>", F.replace(F.coalesce("text", F.lit("")), F.lit("]]>"), F.lit("]] >")),
+        F.when(F.col("doc_id") % 3 == 0, tags).when(F.col("doc_id") % 3 == 1, code).otherwise(""), "</p>",
+    )
+    line = text(
+        '<object class="BodyContent" package="w"><id name="id">b', doc, '</id><property name="body"><![CDATA[', body,
+        ']]></property><property name="bodyType">2</property></object>\n<object class="Page"><id name="id">c', doc,
+        '</id><property name="title">Title ', doc, "</property></object>",
+    )
+    path = scratch_path(spark, "export-text")
+    documents = table(spark, sf, "documents")
+    documents.repartitionByRange("doc_id").sortWithinPartitions("doc_id").select(line).write.text(path)
+    return export.read_objects(spark, path)
+
+
+SQL_EXPORT_BODY = """
+  replace('<p>' || replace(coalesce(text, ''), ']]>', ']] >') || CASE doc_id % 3
+    WHEN 0 THEN '</object> <object class="Page"><id name="id">p' || doc_id || '</id></object>'
+    WHEN 1 THEN '<pre><![CDATA[x</object>]] ></pre> </object> and </object> <object class="Page">'
+      || '<id name="id">p' || doc_id || '</id></object>'
+    ELSE '' END || '</p>', ']] >', ']]>')
+"""
+
+
 # Versions of the export: page, id, number, status, text.
 SQL_EXPORT = """
   SELECT conv_id, turn, role, text, turn = last AS is_last,

@@ -7,34 +7,75 @@ from pyspark.sql import functions as F
 
 from wikiloom import schemas
 from wikiloom.functions.text import strip
-from wikiloom.scale import first_rows, with_index
+from wikiloom.scale import first_rows, landed, with_index
 
+_END = "</object>"
 _ROW_BITS = 33  # monotonically_increasing_id keeps the partition number above this bit
 
 
 def read_objects(spark: SparkSession, path: str) -> DataFrame:
     """All ``<object>`` rows; ``ord`` is their order, by path of the file, then place in the file.
 
-    Bodies run over many lines, so a file is streamed by one task; exports of many spaces are many
-    files. What follows shuffles by id and is spread again. The table of files that is broadcast has
-    one row per file, as has the listing that the driver holds anyway.
+    A file is read as text that is split at ``</object>``, so any number of tasks read one file: a record
+    belongs to the split in which it begins. A body may hold the same tag in a CDATA section; pieces
+    of such an object are put together again before anything is parsed. Objects have a closing tag of
+    their own; bytes are UTF-8.
     """
-    raw = (
-        spark.read.format("xml")
-        .option("rowTag", "object")
-        .option("multiLine", True)
-        .schema(schemas.EXPORT_OBJECT)
-        .load(path)
+    text = spark.read.option("lineSep", _END).text(path)
+    at = [
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_mid"),
+    ]
+    # One row per split; splits are not read in the order of files.
+    marked = landed(text.select(*at, _left_open(F.col("value")).alias("_open")), "pieces")
+    splits = with_index(marked.select("_file", "_block").distinct(), ["_file", "_block"], "_at")
+    row = F.col("_mid").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    order = (F.shiftleft("_at", _ROW_BITS) + row).alias("ord")
+    marked = marked.join(splits, ["_file", "_block"]).select(order, "_open")
+    pieces = text.select(*at, F.col("value").alias("_piece")).join(splits, ["_file", "_block"])
+    whole = _put_together(pieces.select(order, "_piece"), marked)
+    begun = F.regexp_instr("_piece", F.lit(r"<object[\s>]"))
+    objects = whole.where(begun > 0).select(
+        "ord",
+        F.from_xml(F.concat(F.substr("_piece", begun), F.lit(_END)), schemas.EXPORT_OBJECT).alias("o"),
     )
-    file = F.col("_metadata.file_path").alias("_file")
-    # Spark reads larger files first, so the number of a partition is no order of files.
-    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    files = with_index(spark.read.format("binaryFile").load(path).select(file), ["_file"], "_at")
-    return (
-        raw.select("*", file, row.alias("_row"))
-        .join(F.broadcast(files), "_file", "left")
-        .select(*raw.columns, (F.shiftleft("_at", _ROW_BITS) + F.col("_row")).alias("ord"))
+    return objects.select("o.*", "ord")
+
+
+def _left_open(piece: Column) -> Column:
+    """Whether a CDATA section is open at the end of a piece; null if it holds no mark of one."""
+    parts = F.split(piece, F.lit("]]>"), -1)
+    after = F.element_at(parts, -1).contains("<![CDATA[")
+    return F.when(after, F.lit(True)).when(F.size(parts) > 1, F.lit(False))
+
+
+def _put_together(pieces: DataFrame, marked: DataFrame) -> DataFrame:
+    """Pieces as whole objects: those cut within a CDATA section are joined up to where it ends.
+
+    Marks are numbered in order. Marks that leave a section open, one after the other, differ from their
+    own number by the same amount; the mark after such a run closes the section.
+    """
+    if marked.where("_open").isEmpty():
+        return pieces
+    placed = with_index(marked, ["ord"], "_idx")
+    marks = with_index(placed.where(F.col("_open").isNotNull()), ["_idx"], "_mark")
+    opened = with_index(marks.where("_open").select("_idx", "_mark"), ["_idx"], "_nth")
+    runs = opened.groupBy((F.col("_mark") - F.col("_nth")).alias("_run")).agg(
+        F.min("_idx").alias("_first"), (F.max("_mark") + 1).alias("_mark")
+    )
+    ends = marks.select("_mark", F.col("_idx").alias("_last"))
+    runs = runs.join(ends, "_mark").select("_first", F.explode(F.sequence("_first", "_last")).alias("_idx"))
+    heads = placed.select(F.col("_idx").alias("_first"), F.col("ord").alias("_head"))
+    cut = landed(
+        runs.join(placed.select("_idx", "ord"), "_idx").join(heads, "_first").select("ord", "_head"), "cut"
+    )
+    joined = (
+        pieces.join(cut, "ord").groupBy("_head")
+        .agg(F.sort_array(F.collect_list(F.struct("ord", "_piece"))).alias("_pieces"))
+        .select(F.col("_head").alias("ord"), F.array_join("_pieces._piece", _END).alias("_piece"))
     )
+    return pieces.join(cut, "ord", "left_anti").unionByName(joined)
 
 
 def class_counts(objects: DataFrame) -> DataFrame:
