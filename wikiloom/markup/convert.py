@@ -1,7 +1,7 @@
 """The conversion job: page bodies to wiki text.
 
-A body passes through one stage, without a shuffle: native rules, one Arrow function for nested
-lists, native rules, entity decoding, native clean-up. Links to pages and spaces need a
+A body passes through one stage, without a shuffle, by built-in expressions; only titles with accents go
+through an Arrow function. Links to pages and spaces need a
 lookup; ``with_link_targets`` adds it, and moves only the bodies that hold such links.
 """
 
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from wikiloom.functions.text import unescape
 from wikiloom.markup import html, links
-from wikiloom.markup.lists import lists_and_titles
+from wikiloom.markup.lists import convert_lists, fold_titles
 from wikiloom.markup.macros import convert_macros
 from wikiloom.scale import lookup
 
@@ -57,8 +57,7 @@ def _export_steps() -> list[Callable[[Column], Column]]:
 
     def inline(body: Column) -> Column:
         body = html.strikes(html.plain_emphasis(body), "export", "markdown")
-        body = links.shown_images(links.plain_links(body), "export", "markdown")
-        return html.flat_lists(body)
+        return links.shown_images(links.plain_links(body), "export", "markdown")
 
     return [lambda body: convert_macros(body, "export", "markdown"), stored, blocks, inline]
 
@@ -81,7 +80,8 @@ def _steps(app: str, form: str, fmt: str, lookups: tuple[str, ...]) -> list[Colu
     given = [F.col(c) if c in lookups else None for c in ("link_pages", "link_spaces", "project")]
     steps = _export_steps() if form == "export" else _site_steps(fmt, *given)
     steps += [
-        lambda body: lists_and_titles(body, form, fmt),
+        lambda body: convert_lists(body, fmt == "textile"),
+        fold_titles,
         lambda body: _tail(body, form, fmt),
         unescape,
         lambda body: html.finish(body, fmt),

@@ -1,6 +1,13 @@
-"""The one rule that needs a stack: nested lists. Also folds the accents of marked titles.
+"""Nested lists, from the inside out, in built-in expressions.
 
-The function sees Arrow batches of bodies; bodies without lists or such titles stay in the JVM.
+A list that holds no other becomes a block of lines between two marks. The list around it meets the block
+inside an item, puts one level of indent before its lines and sets them below the item's own
+line. Each round closes one level of all lists of a body, whatever their kinds; a body has as many rounds
+as it is deep.
+
+List tags without a partner, and those that cross another pair, keep a list from being innermost.
+They are dropped in a second run, which looks at one kind at a time; outside of all lists they stay for the
+general rules.
 """
 
 from __future__ import annotations
@@ -12,132 +19,125 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wikiloom.functions.text import fold_text
-from wikiloom.markup.marks import TITLE_CLOSE, TITLE_OPEN
-
-_TAG = re.compile(r"<(/?)(ul|ol|li)\b([^>]*)>")
+from wikiloom.functions.text import SPACE, bind, fold_text, group, has, one_line, rewrite
+from wikiloom.markup.marks import (
+    GUARD,
+    LINES_CLOSE,
+    LINES_OPEN,
+    NEWLINE_MARK,
+    TITLE_CLOSE,
+    TITLE_OPEN,
+)
+from wikiloom.markup.nesting import depth, rewrite_nested
+
+_LIST = "(?:ul|ol)"
+_INDENT = "   "
 _TITLE = re.compile(f"{TITLE_OPEN}([^{TITLE_CLOSE}]*){TITLE_CLOSE}")
-_BLOCK = re.compile(r"<br\s*/?>|</?(?:p|div)\b[^>]*>")
-_DROP = re.compile(r"<(?!/?u\b)(?!/span)(?!span\b[^>]*style=)[^>]+>")
-_BOX = re.compile(r'class="[^"]*\b(unchecked|checked)\b[^"]*"')
-
-
-def _balanced(tags: list[re.Match]) -> set[int]:
-    """Places of the list tags that have a partner of their kind."""
-    open_tags: dict[str, list[int]] = {"ul": [], "ol": []}
-    paired: set[int] = set()
-    for place, tag in enumerate(tags):
-        kind = tag[2]
-        if kind == "li":
-            continue
-        if not tag[1]:
-            open_tags[kind].append(place)
-        elif open_tags[kind]:
-            paired.update((open_tags[kind].pop(), place))
-    return paired
-
-
-class _Item:
-    """A list item under construction; its line stands before those of its sublists."""
-
-    def __init__(self, kind: str, number: int, level: int, slot: int, attributes: str):
-        self.kind, self.number, self.level, self.slot = kind, number, level, slot
-        self.pieces, self.attributes = [], attributes
-
-    def line(self, textile: bool) -> str:
-        html = "".join(self.pieces)
-        text = " ".join(_DROP.sub("", _BLOCK.sub(" ", html)).split())
-        if self.kind == "ol":
-            text = re.sub(r"^\d+[.)]\s*", "", text)
-        if textile:
-            return ("#" if self.kind == "ol" else "*") * (self.level + 1) + f" {text}\n"
-        box = _BOX.search(self.attributes) or _BOX.search(html)
-        indent = "   " * self.level
-        if box:
-            return f"{indent}- [{' ' if box[1] == 'unchecked' else 'x'}] {text}\n"
-        if self.kind == "ol":
-            return f"{indent}{self.number}. {text}\n"
-        return f"{indent}- {text}\n"
-
-
-def convert_lists(body: str, textile: bool) -> str:
-    tags = list(_TAG.finditer(body))
-    paired = _balanced(tags)
-    out: list[str] = []
-    lists: list[list] = []  # kind and next number of each open list
-    items: list[_Item] = []
-    at = 0
-
-    def close_items(down_to: int) -> None:
-        while len(items) > down_to:
-            item = items.pop()
-            out[item.slot] = item.line(textile)
-
-    for place, tag in enumerate(tags):
-        gap = body[at : tag.start()]
-        at = tag.end()
-        if items:
-            items[-1].pieces.append(gap)
-        elif not lists:
-            out.append(gap)
-        closing, kind = bool(tag[1]), tag[2]
-        if kind == "li":
-            if not lists:
-                out.append(tag[0])
-                continue
-            close_items(lists[-1][2])
-            if not closing:
-                held = lists[-1]
-                items.append(_Item(held[0], held[1], len(lists) - 1, len(out), tag[3]))
-                out.append("")
-                held[1] += 1
-        elif place not in paired:
-            if not lists:
-                out.append(tag[0])
-        elif not closing:
-            if not lists:
-                out.append("\n")
-            start = re.search(r'start="(\d+)"', tag[3])
-            first = int(start[1]) if kind == "ol" and start else 1
-            lists.append([kind, first, len(items)])
-        elif any(held[0] == kind for held in lists):
-            while True:
-                held = lists.pop()
-                close_items(held[2])
-                if held[0] == kind:
-                    break
-            if not lists:
-                out.append("\n")
-    close_items(0)
-    out.append(body[at:])
-    return "".join(out)
-
-
-def _with_folded_titles(body: str) -> str:
-    return _TITLE.sub(lambda m: f"{TITLE_OPEN}{fold_text(m[1])}{TITLE_CLOSE}", body)
+_BLOCK = f"{LINES_OPEN}([^{LINES_CLOSE}]*+){LINES_CLOSE}"
+_ITEM = r"<li\b([^>]*)>"
+_BREAK = r"<br\s*/?>|</?(?:p|div)\b[^>]*>"
+_DROP = r"<(?!/?u\b)(?!/span)(?!span\b[^>]*style=)[^>]+>"
+_BOX = r'class="[^"]*\b(unchecked|checked)\b[^"]*"'
+_FENCE = rf"\n(```[^\n]*\n){GUARD}([^\n]*+\n```)\n"
+# An element of either kind that holds no list tag at all
+_INNERMOST = rf"<(ul|ol)\b[^>]*+>(?:[^<]++|<(?!/?{_LIST}\b))*+</\1>"
+
+
+def _below(lines: Column, textile: bool) -> Column:
+    """Lines one level deeper; those of a code block are armoured and have marks for line ends."""
+    if textile:
+        return F.regexp_replace(lines, r"(?md)^([*#])", "$1$1")
+    return F.regexp_replace(lines, rf"(?md)^(?=.)|(?<={NEWLINE_MARK})", _INDENT)
+
+
+def _item(attributes: Column, content: Column, ordered: Column, number: Column, textile: bool) -> Column:
+    """The lines of an item: its own, then those of the blocks in it and behind it."""
+    if not textile:
+        fence = F.regexp_replace(content, _FENCE, f"{LINES_OPEN}$1{GUARD}$2\n{LINES_CLOSE}")
+        content = F.when(F.contains(content, F.lit("\n```")), fence).otherwise(content)
+
+    def lines(whole: Column) -> Column:
+        blocks = F.array_join(F.regexp_extract_all(whole, F.lit(_BLOCK), F.lit(1)), "")
+        own = F.regexp_replace(F.get(F.split(whole, "</li>", 2), F.lit(0)), _BLOCK, "")
+
+        def line(html: Column) -> Column:
+            words = one_line(F.regexp_replace(F.regexp_replace(html, _BREAK, " "), _DROP, ""))
+            words = F.when(ordered, F.regexp_replace(words, rf"^\d+[.)][{SPACE}]*", "")).otherwise(words)
+            if textile:
+                return F.concat(F.when(ordered, "# ").otherwise("* "), words, F.lit("\n"))
+            box = F.coalesce(F.nullif(group(attributes, _BOX), F.lit("")), group(html, _BOX))
+            mark = (
+                F.when(box == "unchecked", "- [ ] ").when(box == "checked", "- [x] ")
+                .when(ordered, F.concat(number.cast("string"), F.lit(". "))).otherwise("- ")
+            )
+            return F.concat(mark, words, F.lit("\n"))
+
+        below = F.when(blocks != "", _below(blocks, textile)).otherwise("")
+        return F.concat(bind(own, line), below)
+
+    return bind(content, lines)
+
+
+def _listing(element: Column, textile: bool) -> Column:
+    """A list without lists in it, as a block of lines. Text between items goes, blocks there stay."""
+    opening = r"^<(ul|ol)\b([^>]*+)>"
+    ordered = group(element, opening) == "ol"
+    first = F.coalesce(
+        F.nullif(group(group(element, opening, 2), r'start="(\d{1,9})"'), F.lit("")).cast("long"), F.lit(1)
+    )
+    inner = F.regexp_replace(element, rf"{opening}|</{_LIST}>$", "")
 
+    def items(body: Column) -> Column:
+        parts = F.split(body, _ITEM, -1)
+        attributes = F.regexp_extract_all(body, F.lit(_ITEM), F.lit(1))
+        before = F.array_join(F.regexp_extract_all(F.get(parts, F.lit(0)), F.lit(_BLOCK), F.lit(1)), "")
 
-@F.pandas_udf(T.StringType())
-def _markdown(bodies: pd.Series) -> pd.Series:
-    return bodies.map(
-        lambda b: _with_folded_titles(convert_lists(b, False)), na_action="ignore"
-    )
+        def made(parts: Column) -> Column:
+            lines = F.transform(
+                attributes,
+                lambda a, i: _item(a, F.get(parts, i + 1), ordered, first + i, textile),
+            )
+            return F.concat(
+                F.lit(LINES_OPEN), _below(before, textile), F.array_join(lines, ""), F.lit(LINES_CLOSE)
+            )
 
+        return bind(parts, made)
+
+    return bind(inner, items)
 
-@F.pandas_udf(T.StringType())
-def _textile(bodies: pd.Series) -> pd.Series:
-    return bodies.map(lambda b: _with_folded_titles(convert_lists(b, True)), na_action="ignore")
+
+def convert_lists(body: Column, textile: bool) -> Column:
+    def rounds(text: Column) -> Column:
+        levels = F.sequence(F.lit(1), F.greatest(depth(text, _LIST), F.lit(1)))
+        return F.aggregate(
+            levels, text, lambda acc, _: rewrite(acc, _INNERMOST, lambda e: _listing(e, textile))
+        )
+
+    def leftover(text: Column, kind: str, other: str) -> Column:
+        """Lists of a kind in which tags of the other kind have no partner."""
+
+        def cleared(element: Column) -> Column:
+            return _listing(F.regexp_replace(element, rf"</?{other}\b[^>]*>", ""), textile)
+
+        both = has(text, rf"<{kind}\b") & F.contains(text, F.lit(f"</{kind}>"))
+        return F.when(both, rewrite_nested(text, kind, cleared)).otherwise(text)
+
+    done = bind(body, rounds)
+    done = bind(done, lambda text: leftover(text, "ul", "ol"))
+    done = bind(done, lambda text: leftover(text, "ol", "ul"))
+    done = F.translate(done, LINES_OPEN + LINES_CLOSE, "\n\n")
+    return bind(body, lambda text: F.when(has(text, rf"<{_LIST}\b"), done).otherwise(text))
 
 
 @F.pandas_udf(T.StringType())
-def _titles_only(bodies: pd.Series) -> pd.Series:
-    return bodies.map(_with_folded_titles, na_action="ignore")
+def _with_folded_titles(bodies: pd.Series) -> pd.Series:
+    def folded(body: str) -> str:
+        return _TITLE.sub(lambda m: f"{TITLE_OPEN}{fold_text(m[1])}{TITLE_CLOSE}", body)
+
+    return bodies.map(folded, na_action="ignore")
 
 
-def lists_and_titles(body: Column, form: str, fmt: str) -> Column:
-    title = F.regexp_like(body, F.lit(f"{TITLE_OPEN}[^{TITLE_CLOSE}]*[^\\x00-\\x7f{TITLE_CLOSE}]"))
-    if form == "export":
-        return F.coalesce(_titles_only(F.when(title, body)), body)
-    convert = _textile if fmt == "textile" else _markdown
-    needed = title | F.regexp_like(body, F.lit(r"<(?:ul|ol)\b"))
-    return F.coalesce(convert(F.when(needed, body)), body)
+def fold_titles(body: Column) -> Column:
+    """Marked titles without accents; only bodies with such titles leave the JVM."""
+    title = has(body, f"{TITLE_OPEN}[^{TITLE_CLOSE}]*[^\\x00-\\x7f{TITLE_CLOSE}]")
+    return F.coalesce(_with_folded_titles(F.when(title, body)), body)
