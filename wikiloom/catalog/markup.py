@@ -1,7 +1,9 @@
 """Conversion rules. Each rule runs over bodies that Spark builds around the whole texts of
 the documents, so the expected text follows from the making and SQL can state it.
 
-Templates hold ``{w}`` (the words of the text), ``{id}`` (the document's number), ``{id3}`` (padded
+Templates hold ``{w}`` (the whole text on one line, escaped for HTML in a body and plain in what is
+expected), ``{lines}`` (the same with its line breaks), ``{cell}`` (with bars escaped in what is
+expected), ``{words}`` (its letters only), ``{id}`` (the document's number), ``{id3}`` (padded
 to three digits), ``{raw}`` (the text as it is) and ``{lang}``. ``\\n`` is a line break.
 """
 
@@ -13,13 +15,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wikiloom.catalog import movement, standins
-from wikiloom.catalog.registry import SQL_WORDS, query, string, texts, words
+from wikiloom.catalog.registry import SQL_LINED, SQL_WHOLE, SQL_WORDS, lined, query, string, texts, whole, words
 from wikiloom.markup.convert import convert_pages, with_link_targets
 from wikiloom.operators.links import page_map
 from wikiloom.scale import landed
 
 _FIELDS = {
-    "w": (lambda: words(F.col("text")), SQL_WORDS),
+    "w": (lambda: whole(F.col("text")), SQL_WHOLE),
+    "lines": (lambda: lined(F.col("text")), SQL_LINED),
+    "cell": (lambda: whole(F.col("text")), f"replace({SQL_WHOLE}, '|', '\\|')"),
+    "words": (lambda: words(F.col("text")), SQL_WORDS),
     "id": (lambda: string("doc_id"), "doc_id::VARCHAR"),
     "id3": (
         lambda: F.lpad(string("doc_id"), F.greatest(F.length(string("doc_id")), F.lit(3)), F.lit("0")),
@@ -82,28 +87,28 @@ def link(content: str, label: str | None = None) -> str:
 T, E = "textile", "export"
 
 # Macros ----------------------------------------------------------------------------------------
-rule("c1_self_closed_macro", 'a<ac:structured-macro ac:name="children" />{w}', "a\n\n{{child_pages}}\n\n{w}")
-rule("c2_toc", "a" + macro("toc", par("maxLevel", "2")) + "{w}", "a\n\n{{toc}}\n\n{w}")
-rule("c2_toc_export", "a" + macro("toc") + "{w}", "a\n{{>toc}}\n{w}", form=E)
+rule("c1_self_closed_macro", 'a<ac:structured-macro ac:name="children" />{lines}', "a\n\n{{child_pages}}\n\n{lines}")
+rule("c2_toc", "a" + macro("toc", par("maxLevel", "2")) + "{lines}", "a\n\n{{toc}}\n\n{lines}")
+rule("c2_toc_export", "a" + macro("toc") + "{lines}", "a\n{{>toc}}\n{lines}", form=E)
 rule(
     "c3_anchor",
-    "{w} " + macro("anchor", par("", " p{id} ")) + "z",
-    '{w} <a name="p{id}" id="p{id}"></a>z',
+    "{lines} " + macro("anchor", par("", " p{id} ")) + "z",
+    '{lines} <a name="p{id}" id="p{id}"></a>z',
 )
-rule("c3_anchor_export", "{w} " + macro("anchor", par("", "p")) + "z", "{w} z", form=E)
+rule("c3_anchor_export", "{lines} " + macro("anchor", par("", "p")) + "z", "{lines} z", form=E)
 rule(
     "c4_include",
-    macro("include", '<ri:page ri:space-key="ABC" ri:content-title="Tïtle {id}"/>') + "{w}"
+    macro("include", '<ri:page ri:space-key="ABC" ri:content-title="Tïtle {id}"/>') + "{lines}"
     + macro("excerpt-include", '<ri:page ri:content-title="T {id}.5"/>'),
-    "{{include(abc:Title_{id3})}}\n{w}\n{{include(T_{id3}_005)}}",
+    "{{include(abc:Title_{id3})}}\n{lines}\n{{include(T_{id3}_005)}}",
 )
 rule(
     "c4_include_export",
-    macro("include", '<ri:page ri:content-title="T {id}"/>') + "{w}",
-    "> *Included from:* [[T_{id}|T {id}]]\n{w}",
+    macro("include", '<ri:page ri:content-title="T {id}"/>') + "{lines}",
+    "> *Included from:* [[T_{id}|T {id}]]\n{lines}",
     form=E,
 )
-rule("c5_excerpt", "a " + macro("excerpt", rich("{w}")) + " z", "a {w} z")
+rule("c5_excerpt", "a " + macro("excerpt", rich("{lines}")) + " z", "a {lines} z")
 _CODE = macro("code", par("language", "Py") + par("title", "T {id}") + plain("{raw}"))
 rule("c6_code", "a" + _CODE + "z", "a\n**T {id}**\n```python\n{raw}\n```\nz")
 rule(
@@ -115,44 +120,44 @@ rule(
 rule("c6_code_export", "a" + _CODE + "z", "a\n```Py\n{raw}\n```\nz", form=E)
 rule("c6_noformat", "a" + macro("noformat", plain("{raw}")) + "z", "a\n```\n{raw}\n```\nz")
 _FILE = '<ri:attachment ri:filename="my file {id}.pdf"/>'
-rule("c7_view_file", macro("view-file", _FILE) + "{w}", "[my file {id}.pdf](my_file_{id}.pdf)\n{w}")
-rule("c7_view_file_textile", macro("view-file", _FILE) + "{w}", 'attachment:"my_file_{id}.pdf"\n{w}', fmt=T)
-rule("c7_view_file_export", macro("view-file", _FILE) + "{w}", "[📎 my file {id}.pdf](my_file_{id}.pdf)\n{w}", form=E)
+rule("c7_view_file", macro("view-file", _FILE) + "{lines}", "[my file {id}.pdf](my_file_{id}.pdf)\n{lines}")
+rule("c7_view_file_textile", macro("view-file", _FILE) + "{lines}", 'attachment:"my_file_{id}.pdf"\n{lines}', fmt=T)
+rule("c7_view_file_export", macro("view-file", _FILE) + "{lines}", "[📎 my file {id}.pdf](my_file_{id}.pdf)\n{lines}", form=E)
 rule(
     "c8_multimedia",
-    macro("multimedia", par("url", "https://www.youtube.com/watch?v=ab_{id}") + par("width", "300")) + "{w}"
+    macro("multimedia", par("url", "https://www.youtube.com/watch?v=ab_{id}") + par("width", "300")) + "{lines}"
     + macro("multimedia", par("url", "https://vimeo.com/{id}"))
     + macro("multimedia", par("URL", "https://docs.google.com/{id}") + par("height", "50"))
     + macro("multimedia", par("url", "https://e.org/{id}")) + macro("multimedia", _FILE),
-    "{{youtube(ab_{id}, width=300, height=360)}}\n{w}\n{{vimeo({id}, width=640, height=360)}}\n\n"
+    "{{youtube(ab_{id}, width=300, height=360)}}\n{lines}\n{{vimeo({id}, width=640, height=360)}}\n\n"
     "{{google_docs(https://docs.google.com/{id}, width=100%, height=50)}}\n\n"
     "{{iframe(https://e.org/{id}, width=640, height=360)}}\n\n![my file {id}.pdf](my_file_{id}.pdf)",
 )
-rule("c8_multimedia_export", macro("multimedia", _FILE) + "{w}", "[🎬 my file {id}.pdf](my_file_{id}.pdf)\n{w}", form=E)
+rule("c8_multimedia_export", macro("multimedia", _FILE) + "{lines}", "[🎬 my file {id}.pdf](my_file_{id}.pdf)\n{lines}", form=E)
 rule(
     "c9_widget",
-    macro("widget", par("url", "https://youtu.be/x{id}")) + "{w}" + macro("widget", par("url", "https://e.org")),
-    "{{youtube(x{id}, width=640, height=360)}}\n{w}\n{{iframe(https://e.org, width=640, height=360)}}",
+    macro("widget", par("url", "https://youtu.be/x{id}")) + "{lines}" + macro("widget", par("url", "https://e.org")),
+    "{{youtube(x{id}, width=640, height=360)}}\n{lines}\n{{iframe(https://e.org, width=640, height=360)}}",
 )
 rule(
     "c10_api_docs",
-    macro("swagger", par("specUrl", "https://e.org/{id}")) + "{w}" + macro("openapi"),
-    "**API Documentation (Swagger/OpenAPI)**\n{{iframe(https://e.org/{id}, width=100%, height=600)}}\n{w}\n"
+    macro("swagger", par("specUrl", "https://e.org/{id}")) + "{lines}" + macro("openapi"),
+    "**API Documentation (Swagger/OpenAPI)**\n{{iframe(https://e.org/{id}, width=100%, height=600)}}\n{lines}\n"
     "> **API Documentation (Swagger/OpenAPI)** -- *embedded content not migrated*",
 )
 rule(
     "c10_api_docs_export",
-    macro("swagger", par("url", "https://e.org/{id}")) + "{w}" + macro("open-api"),
-    "> 📋 **API Documentation (Swagger/OpenAPI)**\n> URL: [https://e.org/{id}](https://e.org/{id})\n{w}\n"
+    macro("swagger", par("url", "https://e.org/{id}")) + "{lines}" + macro("open-api"),
+    "> 📋 **API Documentation (Swagger/OpenAPI)**\n> URL: [https://e.org/{id}](https://e.org/{id})\n{lines}\n"
     "> 📋 **API Documentation (Swagger/OpenAPI)** — *embedded content not migrated*",
     form=E,
 )
 rule(
     "c11_expand",
-    macro("expand", par("title", "More {id}") + rich("{w}")) + macro("expand", rich("b")),
-    "{{collapse(More {id})\n{w}\n}}\n\n{{collapse(Details)\nb\n}}",
+    macro("expand", par("title", "More {id}") + rich("{lines}")) + macro("expand", rich("b")),
+    "{{collapse(More {id})\n{lines}\n}}\n\n{{collapse(Details)\nb\n}}",
 )
-rule("c11_expand_export", macro("expand", par("title", "M") + rich("{w}")), "**▸ M**\n{w}", form=E)
+rule("c11_expand_export", macro("expand", par("title", "M") + rich("{lines}")), "**▸ M**\n{lines}", form=E)
 rule(
     "c11_nested_macros",
     macro("expand", rich("<p>a</p>" + macro("expand", rich(macro("info", rich("<p>{w}</p>")) + macro("code", plain("{raw}")))))),
@@ -166,14 +171,14 @@ rule(
 )
 rule(
     "c13_status",
-    "{w}" + macro("status", par("colour", "Green") + par("title", "OK {id}")) + macro("status", par("colour", "Odd")),
-    '{w} <span style="background:#00875A;color:#fff;padding:1px 6px;border-radius:3px;font-size:0.85em">'
+    "{lines}" + macro("status", par("colour", "Green") + par("title", "OK {id}")) + macro("status", par("colour", "Odd")),
+    '{lines} <span style="background:#00875A;color:#fff;padding:1px 6px;border-radius:3px;font-size:0.85em">'
     "OK {id}</span>  **Status**",
 )
 rule(
     "c13_status_textile",
-    "{w}" + macro("status", par("colour", "Red") + par("title", "No")),
-    "{w} %{background:#DE350B;color:#fff;padding:1px 6px;border-radius:3px}No%",
+    "{lines}" + macro("status", par("colour", "Red") + par("title", "No")),
+    "{lines} %{background:#DE350B;color:#fff;padding:1px 6px;border-radius:3px}No%",
     fmt=T,
 )
 rule(
@@ -182,57 +187,57 @@ rule(
     "> **INFO: T{id}**\n> {w} b\n\n> **TIP**\n> c",
 )
 rule("c14_panels_export", macro("warning", rich("<p>{w}</p>")), "> ⚠️ **Warning**\n> {w}", form=E)
-rule("c15_children", "{w}" + macro("children") + "z", "{w}\n\n{{child_pages}}\n\nz")
-rule("c15_children_export", "{w}" + macro("children") + "z", "{w}\n*See child pages in the sidebar.*\nz", form=E)
-rule("c16_dynamic_lists", "{w}" + macro("recently-updated", par("a", "b")) + macro("user-list") + "z", "{w}z")
+rule("c15_children", "{lines}" + macro("children") + "z", "{lines}\n\n{{child_pages}}\n\nz")
+rule("c15_children_export", "{lines}" + macro("children") + "z", "{lines}\n*See child pages in the sidebar.*\nz", form=E)
+rule("c16_dynamic_lists", "{lines}" + macro("recently-updated", par("a", "b")) + macro("user-list") + "z", "{lines}z")
 rule(
     "c16_dynamic_lists_export",
-    "{w}" + macro("recently-updated") + macro("profile"),
-    "{w}\n*Recently updated pages — see sidebar for navigation.*\n\n*Contributors information — not migrated.*",
+    "{lines}" + macro("recently-updated") + macro("profile"),
+    "{lines}\n*Recently updated pages — see sidebar for navigation.*\n\n*Contributors information — not migrated.*",
     form=E,
 )
 rule(
     "c17_jira",
-    macro("jira", par("key", "AB-{id}")) + " {w}" + macro("jira", par("jqlQuery", "x = {id}"))
+    macro("jira", par("key", "AB-{id}")) + " {lines}" + macro("jira", par("jqlQuery", "x = {id}"))
     + macro("jira", par("server", "s")) + macro("jira"),
-    "`AB-{id}` {w}\n*Jira query: `x = {id}`*\n\n*Jira issue list -- not migrated*",
+    "`AB-{id}` {lines}\n*Jira query: `x = {id}`*\n\n*Jira issue list -- not migrated*",
 )
-rule("c17_jira_export", macro("jira", par("key", "AB-{id}")) + " {w}", "`AB-{id}` {w}", form=E)
+rule("c17_jira_export", macro("jira", par("key", "AB-{id}")) + " {lines}", "`AB-{id}` {lines}", form=E)
 rule(
     "c18_diagrams",
-    macro("drawio", par("diagramName", "D{id}")) + "{w}" + macro("gliffy"),
-    "> **Diagram (drawio):** D{id}\n> *Embedded diagram not migrated — see original Confluence page*\n{w}\n"
+    macro("drawio", par("diagramName", "D{id}")) + "{lines}" + macro("gliffy"),
+    "> **Diagram (drawio):** D{id}\n> *Embedded diagram not migrated — see original Confluence page*\n{lines}\n"
     "> **Diagram (gliffy)** — *embedded diagram not migrated*",
 )
-rule("c19_roadmap", "{w}" + macro("roadmap"), "{w}\n> *Calendar/Roadmap macro — not migrated*")
-rule("c20_details", "a " + macro("details", rich("{w}")) + macro("page-info", rich(" b")), "a {w} b")
-rule("c21_other_macro", "a" + macro("odd-{lang}", rich("gone")) + "{w}", "a<!-- Confluence macro: odd-{lang} -->{w}")
-rule("c21_other_macro_export", "a" + macro("odd", rich("x")) + "{w}", "a<!-- Confluence macro: odd -->{w}", form=E)
+rule("c19_roadmap", "{lines}" + macro("roadmap"), "{lines}\n> *Calendar/Roadmap macro — not migrated*")
+rule("c20_details", "a " + macro("details", rich("{lines}")) + macro("page-info", rich(" b")), "a {lines} b")
+rule("c21_other_macro", "a" + macro("odd-{lang}", rich("gone")) + "{lines}", "a<!-- Confluence macro: odd-{lang} -->{lines}")
+rule("c21_other_macro_export", "a" + macro("odd", rich("x")) + "{lines}", "a<!-- Confluence macro: odd -->{lines}", form=E)
 
 # Images, links, emoticons ------------------------------------------------------------------------
 _PICTURE = '<ac:image ac:alt="q"><ri:attachment ri:filename="a {id}.png"/></ac:image>'
 rule(
     "c22_images",
-    _PICTURE + "{w}" + '<ac:image><ri:url ri:value="http://e.org/{id}.png"/></ac:image>',
-    "![a_{id}.png](a_{id}.png)\n{w}\n![](http://e.org/{id}.png)",
+    _PICTURE + "{lines}" + '<ac:image><ri:url ri:value="http://e.org/{id}.png"/></ac:image>',
+    "![a_{id}.png](a_{id}.png)\n{lines}\n![](http://e.org/{id}.png)",
 )
-rule("c22_images_textile", _PICTURE + "{w}", "!a_{id}.png!\n{w}", fmt=T)
-rule("c22_images_export", _PICTURE + "{w}", "![a {id}.png](a_{id}.png)\n{w}", form=E)
+rule("c22_images_textile", _PICTURE + "{lines}", "!a_{id}.png!\n{lines}", fmt=T)
+rule("c22_images_export", _PICTURE + "{lines}", "![a {id}.png](a_{id}.png)\n{lines}", form=E)
 _WRAPPED = (
     '<p><span class="confluence-embedded-file-wrapper x"> <img src="/download/thumbnails/1/u%20{id}.png?v=1" {}> '
     "</span></p>"
 )
 rule(
     "c23_wrapped_images",
-    _WRAPPED.replace("{}", 'data-linked-resource-default-alias="al {id}.png"') + "{w}" + _WRAPPED.replace("{}", ""),
-    "![al_{id}.png](al_{id}.png)\n\n{w}\n\n![u_{id}.png](u_{id}.png)",
+    _WRAPPED.replace("{}", 'data-linked-resource-default-alias="al {id}.png"') + "{lines}" + _WRAPPED.replace("{}", ""),
+    "![al_{id}.png](al_{id}.png)\n\n{lines}\n\n![u_{id}.png](u_{id}.png)",
 )
 rule(
     "c24_attachment_links",
-    link(_FILE, "see {id}") + "{w}" + link(_FILE),
-    "[see {id}](my_file_{id}.pdf) {w} [my file {id}.pdf](my_file_{id}.pdf)",
+    link(_FILE, "see {id}") + "{lines}" + link(_FILE),
+    "[see {id}](my_file_{id}.pdf) {lines} [my file {id}.pdf](my_file_{id}.pdf)",
 )
-rule("c24_attachment_links_textile", "{w}" + link(_FILE, "see"), '{w} attachment:"my_file_{id}.pdf"', fmt=T)
+rule("c24_attachment_links_textile", "{lines}" + link(_FILE, "see"), '{lines} attachment:"my_file_{id}.pdf"', fmt=T)
 _PAGE = '<ri:page ri:content-title="Älpha {id}.2"/>'
 rule(
     "c25_page_links",
@@ -257,21 +262,21 @@ rule("c27_other_links_textile", link('<ri:url ri:value="http://e.org/{id}"/>', "
 rule("c27_other_links_export", link('<ri:url ri:value="http://e.org/{id}"/>', "{w}"), "[{w}](http://e.org/{id})", form=E)
 rule(
     "c28_stored_mentions",
-    "{w} <ac:link><ri:user ri:userkey=\"k\"/><ac:link-body>Ann {id}</ac:link-body></ac:link> "
+    "{lines} <ac:link><ri:user ri:userkey=\"k\"/><ac:link-body>Ann {id}</ac:link-body></ac:link> "
     + link('<ri:user ri:username="u{id}"/>') + " " + link('<ri:user ri:userkey="k"/>'),
-    "{w} @Ann {id} @u{id} @user",
+    "{lines} @Ann {id} @u{id} @user",
 )
 rule(
     "c29_emoticons",
-    '{w} <ac:emoticon ac:name="tick"/><ac:emoticon ac:name="broken_heart" /><ac:emoticon ac:name="o{id}"/>',
-    "{w} {{fa(check-circle, color=green)}}{{fa(heart-broken, color=red)}}[o{id}]",
+    '{lines} <ac:emoticon ac:name="tick"/><ac:emoticon ac:name="broken_heart" /><ac:emoticon ac:name="o{id}"/>',
+    "{lines} {{fa(check-circle, color=green)}}{{fa(heart-broken, color=red)}}[o{id}]",
 )
-rule("c29_emoticons_export", '{w} <ac:emoticon ac:name="cross"/><ac:emoticon ac:name="o{id}"/>', "{w} ❌[o{id}]", form=E)
-rule("c30_leftover_tags", '<ac:layout><ac:x y="{id}"/>{w}<ri:z></ac:layout>', "{w}")
+rule("c29_emoticons_export", '{lines} <ac:emoticon ac:name="cross"/><ac:emoticon ac:name="o{id}"/>', "{lines} ❌[o{id}]", form=E)
+rule("c30_leftover_tags", '<ac:layout><ac:x y="{id}"/>{lines}<ri:z></ac:layout>', "{lines}")
 
 # Plain HTML --------------------------------------------------------------------------------------
-rule("c31_font_colours", '<font color="#f00" size="2">{w}</font><font>b</font>', '<span style="color:#f00">{w}</span>b')
-rule("c31_colours_export", '<span style="color: red;">{w}</span>', "{w}", form=E)
+rule("c31_font_colours", '<font color="#f00" size="2">{lines}</font><font>b</font>', '<span style="color:#f00">{lines}</span>b')
+rule("c31_colours_export", '<span style="color: red;">{lines}</span>', "{lines}", form=E)
 rule(
     "c32_tables",
     '<table class="wrapped confluenceTable" data-x="{id}"><tr><td class="confluenceTd">{w}</td></tr></table>',
@@ -279,8 +284,8 @@ rule(
 )
 rule(
     "c32_pipe_tables",
-    "<table><tr><th>A</th><th><b>B</b></th><th>C</th></tr><tr></tr><tr><td>{w}<br/>x|{id}</td><td><em>e</em></td></tr></table>",
-    "| A | **B** | C |\n| --- | --- | --- |\n| {w} x\\|{id} | *e* |  |",
+    "<table><tr><th>A</th><th><b>B</b></th><th>C</th></tr><tr></tr><tr><td>{cell}<br/>x|{id}</td><td><em>e</em></td></tr></table>",
+    "| A | **B** | C |\n| --- | --- | --- |\n| {cell} x\\|{id} | *e* |  |",
     form=E,
 )
 rule("c34_headings", "<h1>{w}</h1><h3 id=\"x\">b {id}</h3>c", "# {w}\n\n### b {id}\nc")
@@ -288,9 +293,9 @@ rule("c34_headings_textile", "<h1>{w}</h1><h6>b {id}</h6>c", "h1. {w}\n\nh6. b {
 _BOLD = "x<strong> {w}\n b </strong>y<b>1</b><b>2</b><br/><em>i <span>j</span></em><i> </i>z ** ** *"
 rule("c35_bold_italic", _BOLD, "x **{w} b** y**1** **2**\n*i j* z ** ** *")
 rule("c35_bold_italic_textile", _BOLD, "x *{w} b* y*1**2*\n_i j_ z ** ** *", fmt=T)
-rule("c36_strikes", "<del>{w}</del> <s>b</s> <u>u</u><span>c</span>", "~~{w}~~ ~~b~~ <u>u</u>c")
-rule("c36_strikes_textile", "<del>{w}</del> <s>b</s> <u>u</u>", "-{w}- -b- +u+", fmt=T)
-rule("c36_strikes_export", "<del>{w}</del> <s>b</s> <u>u</u>", "~~{w}~~ ~~b~~ u", form=E)
+rule("c36_strikes", "<del>{lines}</del> <s>b</s> <u>u</u><span>c</span>", "~~{lines}~~ ~~b~~ <u>u</u>c")
+rule("c36_strikes_textile", "<del>{lines}</del> <s>b</s> <u>u</u>", "-{lines}- -b- +u+", fmt=T)
+rule("c36_strikes_export", "<del>{lines}</del> <s>b</s> <u>u</u>", "~~{lines}~~ ~~b~~ u", form=E)
 _PRE = '<pre class="p"><code class="java">{w} &lt; &amp;\n\n\n\n<i>x</i></code></pre><pre>q</pre><code>a  b</code>'
 rule("c37_code_blocks", _PRE, "```\n{w} < &\n\n\n\nx\n```\n\n```\nq\n```\n`a  b`")
 rule(
@@ -301,20 +306,20 @@ rule(
 )
 rule(
     "c38_shown_mentions",
-    '{w} <a class="confluence-userlink x" data-username="u{id}" href="/u"><b></b></a> '
+    '{lines} <a class="confluence-userlink x" data-username="u{id}" href="/u"><b></b></a> '
     '<a href="/v" class="confluence-userlink">Ann {id}</a>',
-    "{w} @u{id} @Ann {id}",
+    "{lines} @u{id} @Ann {id}",
 )
 rule(
     "c39_shown_images",
-    '<img src="/download/attachments/12/a%20{id}.png?x=1">{w}<img alt="q" src="http://e.org/{id}.png"/>'
+    '<img src="/download/attachments/12/a%20{id}.png?x=1">{lines}<img alt="q" src="http://e.org/{id}.png"/>'
     '<img src="/download/attachments/1/x.png" data-linked-resource-default-alias="al {id}.png">',
-    "![a_{id}.png](a_{id}.png)\n\n{w}![q](http://e.org/{id}.png)\n\n![al_{id}.png](al_{id}.png)",
+    "![a_{id}.png](a_{id}.png)\n\n{lines}![q](http://e.org/{id}.png)\n\n![al_{id}.png](al_{id}.png)",
 )
-rule("c39_shown_images_textile", '{w}<img src="http://e.org/{id}.png"/>', "{w}!http://e.org/{id}.png!", fmt=T)
-rule("c39_shown_images_export", '<img src="http://e.org/{id}.png" alt="q"/>{w}<img src="b">', "![q](http://e.org/{id}.png){w}![](b)", form=E)
+rule("c39_shown_images_textile", '{lines}<img src="http://e.org/{id}.png"/>', "{lines}!http://e.org/{id}.png!", fmt=T)
+rule("c39_shown_images_export", '<img src="http://e.org/{id}.png" alt="q"/>{lines}<img src="b">', "![q](http://e.org/{id}.png){lines}![](b)", form=E)
 _LIST = (
-    '<ul><li><b>{w}</b><ol start="4"><li><p>b {id}</p></li><li>5. c</li></ol></li>'
+    '<ul><li><b>{lines}</b><ol start="4"><li><p>b {id}</p></li><li>5. c</li></ol></li>'
     '<li class="checked">d</li><li class="unchecked">e</li></ul>tail'
 )
 rule("c40_lists", _LIST, "- **{w}**\n   4. b {id}\n   5. c\n- [x] d\n- [ ] e\n\ntail")
@@ -325,22 +330,22 @@ rule(
     "- {w}\n- **b** {id}\n\n1. c\n2. d",
     form=E,
 )
-rule("c41_paragraphs", "<p>a</p><p class=\"x\">{w}</p>b<br/>c<hr />d", "a\n\n{w}\nb\nc\n---\nd")
+rule("c41_paragraphs", "<p>a</p><p class=\"x\">{lines}</p>b<br/>c<hr />d", "a\n\n{lines}\nb\nc\n---\nd")
 rule("c42_definitions", "<dl><dt>t{id}</dt> <dd><i>{w}</i></dd><dt>u</dt><dd>v</dd></dl>z", "**t{id}**: *{w}*\n\n**u**: v\n\nz")
 rule("c42_definitions_textile", "<dl><dt>t{id}</dt><dd>{w}</dd></dl>z", "- *t{id}*: {w}\nz", fmt=T)
 rule("c43_quotes", "a<blockquote><p>{w}</p><p>b</p></blockquote>z", "a\n> {w}\n> b\nz")
 rule(
     "c44_other_tags",
-    '<div><article>{w}</article></div><span style="x:1">s<span>t</span></span><span class="q">v</span><!-- c -->',
-    '{w}<span style="x:1">st</span>v',
-)
-rule("c44_other_tags_export", '<div>{w}</div><span style="x:1">s</span><!-- c -->', "{w}s", form=E)
-rule("c45_entities", "{w} &amp;amp; &eacute;&#233;&#x41;&lt;b&gt;&copy;", "{w} &amp; ééA<b>©")
-rule("c45_entities_export", "{w} &amp; &eacute;&lt;b&gt;", "{w} & é<b>", form=E)
-rule("c46_issue_numbers", "#{id} {w}\n  #7\n# head\n##8", "\\#{id} {w}\n  \\#7\n# head\n##8")
-rule("c46_issue_numbers_export", "#{id} {w}\n# head", "\\#{id} {w}\n# head", form=E)
+    '<div><article>{lines}</article></div><span style="x:1">s<span>t</span></span><span class="q">v</span><!-- c -->',
+    '{lines}<span style="x:1">st</span>v',
+)
+rule("c44_other_tags_export", '<div>{lines}</div><span style="x:1">s</span><!-- c -->', "{lines}s", form=E)
+rule("c45_entities", "{lines} &amp;amp; &eacute;&#233;&#x41;&lt;b&gt;&copy;", "{lines} &amp; ééA<b>©")
+rule("c45_entities_export", "{lines} &amp; &eacute;&lt;b&gt;", "{lines} & é<b>", form=E)
+rule("c46_issue_numbers", "#{id} {lines}\n  #7\n# head\n##8", "\\#{id} {lines}\n  \\#7\n# head\n##8")
+rule("c46_issue_numbers_export", "#{id} {lines}\n# head", "\\#{id} {lines}\n# head", form=E)
 rule("c47_empty_emphasis", "{w}<b><i></i></b><b>a</b><b>b</b> lit ****", "{w}**a** **b** lit ****")
-rule("c48_blank_lines", "<p> {w}  </p>\n\n\n\n<p>b\t</p> ", "{w}\n\nb")
+rule("c48_blank_lines", "<p> {lines}  </p>\n\n\n\n<p>b\t</p> ", "{lines}\n\nb")
 rule("c49_dialect", "<h2>{w}</h2><p><strong>b</strong> <em>i</em> <del>d</del></p>", "h2. {w}\n\n*b* _i_ -d-", fmt=T)
 
 
@@ -350,7 +355,7 @@ rule("c49_dialect", "<h2>{w}</h2><p><strong>b</strong> <em>i</em> <del>d</del></
 def _linked(spark: SparkSession, sf: str) -> DataFrame:
     """Links of every class around the words; page ids lead to given pages or nowhere."""
     body = _filled(
-        '<a href="/pages/viewpage.action?pageId={id}">{w}</a> <a href="#s">Head &amp; {id}</a> '
+        '<a href="/pages/viewpage.action?pageId={id}">{words}</a> <a href="#s">Head &amp; {id}</a> '
         '<a href="/display/EN/My+Page%20{id}?x=1">d</a> <a href="/display/zz/T">e</a> '
         '<a href="/rel/{id}">rel</a> <a href="//e.org">f</a> <a href="http://e.org/{id}"></a>'
     )

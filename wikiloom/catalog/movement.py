@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wikiloom.catalog import standins
 from wikiloom.catalog.names import sql_title
-from wikiloom.catalog.registry import query, string, table, texts, words
+from wikiloom.catalog.registry import query, string, table, texts, whole
 from wikiloom.operators import links as link_ops
 from wikiloom.operators import pages as page_ops
 from wikiloom.plans import export as export_plan
@@ -387,14 +387,14 @@ def u1(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def storage_bodies(spark: SparkSession, sf: str) -> DataFrame:
-    """Documents in storage form: macros, mentions and headings around the text's words."""
+    """Documents in storage form: macros, mentions and headings around the whole text."""
     body = F.concat(
         F.lit('<ac:structured-macro ac:name="toc"/><ac:structured-macro ac:name="src-'),
         F.col("lang"),
         F.lit('"><ac:parameter ac:name="a">1</ac:parameter></ac:structured-macro><h2>Part &amp; '),
         string("doc_id"),
         F.lit(".</h2><p>"),
-        words(F.col("text")),
+        whole(F.col("text")),
         F.lit('</p><ac:link><ri:user ri:username="u'),
         string("doc_id"),
         F.lit('"/></ac:link><ac:link><ri:page ri:content-title="x"/></ac:link>'),

@@ -53,3 +53,33 @@ def words(text: Column) -> Column:
 
 
 SQL_WORDS = r"rtrim('Doc ' || trim(regexp_replace(text, '[^\p{L}]+', ' ', 'g')))"
+
+_WHITE = r"[\s\x1c-\x1f\x85\p{Z}]"
+
+
+def escaped(text: Column) -> Column:
+    """A text as it stands in HTML."""
+    for char, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):  # fixed values
+        text = F.replace(text, F.lit(char), F.lit(entity))
+    return text
+
+
+def whole(text: Column) -> Column:
+    """The whole text on one line, with all its signs and digits, as it stands in HTML."""
+    line = F.regexp_replace(F.coalesce(text, F.lit("")), f"{_WHITE}+", " ")
+    return escaped(F.rtrim(F.concat(F.lit("Doc "), F.ltrim(line))))
+
+
+SQL_WHOLE = f"rtrim('Doc ' || ltrim(regexp_replace(coalesce(text, ''), '{_WHITE}+', ' ', 'g')))"
+
+
+def lined(text: Column) -> Column:
+    """The whole text with its line breaks, as it stands in HTML."""
+    return escaped(F.rtrim(F.concat(F.lit("Doc "), F.coalesce(text, F.lit("")))))
+
+
+# What is left of its space and issue numbers after the final clean-up
+SQL_LINED = (
+    r"regexp_replace(regexp_replace(regexp_replace(rtrim('Doc ' || coalesce(text, '')), "
+    r"'(?m)^([^\S\n]*)#(\pN)', '\1\\#\2', 'g'), '\n{3,}', chr(10) || chr(10), 'g'), '[ \t]+\n', chr(10), 'g')"
+)
