@@ -35,6 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -186,10 +187,13 @@ def near_pairs(
 
 
 def described(docs: DataFrame, words: int, percent: int, text: str, key: str) -> DataFrame:
-    """Per row: doc_id, n (set size), point (name of the set, null if empty), keys of its regions."""
+    """Per row: doc_id, row (a number), n (set size), point (name of the set, null if empty), keys of its regions."""
     kind = docs.schema[key].dataType.simpleString()
-    ddl = f"doc_id {kind}, n long, point long, keys array<bigint>"
-    rows = docs.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("text"))
+    ddl = f"doc_id {kind}, row long, n long, point long, keys array<bigint>"
+    rows = docs.select(
+        F.col(key).alias("doc_id"), F.col(text).cast("string").alias("text"),
+        F.monotonically_increasing_id().alias("row"),
+    )
     schema = arrow_schema(ddl)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,6 +206,7 @@ def described(docs: DataFrame, words: int, percent: int, text: str, key: str) ->
                 yield pa.RecordBatch.from_arrays(
                     [
                         piece.column("doc_id"),
+                        piece.column("row"),
                         pa.array([len(s) for s in sets], type=pa.int64()),
                         pa.array([set_name(s) if len(s) else None for s in sets], type=pa.int64()),
                         pa.ListArray.from_arrays(
@@ -215,6 +220,79 @@ def described(docs: DataFrame, words: int, percent: int, text: str, key: str) ->
     return rows.mapInArrow(run, ddl)
 
 
+def one_per_point(table: DataFrame, points: DataFrame) -> DataFrame:
+    """Point and keys of one row of each point; only the row numbers of copies are joined."""
+    several = points.where("_n > 1").select("point", F.col("row").alias("_kept"), "_n")
+    copies = lookup(
+        table.select("point", "row"), several.drop("_n"), ["point"], ["row"], "inner",
+        counts=several.select("point", "_n"),
+    )
+    copies = landed(copies.where("row <> _kept").select("row"), "jaccard-copies")
+    return table.where("point IS NOT NULL").join(copies, "row", "left_anti").select("point", "keys")
+
+
+def region_members(keyed: DataFrame) -> DataFrame:
+    """Members of all regions of two points or more: region, pivot (its smallest point), point; written.
+
+    Keys and points are sorted by range in one exchange, so a hot region goes over several tasks. A task
+    keeps of each run all but the first point, which is the pivot; keys that occur once leave nothing. A task's first
+    run may go on from an earlier task: one record per task tells whose pivot it gets.
+    """
+    rows = keyed.select(F.explode("keys").alias("region"), "point")
+    rows = rows.repartitionByRange("region", "point").sortWithinPartitions("region", "point")
+    ddl = "part int, region long, pivot long, point long, first boolean, start long, runs long"
+    schema = arrow_schema(ddl)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
+        region = pivot = last = start = None
+        runs = 0
+
+        def made(columns: list, n: int) -> pa.RecordBatch:
+            arrays = [pa.array(np.full(n, part, np.int32)), *columns]
+            return pa.RecordBatch.from_arrays(
+                [a if isinstance(a, pa.Array) else pa.array(a, type=f.type) for a, f in zip(arrays, schema)],
+                schema=schema,
+            )
+
+        for batch in batches:
+            regions, points = batch.column("region").to_numpy(), batch.column("point").to_numpy()
+            if not len(regions):
+                continue
+            begins = np.append(regions[0] != region or runs == 0, regions[1:] != regions[:-1])
+            repeated = ~begins & (points == np.append(points[0] if last is None else last, points[:-1]))
+            at = np.flatnonzero(begins)
+            number = runs + np.cumsum(begins)
+            pivots = points[at] if runs == 0 else np.append(pivot, points[at])
+            own = pivots[np.cumsum(begins) - (1 if runs == 0 else 0)]
+            first = number == 1
+            keep = np.flatnonzero((~begins | first) & ~repeated)
+            none = pa.nulls(len(keep), pa.int64())
+            yield made([regions[keep], own[keep], points[keep], first[keep], none, none], len(keep))
+            start = int(regions[0]) if runs == 0 else start
+            runs = int(number[-1])
+            region, pivot, last = int(regions[-1]), int(own[-1]), int(points[-1])
+        if runs:
+            yield made([[region], [pivot], [None], [None], [start], [runs]], 1)
+
+    found = landed(rows.mapInArrow(run, ddl), "jaccard-runs")
+    carried, before = [], (None, None)
+    for end in sorted(found.where("point IS NULL").collect(), key=lambda e: e["part"]):
+        pivot = end["pivot"]
+        if end["start"] == before[0]:
+            carried.append((end["part"], before[1]))
+            pivot = before[1] if end["runs"] == 1 else pivot
+        before = (end["region"], pivot)
+    carried = keyed.sparkSession.createDataFrame(carried or [(-1, 0)], "part int, _pivot long")
+    pivot = F.when(F.col("first"), F.col("_pivot"))
+    members = (
+        found.where("point IS NOT NULL").join(F.broadcast(carried), "part", "left")  # one row a task
+        .select("region", F.coalesce(pivot, "pivot").alias("pivot"), "point")
+        .where("point <> pivot")
+    )
+    return landed(members, "jaccard-members")
+
+
 def point_sets(docs: DataFrame, wanted: DataFrame, words: int, text: str, key: str) -> DataFrame:
     """The sets of wanted points (point, doc_id): point, n, counts, shingles."""
     ddl = "point long, n long, counts binary, shingles array<bigint>"
@@ -310,20 +388,12 @@ def jaccard_components(
     table = landed(described(docs, words, percent, text, key), "jaccard-texts")
     points = landed(
         table.where(F.col("point").isNotNull())
-        .groupBy("point").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("_n")),
+        .groupBy("point").agg(
+            F.min("doc_id").alias("doc_id"), F.min("row").alias("row"), F.count(F.lit(1)).alias("_n")
+        ),
         "jaccard-points",
     )
-    keyed = table.select("point", F.explode("keys").alias("region"))
-    regions = landed(
-        keyed.groupBy("region").agg(F.min("point").alias("pivot"), F.max("point").alias("_top"))
-        .where("pivot <> _top").select("region", "pivot"),
-        "jaccard-regions",
-    )
-    members = landed(
-        keyed.join(regions, "region").where("point <> pivot")
-        .select("region", "pivot", "point").distinct(),
-        "jaccard-members",
-    )
+    members = region_members(one_per_point(table, points))
     wanted = members.select("point").union(members.select("pivot")).distinct().join(
         points.select("point", "doc_id"), "point"
     )
