@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import html
+from html.entities import html5
+
 import pytest
 from pyspark.sql import functions as F
 
 from wikiloom.catalog.markup import link, macro, par, plain, rich
+from wikiloom.functions.text import unescape
 from wikiloom.markup.convert import convert_pages, with_link_targets
 
 
@@ -110,6 +114,37 @@ def test_export(spark):
     assert converted(spark, cases, form="export") == list(cases.values())
 
 
+def test_nested_elements(spark):
+    cases = {
+        "<ul><ol><li>q</li></ul></ol>y": "- q\n\ny",
+        "<ul><li>a<ol><li>b</ul>x": "- a\n- b\n\nx",
+        "<ul><li>a<ul><li>b</li></ul>after</li></ul>": "- aafter\n   - b",
+        "<ul></ul>t": "t",
+        "<ul>text<li>a</li>gap<li>b</li></ul>": "- a\n- b",
+        "<ol start=\"3\"><li>7) x</li><li><ul><li class=\"unchecked\">y</li></ul></li></ol>": "3. x\n4.\n   - [ ] y",
+        "<ul><li>b<ul><li>c<pre>x\n y</pre></li></ul></li></ul>": "- b\n   - c\n      ```\n      x\n       y\n      ```",
+        "<blockquote>a<blockquote>b</blockquote>c</blockquote>": "> a\n> > b\n> c",
+        "<ul>" * 40 + "<li>deep</li>" + "</ul>" * 40: "- deep",
+    }
+    assert converted(spark, cases) == list(cases.values())
+    tables = {
+        "<table><tr><td>x<table><tr><td>y</td></tr></table></td><td>z</td></tr></table>": "| x y | z |\n| --- | --- |",
+        "<table></table>a": "a",
+        "<table><tr><td>a<tr><td>b</table>": "| a |\n| --- |\n| b |",
+    }
+    assert converted(spark, tables, form="export") == list(tables.values())
+
+
+def test_all_entities(spark):
+    texts = [f"x&{n}y" for n in html5] + [f"&{n} z" for n in html5]
+    texts += [f"&#{n};" for n in (*range(400), *range(400, 1 << 17, 211), 0xD800, 0xFDD0, 0x10FFFF, 0x110000)]
+    texts += [f"&#x{n:X}" for n in range(300)] + ["&#x" + "F" * 30 + ";", "&#" + "9" * 30 + ";", "&#00065;"]
+    texts += ["&notit; &ampamp; &amp;amp; & &; &# &#x; &#xg; &zzz; a&b", "&" + "a" * 60 + ";", "&lt&gt&#65&#66", "no", ""]
+    frame = spark.createDataFrame(list(enumerate(texts)), "i int, t string").repartition(4)
+    got = [r.u for r in frame.select("i", unescape(F.col("t")).alias("u")).orderBy("i").collect()]
+    assert got == [html.unescape(t) for t in texts]
+
+
 def test_long_bodies_need_no_stack(spark):
     """Whole texts of a megabyte, with deep nesting, many links and an unclosed tag."""
     body = (

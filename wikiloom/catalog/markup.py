@@ -9,7 +9,9 @@ to three digits), ``{raw}`` (the text as it is) and ``{lang}``. ``\\n`` is a lin
 
 from __future__ import annotations
 
+import json
 import re
+from html.entities import html5
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -288,6 +290,14 @@ rule(
     "| A | **B** | C |\n| --- | --- | --- |\n| {cell} x\\|{id} | *e* |  |",
     form=E,
 )
+rule(
+    "c32_nested_tables",
+    "<table><tr><th>{w}</th><th>x<table><tr><td>y|{id}</td><td><b>v</b></td></tr></table></th></tr>"
+    "<tr><td><table><tr><td><table><tr><td>deep</td></tr></table></td></tr></table></td><td>z</td></tr></table>"
+    "<table><tr><td>alone</td></tr></table>",
+    "| {cell} | x y\\|{id} **v** |\n| --- | --- |\n| deep | z |\n\n| alone |\n| --- |",
+    form=E,
+)
 rule("c34_headings", "<h1>{w}</h1><h3 id=\"x\">b {id}</h3>c", "# {w}\n\n### b {id}\nc")
 rule("c34_headings_textile", "<h1>{w}</h1><h6>b {id}</h6>c", "h1. {w}\n\nh6. b {id}\nc", fmt=T)
 _BOLD = "x<strong> {w}\n b </strong>y<b>1</b><b>2</b><br/><em>i <span>j</span></em><i> </i>z ** ** *"
@@ -330,10 +340,33 @@ rule(
     "- {w}\n- **b** {id}\n\n1. c\n2. d",
     form=E,
 )
+_MIXED = (
+    "<ol start=\"8\"><li>{w}<ul><li>b {id}<ol><li>3) c</li><li>d<pre>1\n 2</pre></li></ol>e</li></ul></li>"
+    "<li class=\"checked\">f</li></ol><ul><li>g<ol><li>h</ul>i<ul><li>j</ul></ul>"
+)
+rule(
+    "c40_mixed_lists",
+    _MIXED,
+    "8. {w}\n   - b {id}e\n      1. c\n      2. d\n         ```\n         1\n          2\n         ```\n- [x] f\n\n"
+    "- g\n- h\n\ni\n- j",
+)
+rule(
+    "c40_mixed_lists_export",
+    _MIXED,
+    "8. {w}\n   - b {id}e\n      1. c\n      2. d\n         ```\n         1\n          2\n         ```\n- [x] f\n\n"
+    "- g\n- h\n\ni\n- j",
+    form=E,
+)
 rule("c41_paragraphs", "<p>a</p><p class=\"x\">{lines}</p>b<br/>c<hr />d", "a\n\n{lines}\nb\nc\n---\nd")
 rule("c42_definitions", "<dl><dt>t{id}</dt> <dd><i>{w}</i></dd><dt>u</dt><dd>v</dd></dl>z", "**t{id}**: *{w}*\n\n**u**: v\n\nz")
 rule("c42_definitions_textile", "<dl><dt>t{id}</dt><dd>{w}</dd></dl>z", "- *t{id}*: {w}\nz", fmt=T)
 rule("c43_quotes", "a<blockquote><p>{w}</p><p>b</p></blockquote>z", "a\n> {w}\n> b\nz")
+rule(
+    "c43_nested_quotes",
+    "<blockquote><p>{w}</p><blockquote>b<br/>c<blockquote>{id}</blockquote></blockquote>d"
+    "<pre>1\n 2</pre></blockquote>z",
+    "> {w}\n> > b\n> > c\n> > > {id}\n> d\n> ```\n> 1\n>  2\n> ```\nz",
+)
 rule(
     "c44_other_tags",
     '<div><article>{lines}</article></div><span style="x:1">s<span>t</span></span><span class="q">v</span><!-- c -->',
@@ -342,6 +375,20 @@ rule(
 rule("c44_other_tags_export", '<div>{lines}</div><span style="x:1">s</span><!-- c -->', "{lines}s", form=E)
 rule("c45_entities", "{lines} &amp;amp; &eacute;&#233;&#x41;&lt;b&gt;&copy;", "{lines} &amp; ééA<b>©")
 rule("c45_entities_export", "{lines} &amp; &eacute;&lt;b&gt;", "{lines} & é<b>", form=E)
+_NAMES = sorted(html5)
+_CHARS = "([" + ", ".join("'" + html5[n].replace("'", "''") + "'" for n in _NAMES) + f"])[1 + doc_id % {len(_NAMES)}]"
+
+
+@query("c45_named_entities", f"SELECT doc_id, 'x' || {_CHARS} || 'z ' || {SQL_WHOLE} || '.' AS text FROM documents")
+def c45_named(spark: SparkSession, sf: str) -> DataFrame:
+    """Every name of an entity, one per document."""
+    names = F.from_json(F.lit(json.dumps(["&" + n for n in _NAMES])), "array<string>")
+    name = F.get(names, (F.col("doc_id") % len(_NAMES)).cast("int"))
+    body = F.concat(F.lit("x"), name, F.lit("z "), whole(F.col("text")), F.lit("."))
+    bodies = texts(spark, sf, "documents", "doc_id").select("doc_id", body.alias("body"))
+    return convert_pages(bodies).select("doc_id", "text")
+
+
 rule("c46_issue_numbers", "#{id} {lines}\n  #7\n# head\n##8", "\\#{id} {lines}\n  \\#7\n# head\n##8")
 rule("c46_issue_numbers_export", "#{id} {lines}\n# head", "\\#{id} {lines}\n# head", form=E)
 rule("c47_empty_emphasis", "{w}<b><i></i></b><b>a</b><b>b</b> lit ****", "{w}**a** **b** lit ****")

@@ -151,6 +151,26 @@ def p16(spark: SparkSession, sf: str) -> DataFrame:
     return tree.listing(rows)
 
 
+@query(
+    "p16_listing_spaces",
+    """WITH o AS (SELECT c_nationkey::VARCHAR AS space, c_name AS title, c_mktsegment AS above,
+                    row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1 AS ord FROM customer)
+       SELECT space, ord, title || ' [parent: ' || above || ', body: ' || length(title) || 'b]' AS line
+       FROM o WHERE ord < 30
+       UNION ALL SELECT space, 30, '... and ' || (count(*) - 30) || ' more' FROM o
+       GROUP BY space HAVING count(*) > 30""",
+)
+def p16_spaces(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers as the pages of their nation's space."""
+    pages = table(spark, sf, "customer").select(
+        F.col("c_nationkey").cast("string").alias("space"), "c_custkey", F.col("c_name").alias("wiki_title"),
+        F.col("c_mktsegment").alias("parent_title"), F.length("c_name").alias("body_length"),
+        F.lit(0).alias("depth"),
+    )
+    placed = with_group_position(pages, ["space"], ["c_custkey"], "_at")
+    return tree.listing(placed.withColumn("ord", F.col("_at") - 1))
+
+
 @query(
     "w9_cooldown_points",
     """WITH o AS (SELECT c_nationkey::VARCHAR AS space, c_custkey AS id, (SELECT count(*) FROM orders

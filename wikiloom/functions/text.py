@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import html
+import json
 import unicodedata
 from collections.abc import Callable
+from html.entities import html5
 
 import pandas as pd
 from pyspark.sql import Column
@@ -115,11 +117,6 @@ def _fold(texts: pd.Series) -> pd.Series:
     return texts.map(fold_text, na_action="ignore")
 
 
-@F.pandas_udf(T.StringType())
-def _unescape(texts: pd.Series) -> pd.Series:
-    return texts.map(html.unescape, na_action="ignore")
-
-
 def _only_where(text: Column, needed: Column, udf: Callable[[Column], Column]) -> Column:
     """Send a row to Python only where the function can change it."""
     return F.coalesce(udf(F.when(needed, text)), text)
@@ -130,6 +127,59 @@ def fold(text: Column) -> Column:
     return _only_where(text, has(text, r"[^\x00-\x7f]"), _fold)
 
 
+_REFERENCE = r"&(?:#[0-9]++;?|#[xX][0-9a-fA-F]++;?|[^\t\n\f <&#;]{1,32};?)"
+# Names that count without a semicolon, the longest first
+_SHORT = "|".join(sorted((n for n in html5 if not n.endswith(";")), key=len, reverse=True))
+# Numbers that stand for another character than their own
+_ODD = {str(n): html.unescape(f"&#{n};") for n in (0, 13, *range(0x80, 0xA0))}
+
+
+def _of_number(digits: Column, base: int) -> Column:
+    """The character of a numeric reference; numbers beyond Unicode give the replacement character."""
+    digits = F.regexp_replace(digits, "^0+(?=.)", "")
+
+    def char(n: Column) -> Column:
+        odd = F.element_at(F.from_json(F.lit(json.dumps(_ODD)), "map<string,string>"), n.cast("string"))
+        none = (
+            n.between(1, 8) | (n == 11) | n.between(14, 31) | n.between(0x7F, 0x9F)
+            | n.between(0xFDD0, 0xFDEF) | (n.bitwiseAND(0xFFFE) == 0xFFFE)
+        )
+        bytes_ = F.unhex(F.lpad(F.hex(n), 8, "0"))
+        return (
+            F.when(odd.isNotNull(), odd)
+            .when((n > 0x10FFFF) | n.between(0xD800, 0xDFFF), "\ufffd")
+            .when(none, "")
+            .otherwise(F.decode(bytes_, "UTF-32"))
+        )
+
+    number = F.when(F.length(digits) <= 7, F.conv(digits, base, 10).cast("int")).otherwise(F.lit(0x110000))
+    return bind(number, char)
+
+
+def _of_name(name: Column) -> Column:
+    """The characters of a name; of an unknown one, those of its longest part that counts alone."""
+    known = F.from_json(F.lit(json.dumps(html5)), "map<string,string>")
+
+    def short(part: Column) -> Column:
+        return F.when(part == "", F.concat(F.lit("&"), name)).otherwise(
+            F.concat(F.element_at(known, part), F.substr(name, F.length(part) + 1))
+        )
+
+    return F.coalesce(F.element_at(known, name), bind(F.regexp_extract(name, f"^(?:{_SHORT})", 0), short))
+
+
 def unescape(text: Column) -> Column:
-    """Decode all HTML entities; rows without an ampersand never leave the JVM."""
-    return _only_where(text, F.contains(text, F.lit("&")), _unescape)
+    """Decode all HTML entities."""
+    # Fixed values
+    usual = {"&amp;": "&", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&nbsp;": "\xa0"}
+
+    def char(found: Column) -> Column:
+        out = F.when(found.startswith("&#"), F.when(
+            F.lower(F.substr(found, F.lit(3), F.lit(1))) == "x",
+            _of_number(F.regexp_extract(found, "([0-9a-fA-F]+);?$", 1), 16),
+        ).otherwise(_of_number(F.regexp_extract(found, "([0-9]+)", 1), 10)))
+        for entity, value in usual.items():
+            out = out.when(found == entity, value)
+        return out.otherwise(_of_name(F.substr(found, F.lit(2))))
+
+    return rewrite(text, _REFERENCE, char, needle="&")

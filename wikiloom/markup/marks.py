@@ -20,6 +20,7 @@ BOLD_OPEN, BOLD_CLOSE = chr(0xFDDB), chr(0xFDDC)
 ITALIC_OPEN, ITALIC_CLOSE = chr(0xFDDD), chr(0xFDDE)
 TITLE_OPEN, TITLE_CLOSE = chr(0xFDDF), chr(0xFDE0)
 LINES_OPEN, LINES_CLOSE = chr(0xFDE2), chr(0xFDE3)  # around the lines of a list
+TABLE_OPEN, TABLE_HALF, TABLE_CLOSE = chr(0xFDE4), chr(0xFDE5), chr(0xFDE6)
 GUARD = chr(0xFDE1)  # stands before armoured text, so that a literal search finds any
 
 

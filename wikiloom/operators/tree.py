@@ -132,10 +132,12 @@ def sorted_pages(pages: DataFrame) -> DataFrame:
 
 
 def listing(ordered: DataFrame, rows: int = 30) -> DataFrame:
-    """Dry-run lines of the first pages of a space in push order, and one line for the rest.
+    """Dry-run lines of the first pages of each space in push order, and one line for the rest of it.
 
-    ``ordered`` holds ``ord, depth, wiki_title, parent_title`` (as written) and ``body_length``.
+    ``ordered`` holds ``ord, depth, wiki_title, parent_title`` (as written) and ``body_length``. With a
+    column ``space``, ``ord`` counts from 0 within the space; else all pages are one space.
     """
+    space = ["space"] if "space" in ordered.columns else []
 
     def text(column: str) -> Column:
         return F.col(column).cast("string")
@@ -149,16 +151,12 @@ def listing(ordered: DataFrame, rows: int = 30) -> DataFrame:
         text("body_length"),
         F.lit("b]"),
     )
-    head = ordered.where(F.col("ord") < rows).select("ord", line.alias("line"))
+    head = ordered.where(F.col("ord") < rows).select(*space, "ord", line.alias("line"))
+    more = F.concat(F.lit("... and "), (F.col("_n") - rows).cast("string"), F.lit(" more"))
     rest = (
-        ordered.agg(F.count(F.lit(1)).alias("_n"))
+        ordered.groupBy(*space).agg(F.count(F.lit(1)).alias("_n"))
         .where(F.col("_n") > rows)
-        .select(
-            F.lit(rows).cast("long").alias("ord"),
-            F.concat(F.lit("... and "), (F.col("_n") - rows).cast("string"), F.lit(" more")).alias(
-                "line"
-            ),
-        )
+        .select(*space, F.lit(rows).cast("long").alias("ord"), more.alias("line"))
     )
     return head.unionByName(rest)
 
