@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from wikiloom.operators import health, requests
@@ -74,7 +75,8 @@ def test_batch(spark):
     assert found == waits(rows)
 
 
-def test_stream_over_several_batches(spark):
+@pytest.mark.parametrize("few", [64, 3])
+def test_stream_over_several_batches(spark, few):
     """Pings land in five files, up to nine minutes late, some at equal times; one server falls silent."""
     rows = pings(2) + [(s, t, 9.0, 503) for s, t, _, _ in pings(2)[::5]]
     rows += [(9, START + dt.timedelta(seconds=60 * i), 12.0, 200) for i in range(3)]
@@ -89,7 +91,7 @@ def test_stream_over_several_batches(spark):
     for part in batches:
         spark.createDataFrame(part, SCHEMA).repartition(1).write.mode("append").parquet(landed)
         job = (
-            health_changes(spark.readStream.schema(SCHEMA).parquet(landed))
+            health_changes(spark.readStream.schema(SCHEMA).parquet(landed), few=few)
             .writeStream.format("parquet")
             .option("path", out)
             .option("checkpointLocation", out + "-state")

@@ -1,8 +1,9 @@
 """Server health on a stream of pings, with the same results as the batch operators.
 
-Pings may come late and in any order, up to the watermark. They wait in keyed state, a minute in an entry,
-until the watermark has passed them, and are then taken in order of time and class; so results do
-not depend on how the stream is cut into micro-batches. A pause gets an event-time timer for the longest
+Pings may come late and in any order, up to the watermark. They wait in keyed state until the watermark has
+passed them, and are then taken in order of time and class; so results do not depend on how the stream is
+cut into micro-batches. A few waiting pings of a server are one value; more of them are a map with a minute in
+an entry, so that no long list is read at once. A pause gets an event-time timer for the longest
 wait, which is deleted if the server resumes: a server that is never pinged again still yields its outage.
 """
 
@@ -26,6 +27,7 @@ _OUT = "server long, us long, event string, paused boolean, seconds double, reco
 _STATE = "failures int, paused boolean, paused_at long, reported boolean, alarm long"
 _WAIT = int(LONGEST_WAIT * 1_000_000)
 _MINUTE = 60_000_000
+FEW = 64  # waiting pings of a server that are kept as one value
 
 
 class HealthProcessor(StatefulProcessor):
@@ -36,30 +38,46 @@ class HealthProcessor(StatefulProcessor):
     and of timers in milliseconds. The timer of a ping is the millisecond it lies in.
     """
 
+    def __init__(self, few: int) -> None:
+        self._most = few
+
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
         self._health = handle.getValueState("health", _STATE)
+        self._few = handle.getValueState("few", "us array<long>, kinds array<string>, more boolean")
         self._waiting = handle.getMapState("waiting", "minute long", "us array<long>, kinds array<string>")
 
     def handleInputRows(
         self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object
     ) -> Iterator[pd.DataFrame]:
-        first = None
         now = timerValues.getCurrentWatermarkInMs() * 1000
+        first, changed = None, False
+        us, kinds, more = self._few.get() if self._few.exists() else ([], [], False)
+        us, kinds = list(us), list(kinds)
         for frame in rows:
             frame = frame[frame["us"] >= now]
-            for minute, part in frame.groupby(frame["us"] // _MINUTE):
-                us, kinds = part["us"].tolist(), part["kind"].tolist()
-                first = min([*us, first] if first is not None else us)
-                held = (int(minute),)
-                if self._waiting.containsKey(held):
-                    before = self._waiting.getValue(held)
-                    us, kinds = list(before[0]) + us, list(before[1]) + kinds
-                self._waiting.updateValue(held, (us, kinds))
-        if first is not None:
+            if frame.empty:
+                continue
+            changed = True
+            us, kinds = us + frame["us"].tolist(), kinds + frame["kind"].tolist()
+            first = min(us) if first is None else min(first, *us)
+            if more or len(us) > self._most:
+                self._put(us, kinds)
+                us, kinds, more = [], [], True
+        if changed:
+            self._few.update((us, kinds, more))
             self._handle.registerTimer(first // 1000)
         return iter([])
 
+    def _put(self, us: list[int], kinds: list[str]) -> None:
+        minutes: dict[int, list] = {}
+        for ping in zip(us, kinds):
+            minutes.setdefault(ping[0] // _MINUTE, []).append(ping)
+        for minute, pings in minutes.items():
+            held = self._waiting.getValue((minute,)) if self._waiting.containsKey((minute,)) else ([], [])
+            times, names = zip(*pings)
+            self._waiting.updateValue((minute,), ([*held[0], *times], [*held[1], *names]))
+
     def handleExpiredTimer(
         self, key: tuple, timerValues: object, expiredTimerInfo: object
     ) -> Iterator[pd.DataFrame]:
@@ -100,6 +118,20 @@ class HealthProcessor(StatefulProcessor):
 
     def _due(self, now: int) -> Iterator[tuple[int, str]]:
         """Waiting pings before the watermark, in order; the next one to wait for gets a timer."""
+        if not self._few.exists():
+            return
+        us, kinds, more = self._few.get()
+        if not more:
+            pings = sorted(zip(us, kinds))
+            later = [p for p in pings if p[0] >= now]
+            yield from pings[: len(pings) - len(later)]
+            if not later:
+                self._few.clear()
+                return
+            self._few.update(([p[0] for p in later], [p[1] for p in later], False))
+            self._handle.registerTimer(later[0][0] // 1000)
+            return
+        self._put(us, kinds)
         for minute in sorted(k[0] for k in self._waiting.keys()):
             us, kinds = self._waiting.getValue((minute,))
             pings = sorted(zip(us, kinds))
@@ -107,18 +139,21 @@ class HealthProcessor(StatefulProcessor):
             yield from pings[: len(pings) - len(later)]
             if later:
                 self._waiting.updateValue((minute,), ([p[0] for p in later], [p[1] for p in later]))
+                self._few.update(([], [], True))
                 self._handle.registerTimer(later[0][0] // 1000)
                 return
             self._waiting.removeKey((minute,))
+        self._few.clear()
 
     def close(self) -> None:
         pass
 
 
-def health_changes(pings: DataFrame, lateness: str = "10 minutes") -> DataFrame:
+def health_changes(pings: DataFrame, lateness: str = "10 minutes", few: int = FEW) -> DataFrame:
     """Stream of pauses, resumptions and outages per server: server, ts, event, paused, seconds, recovered.
 
     ``lateness`` is how far a ping may lie behind the latest one of any server; later ones are dropped.
+    ``few`` waiting pings of a server are kept as one value.
     """
     return (
         classified_pings(pings)
@@ -126,7 +161,7 @@ def health_changes(pings: DataFrame, lateness: str = "10 minutes") -> DataFrame:
         .select("server", "ts", F.unix_micros("ts").alias("us"), F.col("class").alias("kind"))
         .groupBy("server")
         .transformWithStateInPandas(
-            statefulProcessor=HealthProcessor(),
+            statefulProcessor=HealthProcessor(few),
             outputStructType=_OUT,
             outputMode="Append",
             timeMode="EventTime",
