@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wikiloom.catalog import standins
-from wikiloom.catalog.registry import land, query, string, table
+from wikiloom.catalog.registry import land, placed, query, string, table
 from wikiloom.scale import scratch_path
 from wikiloom.sources import landed as read
 
@@ -86,8 +86,9 @@ def s3(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "s4_read_versions",
     """SELECT conv_id::VARCHAR AS page_id, turn::INT AS number, role AS author,
-              '2024-01-01T00:00:00.000Z' AS "when", 'm' || turn AS message
-       FROM conversations ORDER BY conv_id, turn""",
+              '2024-01-01T00:00:00.000Z' AS "when", 'm' || turn AS message,
+              row_number() OVER (ORDER BY conv_id::VARCHAR, turn) AS place
+       FROM conversations""",
 )
 def s4(spark: SparkSession, sf: str) -> DataFrame:
     turns = table(spark, sf, "conversations").withColumn("page_id", string("conv_id"))
@@ -98,7 +99,7 @@ def s4(spark: SparkSession, sf: str) -> DataFrame:
         F.struct(F.col("role").alias("displayName")).alias("by"),
     )
     path = land(_responses(turns, F.col("turn"), item, "page_id"), "versions")
-    return read.read_versions(spark, path).orderBy("page_id", "number")
+    return placed(read.read_versions(spark, path).orderBy("page_id", "number"))
 
 
 @query(

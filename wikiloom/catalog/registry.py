@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wikiloom.scale import scratch_path, spread_scan
+from wikiloom.scale import durable, scratch_path, spread_scan, with_index
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -42,6 +42,13 @@ def land(df: DataFrame, name: str, form: str = "json") -> str:
     return path
 
 
+def placed(df: DataFrame) -> DataFrame:
+    """Add ``place``, the number of each row (from 1) in the order in which the table comes."""
+    rows = durable(df.withColumn("_mid", F.monotonically_increasing_id()))
+    numbered = with_index(rows, ["_mid"], "_at")
+    return numbered.withColumn("place", F.col("_at") + 1).drop("_mid", "_at")
+
+
 def string(column: str) -> Column:
     return F.col(column).cast("string")
 

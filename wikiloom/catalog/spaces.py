@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wikiloom.catalog import standins
-from wikiloom.catalog.registry import query, string, table
+from wikiloom.catalog.registry import placed, query, string, table
 from wikiloom.operators import mapping
 
 
@@ -26,11 +26,12 @@ def p5(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "w8_spaces_by_key",
-    """SELECT c_name AS key, c_mktsegment || ' ' || c_custkey AS name, c_mktsegment AS type
-       FROM customer ORDER BY key""",
+    """SELECT c_name AS key, c_mktsegment || ' ' || c_custkey AS name, c_mktsegment AS type,
+              row_number() OVER (ORDER BY c_name) AS place
+       FROM customer""",
 )
 def w8(spark: SparkSession, sf: str) -> DataFrame:
-    return mapping.list_spaces(standins.spaces(spark, sf))
+    return placed(mapping.list_spaces(standins.spaces(spark, sf)))
 
 
 @query(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wikiloom.catalog import standins
-from wikiloom.catalog.registry import query, string, table
+from wikiloom.catalog.registry import placed, query, string, table
 from wikiloom.functions.keys import wiki_title
 from wikiloom.operators import tree
 from wikiloom.scale import lookup, with_group_position
@@ -61,11 +61,11 @@ def w6_unreached(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "w7_sorted_pages",
-    f"""SELECT id, parent_id, position, ord, title FROM ({N})
-        ORDER BY coalesce(parent_id, ''), position, id""",
+    f"""SELECT id, parent_id, position, ord, title,
+               row_number() OVER (ORDER BY coalesce(parent_id, ''), position, id) AS place FROM ({N})""",
 )
 def w7(spark: SparkSession, sf: str) -> DataFrame:
-    return tree.sorted_pages(standins.tree_nodes(spark, sf))
+    return placed(tree.sorted_pages(standins.tree_nodes(spark, sf)))
 
 
 @query(
