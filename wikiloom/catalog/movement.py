@@ -491,6 +491,8 @@ _SITE = f"""
   k AS (SELECT DISTINCT conv_id FROM conversations)
   SELECT lower(CASE WHEN conv_id % 2 = 0 THEN 'AA' ELSE 'BB' END) AS project,
          {_NO_TITLE.format("conv_id")} AS wiki_title,
+         dense_rank() OVER (ORDER BY conv_id % 2, conv_id) - 1 AS push_ord,
+         CASE WHEN NOT is_current THEN row_number() OVER (PARTITION BY conv_id ORDER BY turn) END AS position,
          CASE WHEN NOT is_current THEN turn::INT END AS number, is_current,
          CASE WHEN is_current AND conv_id > 1 AND conv_id - 2 IN (SELECT conv_id FROM k)
               THEN {_NO_TITLE.format("(conv_id - 2)")} END AS parent_title,
@@ -508,7 +510,7 @@ _SITE = f"""
 @query("plan_site_revisions", _SITE)
 def site_revisions(spark: SparkSession, sf: str) -> DataFrame:
     """The whole migration plan of a running wiki."""
-    return site_plan.revisions(site_tables(spark, sf)).drop("page_id", "push_ord", "position")
+    return site_plan.revisions(site_tables(spark, sf)).drop("page_id")
 
 
 @query("s16_wiki_payload", _SITE)
@@ -517,7 +519,7 @@ def s16(spark: SparkSession, sf: str) -> DataFrame:
     payload = site_plan.revisions(site_tables(spark, sf)).withColumnRenamed("push_ord", "ord")
     path = scratch_path(spark, "payload")
     sinks.write_payload(payload, path)
-    return spark.read.parquet(path).drop("page_id", "ord", "position")
+    return spark.read.parquet(path).drop("page_id").withColumnRenamed("ord", "push_ord")
 
 
 @query(
