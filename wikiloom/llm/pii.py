@@ -3,10 +3,13 @@
 Base spans are the leftmost matches of four patterns that pass a check. They are the seeds. Tokens
 that look like identifiers (they hold a digit or an @) are the instances; the two words before a
 token are its lexical pattern. In each round a pattern's score is the share of its distinct
-instances that are known, a seed counting 1 and a found instance its own score, if enough distinct
-seeds stand behind it; an instance's score is that of its best pattern. After the last round,
-instances of patterns that score high enough are added, with the kind most of the pattern's seeds have.
-Instances that overlap a base span are not added again.
+instances that are known, a seed counting 1 and a found instance its own score. It is accepted if that
+is MIN_SCORE at least and MIN_SEEDS distinct instances support it: seeds, or found instances that score
+as high. Its kind is the one that most of the score belongs to. Its instances are known from then on,
+with its score and kind if no better pattern has them, and may support patterns of the next
+round. Scores never fall, so the rounds end when one accepts no new pattern, after ROUNDS at most: an
+identifier may be that many contexts away from the nearest seed. Instances of accepted patterns are
+added; those that overlap a base span are not added again.
 
 Null text counts as empty. Rows with equal ids stay separate rows. Positions are code points.
 """
@@ -36,10 +39,8 @@ PATTERNS = {
 NEEDLES = {"email": "@", "ip": ".", "phone": "+"}
 _PART = r"0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 _IN_TOKEN = r"A-Za-z0-9_@+./:-"
-TOKEN = (
-    rf"(?<![{_IN_TOKEN}])(?=[{_IN_TOKEN}]*+(?<=[0-9@][{_IN_TOKEN}]{{0,64}}))[{_IN_TOKEN}]++"
-)
-ROUNDS = 2
+TOKEN = rf"(?<![{_IN_TOKEN}])[A-Za-z_+./:-]*+[0-9@][{_IN_TOKEN}]*+"
+ROUNDS = 20
 MIN_SEEDS = 3
 MIN_SCORE = 0.6
 CONTEXT_WORDS = 2
@@ -101,7 +102,8 @@ def instances(text: Column) -> Column:
     """Array of identifier-like tokens: start, end, value, left (the two words before)."""
 
     def row(m: Column) -> Column:
-        words = F.substring_index(F.regexp_replace(F.rtrim(F.right(m["gap"], F.lit(200))), r"[\x09-\x0D]", " "), " ", -CONTEXT_WORDS)
+        spaced = F.rtrim(F.regexp_replace(m["gap"], r"[\x20\x09-\x0D]++", " "))
+        words = F.substring_index(spaced, " ", -CONTEXT_WORDS)
         left = F.trim(F.regexp_replace(F.lower(words), r"[^\p{L}]+", " "))
         return F.struct(m["start"], m["end"], m["value"], left.alias("left"))
 
@@ -121,24 +123,32 @@ def learn_patterns(tokens: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         "pii-edges",
     )
     degree = edges.groupBy("left").agg(F.count(F.lit(1)).alias("_n"))
-    score = edges.select("value", F.col("rank").isNotNull().cast("double").alias("score")).distinct()
-    patterns = None
+    seeds = edges.where("rank is not null").select("value", F.lit(1.0).alias("score"), (-F.col("rank")).alias("kind"))
+    known, patterns, accepted = seeds, None, 0
     for _ in range(rounds):
-        known = score.groupBy("value").agg(F.max("score").alias("score"))
         # One row per value on the right; hot values of the left are split by their patterns.
-        scored = lookup(edges, known, ["value"], ["left"], "inner")
+        best = known.groupBy("value").agg(F.max(F.struct("score", "kind")).alias("b")).select("value", "b.*")
+        scored = lookup(edges.select("left", "value"), best, ["value"], ["left"], "left")
+        sure = (F.col("score") >= MIN_SCORE).cast("long")
         patterns = landed(
             scored.groupBy("left").agg(
-                (F.sum("score") / F.count(F.lit(1))).alias("score"),
-                F.count("rank").alias("seeds"),
-                *[F.sum((F.col("rank") == r).cast("long")).alias(f"k{r}") for r in range(len(KINDS))],
-            ).where((F.col("seeds") >= MIN_SEEDS) & (F.col("score") >= MIN_SCORE)),
+                (F.sum(F.coalesce("score", F.lit(0.0))) / F.count(F.lit(1))).alias("score"),
+                F.coalesce(F.sum(sure), F.lit(0)).alias("support"),
+                *[F.sum(F.when(F.col("kind") == -r, F.col("score"))).alias(f"k{r}") for r in range(len(KINDS))],
+            ).where((F.col("support") >= MIN_SEEDS) & (F.col("score") >= MIN_SCORE)),
             "pii-patterns",
         )
-        reached = lookup(edges, patterns.select("left", "score"), ["left"], ["value"], "inner", counts=degree)
-        score = score.unionByName(reached.select("value", "score"))
-    most = F.greatest(*[F.struct(F.coalesce(f"k{r}", F.lit(0)), F.lit(-r)) for r in range(len(KINDS))])
-    return patterns.select("left", (-most["col2"]).cast("int").alias("rank"))
+        most = F.greatest(*[
+            F.struct(F.coalesce(f"k{r}", F.lit(0.0)).alias("of"), F.lit(-r).alias("kind")) for r in range(len(KINDS))
+        ])
+        patterns = patterns.select("left", "score", most["kind"].alias("kind"))
+        count = patterns.count()
+        if count <= accepted:
+            break
+        accepted = count
+        reached = lookup(edges.select("left", "value"), patterns, ["left"], ["value"], "inner", counts=degree)
+        known = landed(seeds.unionByName(reached.select("value", "score", "kind")), "pii-known")
+    return patterns.select("left", (-F.col("kind")).cast("int").alias("rank"))
 
 
 def personal_data(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
