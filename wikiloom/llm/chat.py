@@ -4,13 +4,16 @@ A turn is ``<|im_start|>role\\ntext<|im_end|>\\n``. Inside roles and texts a bac
 ``<|`` becomes ``<\\|``, so no text can forge a mark and every text can be read back; a line break in
 a role becomes ``<\\>``.
 
-The tokens of turns (words and signs, and four for the marks) are summed up in order; a turn's sum
-names the window that it is new in, so windows begin and end at turns and follow from the
-prefix sums alone. The new turns of a window sum to less than twice the stride, unless one turn is longer;
-the stride is half of what the budget leaves beside system turn and history. Each window begins with
-the conversation's system turn (its first turn, if a system's), repeats the turns whose tokens lie within
-HISTORY before its first new turn, and then has its new turns. The loss mask holds the texts of new
-assistant turns only: repeated ones are masked, so each target counts once.
+The tokens of turns (words and signs, and four for the marks) are summed up in order. From a turn's
+prefix sum its span follows: SPAN windows' room of tokens, so a span is bounded and a long conversation has many.
+In a span, a window begins at the first turn whose end would pass the room that the budget leaves beside
+system turn and history, counted from the prefix sum at which the window before began. Windows so
+begin and end at turns and keep the budget; only one whose single new turn is longer than the room
+passes it, and is marked ``over_budget`` (the room is MIN_ROOM at least, if a system turn takes the rest).
+Each window begins with the conversation's system turn (its first turn, if a system's), repeats
+the turns whose tokens lie within HISTORY before its first new turn, and then has its new turns. The
+loss mask holds the texts of new assistant turns only: repeated ones are masked, so each target
+counts once.
 
 Null texts and roles count as empty. Turns are ordered by number (null first), then role and text;
 rows that repeat stay. A null conversation is one of its own.
@@ -28,7 +31,8 @@ from wikiloom.scale import landed, lookup, with_index
 
 BUDGET = 2048
 HISTORY = 256
-MIN_STRIDE = 256
+MIN_ROOM = 256
+SPAN = 16
 START, END = "<|im_start|>", "<|im_end|>"
 TURN_TOKENS = 4
 
@@ -56,7 +60,7 @@ def tokens(text: Column) -> Column:
 
 
 def placed_turns(turns: DataFrame, budget: int, history: int) -> DataFrame:
-    """Turns with their place, prefix sum, window and system flag."""
+    """Turns with their place, prefix sum (of turns before it, but the system turn), cost, room and system flag."""
     blank = F.lit("")
     rows = turns.select(
         F.coalesce(F.col("conv_id").cast("long"), F.lit(0).cast("long")).alias("c"),
@@ -81,42 +85,66 @@ def placed_turns(turns: DataFrame, budget: int, history: int) -> DataFrame:
     rows = rows.withColumn("is_system", (F.col("place") == F.col("_at")) & (F.col("role") == "system"))
     rows = rows.withColumn("_cost", F.when(F.col("is_system"), 0).otherwise(F.col("cost")).cast("long"))
     rows = running_sum(rows, keys, "place", "_cost", "sum", count)
-    room = F.floor((F.lit(budget - history) - F.col("system_cost")) / 2)
-    rows = rows.withColumn("stride", F.greatest(room, F.lit(MIN_STRIDE)).cast("long"))
+    room = F.greatest(F.lit(budget - history) - F.col("system_cost"), F.lit(MIN_ROOM)).cast("long")
+    return rows.withColumn("room", room).drop("_cost", "_at", "system_cost")
+
+
+def windowed_turns(rows: DataFrame) -> DataFrame:
+    """Placed turns with their window, named by the prefix sum at which it begins.
+
+    A span's turns are folded in order, keeping the sum at which the present window begins. A span
+    has at most SPAN * room tokens and one turn beyond, in one row.
+    """
     # The system turn has sum 0 and so is new in window 0, as is the turn after it.
-    window = F.floor(F.col("sum") / F.col("stride")).cast("long")
-    return rows.withColumn("window", window).drop("_cost", "_at", "system_cost", "cost")
+    turn = F.struct("place", "sum", F.when(F.col("is_system"), 0).otherwise(F.col("cost")).alias("new"),
+                    "cost", "role", "text", "is_system")
+    spans = rows.groupBy("c", "c_null", F.floor(F.col("sum") / (F.col("room") * SPAN)).alias("_span")).agg(
+        F.array_sort(F.collect_list(turn)).alias("_turns"), F.first("room").alias("_room")
+    )
+    none = F.array().cast("array<bigint>")
+
+    def begun(starts: Column, t: Column) -> Column:
+        over = t["sum"] + t["new"] - F.element_at(starts, -1) > F.col("_room")
+        fresh = (F.size(starts) == 0) | (over & (t["sum"] > F.element_at(starts, -1)))
+        return F.when(fresh, F.array_append(starts, t["sum"])).otherwise(starts)
+
+    spans = spans.withColumn("_starts", F.aggregate("_turns", none, begun))
+    each = spans.select("c", "c_null", "_starts", F.inline("_turns"))
+    window = F.array_max(F.filter("_starts", lambda s: s <= F.col("sum")))
+    return each.withColumn("window", window).drop("_starts", "new")
 
 
 def windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> DataFrame:
-    """Per window: conv_id, window, text, n_context (leading turns that are repeated), n_turns and
-    targets (array of start, end in code points: the loss mask)."""
-    rows = landed(placed_turns(turns, budget, history), "chat-turns")
+    """Per window: conv_id, window (the tokens of new turns before it), text, n_context (leading turns
+    that are repeated), n_turns, targets (array of start, end in code points: the loss mask), n_tokens
+    and over_budget."""
+    rows = landed(windowed_turns(placed_turns(turns, budget, history)), "chat-turns")
     keys = ["c", "c_null"]
-    starts = rows.groupBy(*keys, "window").agg(
-        F.min("sum").alias("_from"), F.min("place").alias("_first")
+    starts = rows.select(*keys, "window").distinct()
+    columns = [*keys, "window", "place", "role", "text", "cost"]
+    # History: turns whose tokens lie within reach before the first new turn. Sums are dealt into
+    # cells of that length, of which a window's reach touches two.
+    cell = max(history, 1)
+    probes = starts.where("window > 0").withColumn("_cell", F.explode(F.sequence(
+        F.floor((F.col("window") - history) / cell), F.floor((F.col("window") - 1) / cell)
+    )))
+    earlier = rows.where("not is_system").select(
+        *keys, "place", "role", "text", "cost", "sum", F.floor(F.col("sum") / cell).alias("_cell")
     )
-    own = rows.select(*keys, "window", "place", "role", "text", F.lit(False).alias("again"))
-    # History: a turn whose tokens lie within reach before the first new turn of a later window.
-    reach = F.ceil(F.lit(history) / F.col("stride")).cast("long") + 1
-    later = rows.where("not is_system").withColumn(
-        "window", F.explode(F.sequence(F.col("window") + 1, F.col("window") + reach))
+    repeated = earlier.join(probes, [*keys, "_cell"]).where(
+        (F.col("sum") < F.col("window")) & (F.col("sum") >= F.col("window") - history)
     )
-    repeated = later.join(starts, [*keys, "window"]).where(F.col("_from") - F.col("sum") <= history)
     # The system turn goes into every window but its own.
-    system = rows.where("is_system").select(*keys, "place", "role", "text")
+    system = rows.where("is_system").select(*keys, "place", "role", "text", "cost")
     sized = starts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    headed = lookup(
-        starts.where("window > 0").select(*keys, "window"), system, keys, ["window"], "inner",
-        counts=sized,
-    )
+    headed = lookup(starts.where("window > 0"), system, keys, ["window"], "inner", counts=sized)
     again = F.lit(True).alias("again")
-    columns = [*keys, "window", "place", "role", "text"]
-    everything = own.unionByName(repeated.select(*columns, again)).unionByName(
-        headed.select(*columns, again)
-    )
+    everything = rows.select(*columns, F.lit(False).alias("again")).unionByName(
+        repeated.select(*columns, again)
+    ).unionByName(headed.select(*columns, again))
     grouped = everything.groupBy(*keys, "window").agg(
-        F.array_sort(F.collect_list(F.struct("place", "role", "text", "again"))).alias("turns")
+        F.array_sort(F.collect_list(F.struct("place", "role", "text", "again"))).alias("turns"),
+        F.sum("cost").alias("n_tokens"),
     )
 
     def pieces(turn: Column) -> Column:
@@ -148,6 +176,8 @@ def windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> D
         F.size(F.filter("turns", lambda t: t["again"])).alias("n_context"),
         F.size("turns").alias("n_turns"),
         targets(F.col("parts")).alias("targets"),
+        "n_tokens",
+        (F.col("n_tokens") > budget).alias("over_budget"),
     )
 
 
