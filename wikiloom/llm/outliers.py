@@ -17,7 +17,8 @@ determinants from below, the steps end.
 Groups with fewer than MIN_ROWS such rows use those of their language over all sources, then all
 rows; if even those are too few, none is rejected by distance. Null language and source are
 values of their own. Null text has no words and fails. Each group's statistics are sums and
-quantile sketches, so a hot group is never gathered.
+quantile sketches, so a hot group is never gathered. Pools, their limits and parameters are written before
+they are joined, so that Spark sees their size: a step then moves sums and sketches, but no rows.
 """
 
 from __future__ import annotations
@@ -162,12 +163,12 @@ def _grouped(rows: DataFrame) -> DataFrame:
         .when(F.col("n_lang") >= MIN_ROWS, F.concat(F.lit("l"), F.sha2("lang_", 256)))
         .otherwise(everything).alias("grp"),
     )
-    return rows.join(names, ["lang_", "source_"], "left")
+    return rows.join(landed(names, "mcd-names"), ["lang_", "source_"], "left")
 
 
 def _pools(rows: DataFrame) -> DataFrame:
     """Rows for the estimates: one per own group; pooled groups draw on all rows of their pool."""
-    needed = rows.select("grp").distinct().where("grp is not null")
+    needed = landed(rows.select("grp").distinct().where("grp is not null"), "mcd-groups")
     pools = rows.select("*", F.explode(F.array_distinct(F.array(
         F.col("grp"), F.concat(F.lit("l"), F.sha2("lang_", 256)), F.lit("all")
     ))).alias("pool")).where("used and pool is not null")
@@ -244,6 +245,7 @@ def _moments(rows: DataFrame, keys: list[str], factor: float, kept: list[str]) -
 
 def estimates(pools: DataFrame) -> DataFrame:
     """Per pool: m<i>, l<i><j> and n, the rows that they come from."""
+    pools = landed(pools, "mcd-pools")
     narrow = pools.select("pool", *[f"x{i}" for i in _N])
 
     def near(params: DataFrame) -> DataFrame:
@@ -255,7 +257,7 @@ def estimates(pools: DataFrame) -> DataFrame:
     while True:
         rows = near(moving)
         limits = rows.groupBy("pool", "start").agg(_quantile(F.col("d2"), CORE).alias("limit"))
-        core = rows.join(limits, ["pool", "start"]).where("d2 <= limit")
+        core = rows.join(landed(limits, "mcd-limits"), ["pool", "start"]).where("d2 <= limit")
         stepped = landed(_moments(core, ["pool", "start"], CORE_FACTOR, ["last"]), "mcd-step")
         done = stepped.where(F.col("last") - F.col("det") <= SETTLED)
         settled = done if settled is None else settled.unionByName(done)
@@ -302,7 +304,7 @@ def quality(
     for i, value in enumerate(_vector()):
         rows = rows.withColumn(f"x{i}", value)
     rows = landed(rows, "quality-rows")
-    grouped = landed(_grouped(rows), "quality-groups")
+    grouped = _grouped(rows)
     params = estimates(_pools(grouped)).withColumnRenamed("pool", "grp")
     near = grouped.join(params, "grp", "left")
     distance = _distance(near) * CHI2_CUT / _finite_cut()
