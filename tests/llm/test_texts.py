@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from wikiloom.llm.chat import read_back, windows
 from wikiloom.llm.language import UNKNOWN, fit, identify
 from wikiloom.llm.outliers import quality
-from wikiloom.llm.pii import KINDS, PATTERNS, personal_data, redacted, span_text
+from wikiloom.llm.pii import KINDS, PATTERNS, learn_patterns, personal_data, redacted, span_text
 from wikiloom.llm.warc import canonical_url, merged_headers, resolve_revisits
 
 TEXTS = [
@@ -66,6 +66,25 @@ def test_contexts_find_unseen_identifiers(spark):
     assert got[99] == "phone:19:27" and got[200] == ""
 
 
+def test_found_identifiers_support_further_contexts(spark):
+    found = [f"ref-{n:03d}x" for n in range(8)]
+    rows = [(n, f"so dial number +1 (555) 123-45{n:02d} thanks") for n in range(10, 80)]
+    rows += [(100 + n, f"so dial number {v} now") for n, v in enumerate(found)]
+    rows += [(200 + n, f"their secret code {v} is old") for n, v in enumerate(found)]
+    rows += [(300 + n, f"their secret code new{n}7{'z' * 80} is new") for n in range(3)]
+    rows += [(400 + n, f"{'-' * 300} in room {n}") for n in range(9)]
+    got = {r["doc_id"]: r["s"] for r in personal_data(frame(spark, rows)).select(
+        "doc_id", span_text(F.col("spans")).alias("s")).collect()}
+    assert all(got[i] for i in got if i < 400) and not any(got[i] for i in got if i >= 400)
+    assert got[300] == "phone:18:103"
+    # Two of three instances are known in the last context, a third one only if they support it.
+    one = {r["left"] for r in learn_patterns(spark.createDataFrame(
+        [("a", f"s{n}", 3) for n in range(9)] + [("a", f"f{n}", None) for n in range(3)]
+        + [("b", f"f{n}", None) for n in range(3)] + [("c", f"x{n}", None) for n in range(3)],
+        "left string, value string, rank int")).collect()}
+    assert one == {"a", "b"}
+
+
 def test_redacted(spark):
     rows = frame(spark, TEXTS)
     found = personal_data(rows).withColumnRenamed("spans", "found").select("doc_id", "found")
@@ -101,6 +120,35 @@ def test_chat_round_trip(spark):
     out.unpersist()
 
 
+def plain_windows(costs, room, spans=16):
+    """Numbers of turns in the windows of turns without a system turn, by the rule, turn by turn."""
+    out, total, start, span = [], 0, None, None
+    for cost in costs:
+        here = total // (room * spans)
+        if here != span or (total + cost - start > room and total > start):
+            start, span = total, here
+            out.append(0)
+        out[-1] += 1
+        total += cost
+    return out
+
+
+def test_chat_windows_keep_the_budget(spark):
+    draw = random.Random(3)
+    sizes = {1: [200, 600, 1300], 2: [draw.choice([3, 40, 300, 900, 1900]) for _ in range(400)]}
+    rows = [(c, n, "user" if n % 2 else "assistant", "w " * k) for c, all_ in sizes.items() for n, k in enumerate(all_)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    out = windows(turns).orderBy("conv_id", "window").collect()
+    for conv, all_ in sizes.items():
+        mine = [r for r in out if r["conv_id"] == conv]
+        assert [r["n_turns"] - r["n_context"] for r in mine] == plain_windows([k + 4 for k in all_], 2048 - 256)
+        for r in mine:
+            alone = r["n_turns"] - r["n_context"] == 1
+            assert r["over_budget"] == (r["n_tokens"] > 2048) and (alone or not r["over_budget"])
+            assert r["n_tokens"] == r["text"].count("w ") + 4 * r["n_turns"]
+    assert [r["n_turns"] - r["n_context"] for r in out if r["conv_id"] == 1] == [2, 1]
+
+
 def test_quality(spark):
     words = [f"w{n}" for n in range(400)]
     rows = [(n, " ".join(words[n : n + 60 + n % 40]) + ".\nnew line", "en", "s") for n in range(150)]
@@ -172,6 +220,19 @@ def test_revisits(spark):
         2: ("resolved", 1), 4: ("changed", 1), 5: ("resolved", 3), 6: ("no_response", None),
         7: ("no_response", None), 8: ("changed", 3),
     }
+    # Each revisit row gives one row, whatever its id; without a time nothing resolves or is resolved.
+    rows = [(1, "e.org", 1, "response", "t", "d", a)] * 2 + [(2, "e.org", 2, "revisit", "t", None, b)] * 2
+    rows += [(None, "e.org", 3, "revisit", 'W/"x"', "d", b), (None, "f.org", 1, "response", None, "d", a)]
+    rows += [(None, "f.org", 2, None, None, "d", b), (5, "f.org", None, "revisit", None, "d", b)]
+    rows += [(6, "g.org", None, "response", None, "d", a), (7, "g.org", 2, "revisit", None, "d", b)]
+    rows += [(8, "h.org", 1, "response", None, "d", {"Last-Modified": "x"})]
+    rows += [(9, "h.org", 2, "revisit", "t", "d", {"last-modified": "y"})]
+    odd = spark.createDataFrame([(*r, "z") for r in rows], records.schema.add("latest", "string"))
+    got = sorted(((r["record_id"], r["status"], r["response_id"]) for r in resolve_revisits(odd).collect()), key=str)
+    assert got == sorted([
+        (2, "resolved", 1), (2, "resolved", 1), (None, "changed", 1), (None, "resolved", None), (5, "no_response", None),
+        (7, "no_response", None), (9, "changed", 8),
+    ], key=str)
     merged = spark.range(1).select(merged_headers(
         F.create_map(F.lit("Date"), F.lit("1"), F.lit("X"), F.lit("x")),
         F.create_map(F.lit("date"), F.lit("2"), F.lit("X"), F.lit("no")))).first()[0]
