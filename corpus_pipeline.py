@@ -61,7 +61,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of linked texts (five-word shingles, similarity 0.8) one row stays, that with the smallest id (null first)."""
     keyed = _keyed(docs)
-    return _kept(keyed, _first_of(keyed, jaccard_components(keyed, words=5, percent=80, key=ROW), "component_id"))
+    return _kept(keyed, _first_of(keyed, jaccard_components(keyed, words=5, percent=80, key=ROW, row=ROW), "component_id"))
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
