@@ -11,7 +11,9 @@ import pytest
 
 from wikiloom.llm.components import components
 from wikiloom.llm.cqf import build_block, exact_groups, merge_sorted, read_block
-from wikiloom.llm.jaccard_join import Shells, jaccard_components, near_pairs
+from wikiloom.llm.jaccard_join import (
+    Shells, chunk_blocks, folded, from_varints, jaccard_components, near_pairs, shared_keys, sketch_of, varints,
+)
 from wikiloom.llm.shingles import shingle_sets
 
 HARD = [
@@ -114,6 +116,66 @@ def test_regions_hold_all_near_pairs():
                 assert len(np.intersect1d(shells.keys(a), shells.keys(b)))
 
 
+def test_numbers_of_any_size_come_back():
+    rng = np.random.default_rng(6)
+    values = rng.integers(0, 1 << 63, 500, dtype=np.uint64) >> rng.integers(0, 63, 500).astype(np.uint64)
+    values = np.append(values, np.array([0, 127, 128, (1 << 63) - 1], dtype=np.uint64))
+    assert (from_varints(varints(values)) == values).all()
+    assert varints(values[:0]) == b"" and not len(from_varints(b""))
+
+
+def test_blocks_keep_all_rows_of_keys_that_meet_again():
+    rng = np.random.default_rng(7)
+    edges = np.array([0, 300, 301, 700, 1 << 12], dtype=np.uint64)
+    held, got, every = {}, set(), {}
+    for chunk in range(4):
+        keys = rng.integers(0, 1 << 12, 400, dtype=np.uint64)
+        rows = rng.integers(chunk * 1000, chunk * 1000 + 900, 400)
+        keys[:60], keys[60:63], rows[61] = 5, 300 + chunk, rows[60]  # a hot key, a repeated row
+        for k, r in zip(keys.tolist(), rows.tolist()):
+            every.setdefault(k, set()).add(r)
+        for bucket, base, coded, places in chunk_blocks(keys, rows, edges):
+            if bucket < 0:
+                more = np.cumsum(from_varints(coded), dtype=np.uint64)
+                got |= set(zip(more.tolist(), (from_varints(places).astype(np.int64) + base).tolist()))
+            else:
+                held.setdefault(bucket, []).append((base, coded, places))
+    entries = sum(len(from_varints(k)) for blocks in held.values() for _, k, _ in blocks)
+    assert entries < 4 * 400 - 4 * 59 + 4  # one entry of the hot key a chunk
+    for blocks in held.values():
+        keys, rows = shared_keys(blocks)
+        got |= set(zip(keys.tolist(), rows.tolist()))
+    assert got == {(k, r) for k, rows in every.items() if len(rows) > 1 for r in rows}
+
+
+def test_sketches_never_overstate_distance():
+    rng = np.random.default_rng(8)
+    for n, m in [(3, 5), (900, 1100), (1000, 1300), (5000, 4000), (70_000, 60_000)]:
+        a = np.unique(rng.integers(0, 1 << 62, n, dtype=np.uint64))
+        b = np.unique(np.append(a[: n // 2], rng.integers(0, 1 << 62, m - n // 2, dtype=np.uint64)))
+        pair = [sketch_of(a), sketch_of(b)]
+        x, y = folded(pair, min(map(len, pair)))
+        assert np.abs(x - y).sum() <= len(np.setxor1d(a, b))
+
+
+@pytest.mark.parametrize("tasks", ["1", "7"])
+def test_jaccard_of_repeated_null_ids_and_hot_passages(spark, tasks):
+    rng = np.random.default_rng(9)
+    shared = " ".join(f"s{i}" for i in range(40))
+    rows = [(i, shared + " " + " ".join(f"w{rng.integers(0, 10**9)}" for _ in range(60))) for i in range(300)]
+    rows += [(1000 + i, rows[0][1] + f" e{i}") for i in range(200)]
+    nulls = [(None, "p q r s t"), (None, "p q r s t"), (None, "p q r s u")]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", tasks)
+    try:
+        got = jaccard_components(frame(spark, rows + nulls), 3, 90).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(got) == 503 and sum(r["doc_id"] is None for r in got) == 3
+    found = sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got if r["doc_id"] is not None)
+    assert found == brute(rows, 3, 90)
+
+
 def test_near_pairs_loses_none():
     rng = np.random.default_rng(4)
     base = rng.integers(0, 4, (6, 1024))
