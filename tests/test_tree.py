@@ -44,6 +44,21 @@ def test_long_chain(spark):
     assert {(r.id, r.depth) for r in paths.collect()} == {(str(i), i) for i in range(100)}
 
 
+def test_paths_of_deep_trees_stay_narrow(spark):
+    """Branches of a deep tree keep the order of a queue, and no row holds the keys of all its ancestors."""
+    rng = random.Random(3)
+    nodes = [
+        (str(i), str(max(i - rng.randrange(1, 4), 0)) if i else None, rng.choice([0, 1, None]), i, "t")
+        for i in range(160)
+    ]
+    by_queue = breadth_first([(*n[:2], -1 if n[2] is None else n[2], *n[3:]) for n in nodes])
+    paths = tree.tree_paths(spark.createDataFrame(nodes, SCHEMA), ["position", "ord"])
+    rows = tree.push_order(paths).orderBy("ord").collect()
+    assert [r.id for r in rows] == by_queue
+    assert max(r.depth for r in rows) > 60
+    assert max(len(r.path) for r in rows) <= tree.PATH_KEYS
+
+
 def test_circles_are_reported(spark):
     nodes = [("a", None, 0, 0, "t"), ("b", "c", 0, 1, "t"), ("c", "b", 0, 2, "t"),
              ("d", "b", 0, 3, "t"), ("e", "e", 0, 4, "t"), ("f", "gone", 0, 5, "t")]

@@ -26,34 +26,57 @@ def known_parents(pages: DataFrame) -> DataFrame:
     )
 
 
+PATH_KEYS = 8
+
+
 def tree_paths(pages: DataFrame, sibling_order: Sequence[str]) -> DataFrame:
-    """Depth and path of each page: the sibling sort keys from the root down.
+    """Depth of each page and ``path``, by which pages of one depth are ordered as by the sibling sort
+    keys from the root down.
 
     Each round doubles the length of the known path pieces, so a tree of depth d takes about
-    log2(d) joins. Pages in a circle of parents never reach a root and are left out, as are the
+    log2(d) joins. Pieces of ``PATH_KEYS`` keys are replaced by their ranks, so a row stays narrow in
+    a tree of any depth. Pages in a circle of parents never reach a root and are left out, as are the
     pages below them; ``unreached_pages`` lists them.
     """
     key = F.struct(*sibling_order)
     rows = known_parents(pages.select("id", "parent_id", *sibling_order)).select(
-        "id", "parent_id", F.col("parent_id").alias("up"), F.array(key).alias("path")
+        "id", "parent_id", F.col("parent_id").alias("up"), F.array(key).alias("path"),
+        F.lit(0).alias("depth"),
     )
     rows = durable(rows)
     waiting = rows.where("up IS NOT NULL").count()
+    held = 1
     while waiting:
+        if held >= PATH_KEYS:
+            rows, held = _ranked(rows), 1
         above = rows.select(
-            F.col("id").alias("up"), F.col("up").alias("_up"), F.col("path").alias("_path")
+            F.col("id").alias("up"), F.col("up").alias("_up"), F.col("path").alias("_path"),
+            F.col("depth").alias("_depth"),
         )
         grown = lookup(rows.where("up IS NOT NULL"), above, ["up"], ["id"]).select(
-            "id", "parent_id", F.col("_up").alias("up"), F.concat("_path", "path").alias("path")
+            "id", "parent_id", F.col("_up").alias("up"), F.concat("_path", "path").alias("path"),
+            (F.col("_depth") + F.col("depth") + 1).alias("depth"),
         )
         rows = durable(rows.where("up IS NULL").unionByName(grown))
+        held *= 2
         left = rows.where("up IS NOT NULL").count()
         if left == waiting:
             break
         waiting = left
-    return rows.where("up IS NULL").select(
-        "id", "parent_id", (F.size("path") - 1).alias("depth"), "path"
+    return rows.where("up IS NULL").select("id", "parent_id", "depth", "path")
+
+
+def _ranked(rows: DataFrame) -> DataFrame:
+    """Each path as one number that orders as the path does; equal paths have equal numbers.
+
+    Pages of one depth hold as many keys as each other in every round, so their paths stay comparable.
+    """
+    paths = rows.groupBy("path").agg(F.count(F.lit(1)).alias("_n"))
+    ranks = with_index(paths, ["path"], "_rank")
+    found = lookup(
+        rows, ranks.select("path", "_rank"), ["path"], ["id"], "inner", counts=ranks.select("path", "_n")
     )
+    return durable(found.withColumn("path", F.array("_rank")).drop("_rank"))
 
 
 def unreached_pages(pages: DataFrame, paths: DataFrame) -> DataFrame:
