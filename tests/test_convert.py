@@ -187,6 +187,22 @@ def test_links_to_pages_and_spaces(spark):
     ]
 
 
+def test_bodies_are_searched_and_moved_once_for_links(spark):
+    """Ids of links are written, and one join brings the maps of pages and spaces to a body."""
+    bodies = spark.createDataFrame(
+        [(1, '<a href="/x?pageId=7">a</a>'), (2, '<a href="/display/ab/T">b</a>'), (3, "no link"), (4, None)],
+        "page_id int, body string",
+    )
+    targets = spark.createDataFrame([("7", "T_7", "p")], "id string, wiki_title string, project string")
+    spaces = spark.createDataFrame([("AB", "p-ab")], "key string, identifier string")
+    linked = with_link_targets(bodies, ["page_id"], targets, spaces)
+    assert "regexp_extract_all" not in linked._jdf.queryExecution().optimizedPlan().toString()
+    found = {r.page_id: (r.link_pages, r.link_spaces) for r in linked.collect()}
+    assert found[1][0]["7"].title == "T_7" and found[1][1] is None
+    assert found[2] == (None, {"AB": "p-ab"})
+    assert found[3] == found[4] == (None, None)
+
+
 def test_conversion_needs_no_shuffle(spark):
     frame = spark.createDataFrame([("a",)], "body string")
     plan = convert_pages(frame)._jdf.queryExecution().executedPlan().toString()

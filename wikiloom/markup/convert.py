@@ -17,7 +17,7 @@ from wikiloom.functions.text import unescape
 from wikiloom.markup import html, links
 from wikiloom.markup.lists import convert_lists, fold_titles
 from wikiloom.markup.macros import convert_macros
-from wikiloom.scale import lookup
+from wikiloom.scale import landed, lookup
 
 _PAGE_ID = r"pageId=(\d+)"
 _DISPLAY_SPACE = r'href="/display/([^/"]+)/[^"]'
@@ -145,12 +145,19 @@ def with_link_targets(
     )
     holding = bodies.where(linked)
 
-    def found(pattern: str, name: str) -> DataFrame:
-        ids = F.array_distinct(F.regexp_extract_all(body, F.lit(pattern), F.lit(1)))
-        return holding.select(*keys, F.explode(ids).alias(name))
+    # The ids are written once, so that bodies are searched once and moved once, to the maps of both kinds.
+    def ids(pattern: str) -> Column:
+        return F.array_distinct(F.regexp_extract_all(body, F.lit(pattern), F.lit(1)))
+
+    named_ids = landed(
+        holding.select(*keys, ids(_PAGE_ID).alias("_pages"), ids(_DISPLAY_SPACE).alias("_spaces")), "link-ids"
+    )
+
+    def found(column: str) -> DataFrame:
+        return named_ids.select(*keys, F.explode(column).alias("_link"))
 
     page_rows = lookup(
-        found(_PAGE_ID, "_link"),
+        found("_pages"),
         targets.select(
             F.col("id").alias("_link"),
             F.struct(F.col("wiki_title").alias("title"), "project").alias("_to"),
@@ -162,21 +169,20 @@ def with_link_targets(
     page_maps = page_rows.groupBy(*keys).agg(
         F.map_from_entries(F.collect_list(F.struct("_link", "_to"))).alias("link_pages")
     )
-    joined = holding.join(page_maps, keys, "left")
     if spaces is None:
-        joined = joined.withColumn("link_spaces", F.lit(None).cast("map<string, string>"))
+        maps = page_maps.withColumn("link_spaces", F.lit(None).cast("map<string, string>"))
     else:
         homes = spaces.groupBy(F.upper("key").alias("_link")).agg(
             F.max("identifier").alias("_to")
         )
-        named = found(_DISPLAY_SPACE, "_link").withColumn("_link", F.upper("_link")).distinct()
+        named = found("_spaces").withColumn("_link", F.upper("_link")).distinct()
         space_maps = (
             lookup(named, homes, ["_link"], keys, "inner")
             .groupBy(*keys)
             .agg(F.map_from_entries(F.collect_list(F.struct("_link", "_to"))).alias("link_spaces"))
         )
-        joined = joined.join(space_maps, keys, "left")
-    return joined.unionByName(without)
+        maps = page_maps.join(space_maps, keys, "full")
+    return holding.join(maps, keys, "left").unionByName(without)
 
 
 # Fixed values
