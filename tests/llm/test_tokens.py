@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from wikiloom.llm import simple8b
+from wikiloom.llm import simple8b, tokens
 from wikiloom.llm.bpe_automaton import encode_decode, runner
 from wikiloom.llm.packing import pack_documents
 from wikiloom.llm.tokens import encoder
@@ -117,3 +117,17 @@ def test_encode_decode(spark):
     got = encode_decode(hard(spark), WORD).collect()
     assert sorted(r["n_tokens"] for r in got) == sorted(len(b) // 4 for b in ids_of(WORD, [t or "" for _, t in HARD]))
     assert encode_decode(hard(spark).limit(0), WORD).count() == 0
+
+
+@pytest.mark.parametrize("path", [BYTE, WORD])
+def test_pieces_beyond_the_bound_are_encoded_again(path, monkeypatch):
+    """Texts of all kinds of white space in one batch; few pieces are kept, as Arrow arrays."""
+    monkeypatch.setattr(tokens, "MEMO_PIECES", 5)
+    rows = ["", " ", "a", " the (a, b)", "the a　b ", "x\x1cy  z", "l m\n n", "w" * 200, "é é the.", "a\t\r\nb", "😀 the"]
+    made = tokens.Encoder(path)
+    expected = [np.array(e.ids, "<u4").tobytes() for e in library(path).encode_batch(rows, add_special_tokens=False)]
+    for _ in range(2):
+        assert made.encode(rows) == expected
+        assert [made.encode([row])[0] for row in rows] == expected
+    assert len(made.known.pieces) == len(made.known.ids) <= 5
+    assert made.encode([]) == []

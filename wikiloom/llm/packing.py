@@ -39,7 +39,7 @@ def encode_placed(
         end = np.array([end_id], dtype="<u4").tobytes()
         part, place = TaskContext.get().partitionId(), 0
         for batch in batches:
-            for piece in slices(batch, "_text", 1 << 22):
+            for piece in slices(batch, "_text", 1 << 23):
                 ids = [b + end for b in encode(piece.column("_text").to_pylist())]
                 n = np.array([len(b) // 4 for b in ids], dtype=np.int64)
                 ends = place + np.cumsum(n)

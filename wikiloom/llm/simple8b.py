@@ -237,7 +237,7 @@ def write_token_files(
             )
 
         for batch in batches:
-            for piece in slices(batch, "text", 1 << 22):
+            for piece in slices(batch, "text", 1 << 23):
                 texts = piece.column("text").to_pylist()
                 for doc, ids in zip(piece.column("doc_id").to_pylist(), encode(texts)):
                     keys.append(doc)

@@ -2,7 +2,8 @@
 
 A pre-tokenizer never joins text across some places, for example before the blank that follows a
 letter. Texts are cut there, each distinct piece is encoded once by the library and kept, and the
-ids of a text are the ids of its pieces. Tokenizers of an unknown kind encode whole texts.
+ids of a text are the ids of its pieces. Cutting, looking up and joining are done by Arrow for a batch
+at a time; only new pieces pass through Python. Tokenizers of an unknown kind encode whole texts.
 """
 
 from __future__ import annotations
@@ -13,6 +14,8 @@ import re
 from array import array
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 MEMO_PIECES = 400_000
@@ -30,6 +33,9 @@ _SPACES = [chr(c) for c in range(0x3001) if chr(c).isspace()]
 _SPACE_RUNS = [s + " " for s in _SPACES]
 _AFTER_TEXT = re.compile(r"(?<!\s) ")
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
+# Texts that blanks or ASCII white space alone do not cut, as patterns of Arrow
+_BYTE_ODD = "[" + "".join(f"\\x{{{ord(s):x}}}" for s in _SPACES) + "] "
+_WORD_ODD = "[" + "".join(f"\\x{{{ord(s):x}}}" for s in _SPACES if not "\t" <= s <= "\r" and s != " ") + "]"
 _PLAIN_SPACE = re.compile("[" + "".join(s for s in _SPACES if not "\x1c" <= s <= "\x1f") + "]+")
 
 
@@ -54,6 +60,26 @@ class Memo(dict):
                 self.extra[key] = value
 
 
+class Known:
+    """Pieces and their ids as two Arrow arrays, kept up to a bound, so that a batch is looked up at once."""
+
+    def __init__(self) -> None:
+        self.pieces = pa.array([], pa.large_string())
+        self.ids = pa.array([], pa.large_binary())
+
+    def find(self, pieces: pa.Array) -> pa.Array:
+        """Places of pieces; null where one is not kept."""
+        return pc.index_in(pieces, value_set=self.pieces)
+
+    def add(self, pieces: pa.Array, ids: pa.Array) -> None:
+        """Keep new pieces, each given once."""
+        short = pc.less_equal(pc.utf8_length(pieces), KEPT_LENGTH)
+        room = MEMO_PIECES - len(self.pieces)
+        if room > 0 and len(pieces):
+            self.pieces = pa.concat_arrays([self.pieces, pieces.filter(short)[:room]])
+            self.ids = pa.concat_arrays([self.ids, ids.filter(short)[:room]])
+
+
 class Encoder:
     def __init__(self, path: str) -> None:
         with open(path, encoding="utf-8") as file:
@@ -63,7 +89,7 @@ class Encoder:
         self.library.no_padding()
         self.marks = [t["content"] for t in spec["added_tokens"]]
         self.kind = _kind(spec)
-        self.memo, self.parts = Memo(), Memo()
+        self.known, self.parts = Known(), Memo()
         self.word = re.compile(rf"[{_LETTER}]+")
         vocab = self.library.get_vocab()
         self.edges = np.zeros(max(vocab.values(), default=0) + 1, dtype=bool)
@@ -108,40 +134,82 @@ class Encoder:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         if self.kind == "whole":
             return self._each(texts)
-        cut = [self.cut(text) for text in texts]
-        head, lead = [b""] * len(cut), ""
+        if not texts:
+            return []
+        column = pa.array(texts, pa.large_string())
+        odd = pc.match_substring_regex(column, _BYTE_ODD if self.kind == "byte" else _WORD_ODD)
+        if not pc.any(odd).as_py():
+            return self._joined(self._split(column))
+        out: list[bytes] = [b""] * len(texts)
+        for rows, split in ((pc.invert(odd), self._split), (odd, self._split_odd)):
+            found = self._joined(split(column.filter(rows)))
+            for at, ids in zip(pc.indices_nonzero(rows).to_pylist(), found):
+                out[at] = ids
+        return out
+
+    def _split(self, column: pa.Array) -> pa.Array:
+        return pc.split_pattern(column, " ") if self.kind == "byte" else pc.ascii_split_whitespace(column)
+
+    def _split_odd(self, column: pa.Array) -> pa.Array:
+        return pa.array([self.cut(text) for text in column.to_pylist()], pa.list_(pa.large_string()))
+
+    def _joined(self, cut: pa.Array) -> list[bytes]:
+        """Ids of texts in pieces. Each distinct piece is looked up once, and the ids of all pieces, one behind
+        the other, are taken in one go."""
+        if not len(cut):
+            return []
+        bounds = cut.offsets.to_numpy() - cut.offsets[0].as_py()
+        coded = cut.flatten().dictionary_encode()
+        pieces = coded.dictionary
+        if self.kind == "byte":
+            # The first piece of a text follows no blank.
+            heads = self._each(pc.list_element(cut, 0).to_pylist())
+        place = self.known.find(pieces)
+        new = pc.is_null(place)
+        unknown = pieces.filter(new)
+        fresh = pa.array(self._learn(unknown.to_pylist(), " " if self.kind == "byte" else ""), pa.large_binary())
+        places = place.fill_null(0).to_numpy().copy()
+        places[new.to_numpy(zero_copy_only=False)] = len(self.known.ids) + np.arange(len(fresh))
+        each = places[coded.indices.to_numpy()]
+        table = [self.known.ids, fresh]
         if self.kind == "byte":
-            lead = " "
-            head = self._each([pieces[0] for pieces in cut])
-            cut = [pieces[1:] for pieces in cut]
-        self._learn(set().union(*cut).difference(self.memo), lead)
-        get = self.memo.__getitem__
-        return [first + b"".join(map(get, pieces)) for first, pieces in zip(head, cut)]
-
-    def _learn(self, pieces: set[str], lead: str) -> None:
-        """Keep the ids of pieces. A piece is cut on: its head follows the lead, as plain words do,
+            each[bounds[:-1]] = len(self.known.ids) + len(fresh) + np.arange(len(heads))
+            table.append(pa.array(heads, pa.large_binary()))
+        ids = pa.concat_arrays(table).take(pa.array(each))
+        self.known.add(unknown, fresh)
+        _, offsets, data = ids.buffers()
+        ends = np.frombuffer(offsets, np.int64, len(ids) + 1)[bounds].tolist()
+        whole = b"" if data is None else data.to_pybytes()
+        return [whole[a:b] for a, b in zip(ends, ends[1:])]
+
+    def _learn(self, pieces: list[str], lead: str) -> list[bytes]:
+        """Ids of pieces. A piece is cut on: its head follows the lead, as plain words do,
         and the parts behind the head follow other text."""
         plain = self.word.fullmatch
         words = set(filter(plain, pieces))
-        split, others = {}, set()
-        for piece in pieces - words:
+        split, others, heads = {}, set(), set()
+        for piece in pieces:
+            if piece in words:
+                continue
             first, *rest = [lead + piece] if "<" in piece else _CUT.split(lead + piece)
             head = first[len(lead):]
-            (words if plain(head) else others).add(head)
-            if rest:
-                split[piece] = (head, rest)
+            (heads if plain(head) else others).add(head)
+            split[piece] = (head, rest)
+        heads = list(heads - words)
+        places = self.known.find(pa.array(heads, pa.large_string()))
+        found = {h: i for h, i in zip(heads, self.known.ids.take(places).to_pylist()) if i is not None}
         parts = {part for _, rest in split.values() for part in rest}
         parts = list(parts.difference(self.parts))
         self.parts.add(dict(zip(parts, self._each(parts))))
-        new = list(words.difference(self.memo))
-        found = dict(zip(new, self._words(new, lead)))
-        new = list(others.difference(self.memo))
+        new = [*words, *[h for h in heads if h not in found]]
+        found.update(zip(new, self._words(new, lead)))
+        new = list(others)
         found.update(zip(new, self._each([lead + head for head in new])))
         get = self.parts.__getitem__
         for piece, (head, rest) in split.items():
-            ids = found[head] if head in found else self.memo[head]
-            found[piece] = ids + b"".join(map(get, rest))
-        self.memo.add(found)
+            if rest:
+                found[piece] = found[head] + b"".join(map(get, rest))
+        return [found[piece] for piece in pieces]
 
 
 def _kind(spec: dict) -> str:
