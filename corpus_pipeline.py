@@ -1,7 +1,7 @@
 """A corpus pipeline of five stages; each reads what its predecessor kept.
 
-Stages decide per row: ids may be null or repeated, so decisions and spans are joined by a row key
-that each stage writes. Packed pieces carry the id as it is.
+Stages decide per row: ids may be null or repeated, so decisions and spans are joined by a row key:
+a row's place in its files, or a key that the stage writes. Packed pieces carry the id as it is.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from os.path import abspath, dirname
 
 sys.path.insert(0, dirname(abspath(__file__)))
 
+from pyspark.errors import AnalysisException  # noqa: E402
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
@@ -28,9 +29,33 @@ ORACLE_SQL = None
 ROW = "_stage_row"
 
 
+_FILE_BITS = 33  # rows of a file, as in monotonically_increasing_id
+
+
+def _scanned(docs: DataFrame) -> bool:
+    """Whether the rows are those of files as they stand, so that each has a place in its file."""
+    if "_metadata" in docs.columns or not docs._jdf.queryExecution().analyzed().children().isEmpty():
+        return False
+    try:
+        docs.select("_metadata.file_path", "_metadata.row_index")
+    except AnalysisException:
+        return False
+    return True
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
-    """The rows with a key of their own, written, as ids may be null or repeated."""
-    return landed(docs.withColumn(ROW, F.monotonically_increasing_id()), "pipeline-rows")
+    """The rows with a key of their own, as ids may be null or repeated.
+
+    Rows of files have the number of their file and their place in it, so their texts are not written again; the table of
+    file names is no longer than the list that the driver reads them by. Other rows are written with a key.
+    """
+    if not _scanned(docs):
+        return landed(docs.withColumn(ROW, F.monotonically_increasing_id()), "pipeline-rows")
+    named = docs.withColumns({"_file": F.col("_metadata.file_path"), "_place": F.col("_metadata.row_index")})
+    files = sorted(row["_file"] for row in named.select("_file").distinct().collect())
+    numbers = docs.sparkSession.createDataFrame(list(zip(files, range(len(files)))), "_file string, _number long")
+    key = F.shiftleft("_number", _FILE_BITS) + F.col("_place")
+    return named.join(F.broadcast(numbers), "_file").select(*docs.columns, key.alias(ROW))
 
 
 def _kept(keyed: DataFrame, keep: DataFrame) -> DataFrame:

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import random
+from pathlib import Path
+
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 
@@ -60,3 +63,27 @@ def test_null_and_repeated_ids(spark, sf_dir):
         spark, spark.createDataFrame([(None, good[0]), (None, good[1]), (4, good[2]), (4, good[2])], "doc_id long, text string"), sf_dir
     ).collect()
     assert sorted(str(p["doc_id"]) for p in pieces if p["start"] == 0) == ["4", "4", "None", "None"]
+
+
+def test_rows_of_files_are_keyed_in_place(spark, sf_dir, tmp_path):
+    """Stages over files write no second copy of the texts; keys of two reads are the same."""
+    kind = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = [(i % 7 or None, f"text {i % 40}", "en", "s", 7) for i in range(100)]
+    path = str(tmp_path / "docs")
+    spark.createDataFrame(rows, kind).repartition(3).write.parquet(path)
+    docs = spark.read.parquet(path)
+    corpus_pipeline.landed(docs.limit(1), "test-first")  # the checkpoint folder is there
+    folder = Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+    before = set(folder.glob("pipeline-rows-*"))
+
+    keyed = [sorted(map(str, corpus_pipeline._keyed(docs).collect())) for _ in range(2)]
+    assert keyed[0] == keyed[1]
+    assert corpus_pipeline._keyed(docs).select(corpus_pipeline.ROW).distinct().count() == len(rows)
+    kept = corpus_pipeline.exact_dedup(spark, docs, sf_dir)
+    assert kept.columns == docs.columns
+    assert sorted(r["text"] for r in kept.collect()) == sorted({r[1] for r in rows})
+    assert set(folder.glob("pipeline-rows-*")) == before
+
+    made = docs.withColumn("doc_id", F.explode(F.array("doc_id", F.lit(1).cast("long"))))
+    assert corpus_pipeline._keyed(made).select(corpus_pipeline.ROW).distinct().count() == 2 * len(rows)
+    assert corpus_pipeline._keyed(docs.limit(0)).count() == 0
