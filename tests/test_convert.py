@@ -9,7 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from wikiloom.catalog.markup import link, macro, par, plain, rich
-from wikiloom.functions.text import unescape
+from wikiloom.functions.text import unescape, where_held
+from wikiloom.markup import marks
 from wikiloom.markup.convert import convert_pages, with_link_targets
 
 
@@ -221,3 +222,31 @@ def test_body_column_and_nulls(spark):
     frame = spark.createDataFrame([(None,), ("<b>a</b>",)], "html string")
     texts = {r.md for r in convert_pages(frame, body="html", out="md").select(F.col("md")).collect()}
     assert texts == {"", "**a**"}
+
+
+def test_rules_are_skipped_where_no_tag_is_left(spark):
+    rows = spark.createDataFrame([("no tag",), ("a\u0000<",), ("",), (None,)], "t string")
+    loud = where_held(F.col("t"), lambda body: F.upper(body), "<", "no such")
+    assert [r[0] for r in rows.select(loud).collect()] == ["no tag", "A\u0000<", "", None]
+    failing = where_held(F.col("t"), lambda body: F.raise_error(body).cast("string"), "<")
+    assert rows.where("t = 'no tag'").select(failing).first()[0] == "no tag"
+
+
+def test_armoured_signs_begin_with_other_bytes_than_marks(spark):
+    """Else a search for a mark stops at every blank of code; and code of all signs comes back as it was."""
+    signs = {c.encode()[0] for c in marks._ARMOURED}
+    assert len(set(marks._ARMOURED)) == len(marks._PLAIN)
+    assert marks.GUARD.encode()[0] not in signs and marks.TITLE_OPEN.encode()[0] not in signs
+    code = "a  b\t<c> & #1\r\n * ]] ]> 中 😀 </d>\n\n\n\n  z"
+    row = spark.createDataFrame([(code,)], "t string")
+    assert row.select(marks.disarm(marks.armour(F.col("t")))).first()[0] == code
+    assert row.select(marks.disarm(F.lit(marks.armoured(code)))).first()[0] == code
+
+
+def test_code_up_to_its_first_closing_tag(spark):
+    body = (
+        '<ac:structured-macro ac:name="code"><ac:plain-text-body><![CDATA[a ]] ]]> </b>\n<i>]]></ac:plain-text-body>'
+        "</ac:structured-macro><h1>x < y\n<i>k</i></h1><b>1 < 2\n</c></b><b>3</b>"
+    )
+    assert converted(spark, [body]) == ["```\na ]] ]]> </b>\n<i>\n```\n\n# x ** **3**"]
+    assert converted(spark, ["<h1>a<h1>b</h1>c</h1>", "<b>a<b>c</b>"]) == ["# ab\nc", "**ac**"]

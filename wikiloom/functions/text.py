@@ -44,6 +44,11 @@ def group(text: Column, pattern: str, number: int = 1) -> Column:
     return F.regexp_extract(text, pattern, number)
 
 
+def upto(closing: str) -> str:
+    """Pattern for all text before the first closing tag, as a loop that never steps back."""
+    return f"[^<]*+(?:<(?!{closing[1:]})[^<]*+)*+"
+
+
 def bind(value: Column, use: Callable[[Column], Column]) -> Column:
     """Evaluate ``value`` once and let ``use`` name it many times."""
     return F.transform(F.array(value), use)[0]
@@ -76,13 +81,22 @@ def sub(text: Column, pattern: str, replacement: str, *needles: str) -> Column:
     A literal search is far cheaper than a pattern that finds nothing.
     """
 
+    def replaced(body: Column) -> Column:
+        return F.regexp_replace(body, pattern, replacement)
+
+    return where_held(text, replaced, *needles) if needles else replaced(text)
+
+
+def where_held(text: Column, rules: Callable[[Column], Column], *needles: str) -> Column:
+    """Rules for texts that hold one of the literals that any of their matches needs; others pass as they are."""
+
     def gated(body: Column) -> Column:
         held = F.contains(body, F.lit(needles[0]))
         for needle in needles[1:]:
             held = held | F.contains(body, F.lit(needle))
-        return F.when(held, F.regexp_replace(body, pattern, replacement)).otherwise(body)
+        return F.when(held, rules(body)).otherwise(body)
 
-    return bind(text, gated) if needles else F.regexp_replace(text, pattern, replacement)
+    return bind(text, gated)
 
 
 def url_unquote(text: Column) -> Column:

@@ -13,10 +13,11 @@ from functools import lru_cache
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wikiloom.functions.text import unescape
+from wikiloom.functions.text import unescape, where_held
 from wikiloom.markup import html, links
 from wikiloom.markup.lists import convert_lists, fold_titles
 from wikiloom.markup.macros import convert_macros
+from wikiloom.markup.marks import TABLE_OPEN
 from wikiloom.scale import landed, lookup
 
 _PAGE_ID = r"pageId=(\d+)"
@@ -42,7 +43,7 @@ def _site_steps(
         body = links.shown_links(body, fmt, pages, spaces, project)
         return links.shown_images(body, "site", fmt)
 
-    return [lambda body: convert_macros(body, "site", fmt), stored, blocks, inline]
+    return [lambda body: convert_macros(body, "site", fmt), _held(stored), _held(blocks), _held(inline)]
 
 
 def _export_steps() -> list[Callable[[Column], Column]]:
@@ -59,14 +60,24 @@ def _export_steps() -> list[Callable[[Column], Column]]:
         body = html.strikes(html.plain_emphasis(body), "export", "markdown")
         return links.shown_images(links.plain_links(body), "export", "markdown")
 
-    return [lambda body: convert_macros(body, "export", "markdown"), stored, blocks, inline]
+    return [
+        lambda body: convert_macros(body, "export", "markdown"), _held(stored), _held(blocks, TABLE_OPEN), _held(inline)
+    ]
 
 
 def _tail(body: Column, form: str, fmt: str) -> Column:
-    body = html.paragraphs(html.titles(body, form))
-    if form == "site":
-        body = html.quotes(html.definitions(body, fmt))
-    return html.drop_other_tags(body, form, fmt)
+    def tags(body: Column) -> Column:
+        body = html.paragraphs(body)
+        if form == "site":
+            body = html.quotes(html.definitions(body, fmt))
+        return html.drop_other_tags(body, form, fmt)
+
+    return _held(tags)(html.titles(body, form))
+
+
+def _held(rules: Callable[[Column], Column], *marks: str) -> Callable[[Column], Column]:
+    """Rules whose every match holds a tag: bodies that have none left skip them by one search."""
+    return lambda body: where_held(body, rules, "<", *marks)
 
 
 @lru_cache(maxsize=32)
@@ -80,7 +91,7 @@ def _steps(app: str, form: str, fmt: str, lookups: tuple[str, ...]) -> list[Colu
     given = [F.col(c) if c in lookups else None for c in ("link_pages", "link_spaces", "project")]
     steps = _export_steps() if form == "export" else _site_steps(fmt, *given)
     steps += [
-        lambda body: convert_lists(body, fmt == "textile"),
+        _held(lambda body: convert_lists(body, fmt == "textile")),
         fold_titles,
         lambda body: _tail(body, form, fmt),
         unescape,

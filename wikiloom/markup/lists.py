@@ -27,6 +27,7 @@ from wikiloom.markup.marks import (
     NEWLINE_MARK,
     TITLE_CLOSE,
     TITLE_OPEN,
+    swap,
 )
 from wikiloom.markup.nesting import depth, rewrite_nested
 
@@ -125,7 +126,7 @@ def convert_lists(body: Column, textile: bool) -> Column:
     done = bind(body, rounds)
     done = bind(done, lambda text: leftover(text, "ul", "ol"))
     done = bind(done, lambda text: leftover(text, "ol", "ul"))
-    done = F.translate(done, LINES_OPEN + LINES_CLOSE, "\n\n")
+    done = swap(done, LINES_OPEN + LINES_CLOSE, "\n\n")
     return bind(body, lambda text: F.when(has(text, rf"<{_LIST}\b"), done).otherwise(text))
 
 

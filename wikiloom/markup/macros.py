@@ -10,13 +10,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from wikiloom.functions.keys import file_name
-from wikiloom.functions.text import bind, group, has, one_line, rewrite, strip, sub
+from wikiloom.functions.text import bind, group, has, one_line, rewrite, strip, sub, upto, where_held
 from wikiloom.markup.marks import (
     COLUMN_CLOSE,
     COLUMN_OPEN,
     NEWLINE_MARK,
     armour,
     armoured,
+    swap,
     title_mark,
 )
 from wikiloom.markup.nesting import rewrite_nested
@@ -85,7 +86,8 @@ def rich_body(macro: Column) -> Column:
 
 
 def plain_body(macro: Column) -> Column:
-    return armour(group(macro, r"(?s)<ac:plain-text-body>(.*?)</ac:plain-text-body>"))
+    closing = "</ac:plain-text-body>"
+    return armour(group(macro, f"<ac:plain-text-body>({upto(closing)}){closing}"))
 
 
 def attribute(element: Column, name: str) -> Column:
@@ -95,7 +97,8 @@ def attribute(element: Column, name: str) -> Column:
 def prepare(body: Column) -> Column:
     """Lift literal bodies out of reach of all rules and open self-closed macros."""
     cdata = (
-        r"(?s)<ac:plain-text-body>\s*<!\[CDATA\[(.*?)\]\]>\s*</ac:plain-text-body>"
+        r"(?s)<ac:plain-text-body>\s*<!\[CDATA\[((?:[^\]]++|\](?!\]>\s*</ac:plain-text-body>))*+)"
+        r"\]\]>\s*</ac:plain-text-body>"
     )
     body = rewrite(
         body,
@@ -215,7 +218,7 @@ def _site_macro(fmt: str):
 
         between = rf"\s*{COLUMN_CLOSE}\s*{COLUMN_OPEN}\s*"
         columns = F.regexp_replace(content, between, "\n\n---\n\n")
-        columns = strip(F.translate(columns, COLUMN_OPEN + COLUMN_CLOSE, ""))
+        columns = strip(swap(columns, COLUMN_OPEN + COLUMN_CLOSE, ""))
 
         colour = from_map(STATUS_COLOURS, parameter(macro, "colour"), F.lit(""))
         label = parameter_or(macro, "title", "Status")
@@ -360,5 +363,5 @@ def _export_by_name(macro: Column, name: Column) -> Column:
 
 def convert_macros(body: Column, form: str, fmt: str) -> Column:
     replace = _export_macro if form == "export" else _site_macro(fmt)
-    done = rewrite_nested(prepare(body), MACRO, replace)
+    done = where_held(body, lambda b: rewrite_nested(prepare(b), MACRO, replace), f"<{MACRO}", "<ac:plain-text-body>")
     return sub(done, f"[{COLUMN_OPEN}{COLUMN_CLOSE}]", "", COLUMN_OPEN)
