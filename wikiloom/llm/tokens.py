@@ -91,16 +91,17 @@ class Encoder:
         self.kind = _kind(spec)
         self.known, self.parts = Known(), Memo()
         self.word = re.compile(rf"[{_LETTER}]+")
+        self.plain = rf"^[{_LETTER}]+$"
         vocab = self.library.get_vocab()
         self.edges = np.zeros(max(vocab.values(), default=0) + 1, dtype=bool)
         for token, i in vocab.items():
             self.edges[i] = token.startswith("Ġ") if self.kind == "byte" else token.endswith("</w>")
 
-    def _words(self, words: list[str], lead: str) -> list[bytes]:
+    def _words(self, words: list[str], lead: str) -> pa.Array:
         """Ids of plain words that follow the lead. They are joined, as a long text costs the
         library less, and parted at the tokens that begin or end a word."""
         if not words:
-            return []
+            return pa.array([], pa.large_binary())
         joined = [
             lead + " ".join(words[at : at + JOINED_WORDS]) for at in range(0, len(words), JOINED_WORDS)
         ]
@@ -113,8 +114,8 @@ class Encoder:
         firsts = edges[:-1:JOINED_WORDS]
         if len(edges) != len(words) + 1 or (firsts != starts[:-1]).any() or edges[-1] != len(ids):
             raise ValueError("joined words do not part as expected")
-        at = (edges * 4).tolist()
-        return [data[a:b] for a, b in zip(at, at[1:])]
+        bounds = pa.py_buffer((edges * 4).astype(np.int64).tobytes())
+        return pa.Array.from_buffers(pa.large_binary(), len(words), [None, bounds, pa.py_buffer(data)])
 
     def _each(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
@@ -167,7 +168,7 @@ class Encoder:
         place = self.known.find(pieces)
         new = pc.is_null(place)
         unknown = pieces.filter(new)
-        fresh = pa.array(self._learn(unknown.to_pylist(), " " if self.kind == "byte" else ""), pa.large_binary())
+        fresh = self._learn(unknown, " " if self.kind == "byte" else "")
         places = place.fill_null(0).to_numpy().copy()
         places[new.to_numpy(zero_copy_only=False)] = len(self.known.ids) + np.arange(len(fresh))
         each = places[coded.indices.to_numpy()]
@@ -182,34 +183,34 @@ class Encoder:
         whole = b"" if data is None else data.to_pybytes()
         return [whole[a:b] for a, b in zip(ends, ends[1:])]
 
-    def _learn(self, pieces: list[str], lead: str) -> list[bytes]:
-        """Ids of pieces. A piece is cut on: its head follows the lead, as plain words do,
-        and the parts behind the head follow other text."""
+    def _learn(self, pieces: pa.Array, lead: str) -> pa.Array:
+        """Ids of pieces; plain words are encoded as they are, others are cut on."""
+        plain = pc.match_substring_regex(pieces, self.plain)
+        words, others = pieces.filter(plain), pieces.filter(pc.invert(plain))
+        found = [self._words(words.to_pylist(), lead), self._others(others.to_pylist(), lead)]
+        order = np.empty(len(pieces), dtype=np.int64)
+        order[np.argsort(~plain.to_numpy(zero_copy_only=False), kind="stable")] = np.arange(len(pieces))
+        return pa.concat_arrays(found).take(pa.array(order))
+
+    def _others(self, pieces: list[str], lead: str) -> pa.Array:
+        """A piece's head follows the lead, as plain words do, and the parts behind the head follow other text."""
         plain = self.word.fullmatch
-        words = set(filter(plain, pieces))
-        split, others, heads = {}, set(), set()
+        split, words, others = [], set(), set()
         for piece in pieces:
-            if piece in words:
-                continue
             first, *rest = [lead + piece] if "<" in piece else _CUT.split(lead + piece)
             head = first[len(lead):]
-            (heads if plain(head) else others).add(head)
-            split[piece] = (head, rest)
-        heads = list(heads - words)
-        places = self.known.find(pa.array(heads, pa.large_string()))
-        found = {h: i for h, i in zip(heads, self.known.ids.take(places).to_pylist()) if i is not None}
-        parts = {part for _, rest in split.values() for part in rest}
+            (words if plain(head) else others).add(head)
+            split.append((head, rest))
+        parts = {part for _, rest in split for part in rest}
         parts = list(parts.difference(self.parts))
         self.parts.add(dict(zip(parts, self._each(parts))))
-        new = [*words, *[h for h in heads if h not in found]]
-        found.update(zip(new, self._words(new, lead)))
+        new = list(words)
+        found = dict(zip(new, self._words(new, lead).to_pylist()))
         new = list(others)
         found.update(zip(new, self._each([lead + head for head in new])))
         get = self.parts.__getitem__
-        for piece, (head, rest) in split.items():
-            if rest:
-                found[piece] = found[head] + b"".join(map(get, rest))
-        return [found[piece] for piece in pieces]
+        made = [found[head] + b"".join(map(get, rest)) if rest else found[head] for head, rest in split]
+        return pa.array(made, pa.large_binary())
 
 
 def _kind(spec: dict) -> str:
