@@ -181,6 +181,8 @@ class Encoder:
         _, offsets, data = ids.buffers()
         ends = np.frombuffer(offsets, np.int64, len(ids) + 1)[bounds].tolist()
         whole = b"" if data is None else data.to_pybytes()
+        del table, ids, data, offsets, coded, cut, place, each
+        pa.default_memory_pool().release_unused()  # several workers share an executor's memory
         return [whole[a:b] for a, b in zip(ends, ends[1:])]
 
     def _learn(self, pieces: pa.Array, lead: str) -> pa.Array:
