@@ -20,7 +20,7 @@ from wikiloom.llm.jaccard_join import jaccard_components  # noqa: E402
 from wikiloom.llm.outliers import quality  # noqa: E402
 from wikiloom.llm.pii import personal_data, redacted  # noqa: E402
 from wikiloom.llm.token_queries import packed  # noqa: E402
-from wikiloom.scale import landed  # noqa: E402
+from wikiloom.scale import landed, rows_among  # noqa: E402
 
 # Robust estimates, hashed shingles and token ids are not SQL; tests compare with brute force.
 ORACLE_SQL = None
@@ -59,9 +59,8 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def _kept(keyed: DataFrame, keep: DataFrame) -> DataFrame:
-    """Rows whose row keys are in the table of kept keys, which is written first."""
-    keep = landed(keep.select(ROW), "pipeline-keep")
-    return keyed.join(keep, ROW, "left_semi").drop(ROW)
+    """Rows whose row keys are in the table of kept keys, which is written first, as bitmaps."""
+    return rows_among(keyed, keep, ROW, "pipeline-keep").drop(ROW)
 
 
 def _first_of(keyed: DataFrame, groups: DataFrame, group: str) -> DataFrame:

@@ -87,3 +87,20 @@ def test_rows_of_files_are_keyed_in_place(spark, sf_dir, tmp_path):
     made = docs.withColumn("doc_id", F.explode(F.array("doc_id", F.lit(1).cast("long"))))
     assert corpus_pipeline._keyed(made).select(corpus_pipeline.ROW).distinct().count() == 2 * len(rows)
     assert corpus_pipeline._keyed(docs.limit(0)).count() == 0
+
+
+def test_texts_stay_where_they_are(spark, sf_dir, tmp_path):
+    """The keys of 60,000 kept rows would be past the limit for copies; as bitmaps they are not."""
+    path = str(tmp_path / "docs")
+    text = F.concat(F.lit("text "), F.xxhash64("id").cast("string"))
+    spark.range(60_000).select(F.col("id").alias("doc_id"), text.alias("text")).repartition(3).write.parquet(path)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64k")
+    try:
+        docs = spark.read.parquet(path)
+        kept = corpus_pipeline.exact_dedup(spark, docs, sf_dir)
+        assert kept.count() == 60_000
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning" not in plan and "SortMergeJoin" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -77,3 +77,18 @@ def test_checkpoint_folder_comes_from_the_session(spark):
     scale.ensure_checkpoint_dir(spark)
     named = spark.conf.get("spark.checkpoint.dir", None)
     assert named is None or named in spark.sparkContext.getCheckpointDir()
+
+
+def test_rows_among_by_bitmaps(spark):
+    places = [0, 1, 7, 8, 32767, 32768, (1 << 33) - 1, 1 << 33, (5 << 33) + 40000]
+    rows = spark.createDataFrame([(p, f"t{p}") for p in places], "row long, text string")
+    wanted = [0, 7, 32768, (1 << 33) - 1, 1 << 33, 99]
+    numbers = spark.createDataFrame([(p,) for p in wanted * 2], "row long")
+    kept = scale.rows_among(rows, numbers, "row", "test-among")
+    assert kept.columns == rows.columns
+    assert sorted(r["row"] for r in kept.collect()) == sorted(set(wanted) & set(places))
+    left = scale.rows_among(rows, numbers, "row", "test-among", among=False)
+    assert sorted(r["row"] for r in left.collect()) == sorted(set(places) - set(wanted))
+    none = numbers.where("row < 0")
+    assert scale.rows_among(rows, none, "row", "test-among").count() == 0
+    assert scale.rows_among(rows, none, "row", "test-among", among=False).count() == len(places)

@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 from wikiloom.llm.arrow import arrow_schema, slices
 from wikiloom.llm.components import components
 from wikiloom.llm.shingles import mix, shingle_sets
-from wikiloom.scale import landed, lookup
+from wikiloom.scale import landed, lookup, rows_among
 
 SHELL_RATIO = 1.3
 BUCKETS = 256
@@ -273,8 +273,9 @@ def one_per_point(rows: DataFrame, table: DataFrame, points: DataFrame) -> DataF
         table.select("point", "row"), several.drop("_n"), ["point"], ["row"], "inner",
         counts=several.select("point", "_n"),
     )
-    copies = landed(copies.where("row <> _kept").select("row"), "jaccard-copies")
-    return rows.select("row", "text").join(copies, "row", "left_anti")
+    return rows_among(
+        rows.select("row", "text"), copies.where("row <> _kept"), "row", "jaccard-copies", among=False
+    )
 
 
 def chunk_blocks(keys: np.ndarray, rows: np.ndarray, edges: np.ndarray):
@@ -500,10 +501,8 @@ def measured(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
     """
     ddl = "a long, b long, both long, either long"
     schema = arrow_schema(ddl)
-    wanted = landed(
-        pairs.select(F.col("a").alias("row")).union(pairs.select("b")).distinct(), "jaccard-wanted"
-    )
-    picked = landed(texts.join(wanted, "row", "left_semi"), "jaccard-picked")
+    wanted = pairs.select(F.col("a").alias("row")).union(pairs.select("b")).distinct()
+    picked = landed(rows_among(texts, wanted, "row", "jaccard-wanted"), "jaccard-picked")
 
     def sets_of(piece: pa.RecordBatch, point: str, text: str) -> list[np.ndarray]:
         points = piece.column(point).to_pylist()
@@ -608,7 +607,8 @@ def jaccard_components(
     members = region_members(shared)
     star = landed(members.select(F.col("pivot").alias("a"), F.col("point").alias("b")).distinct(), "jaccard-pairs")
     wanted = star.select(F.col("a").alias("row")).union(star.select("b")).distinct()
-    sketches = landed(table.select("row", "n", "sketch").join(wanted, "row"), "jaccard-sketches")
+    sketches = rows_among(table.select("row", "n", "sketch"), wanted, "row", "jaccard-sketched")
+    sketches = landed(sketches, "jaccard-sketches")
     members = distinct_regions(members)
 
     # The ball and the window of each pivot.

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 HOT_ROWS = 1_000_000
 _NULL_SALTS = 1 << 20
 _ROW_BITS = 33  # monotonically_increasing_id keeps the partition number above this bit
+_MAP_BITS = 15  # a bitmap of Spark holds 2**15 bits
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -189,6 +190,25 @@ def landed(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def rows_among(
+    df: DataFrame, numbers: DataFrame, row: str, name: str, among: bool = True
+) -> DataFrame:
+    """Rows of ``df`` whose number in the column ``row`` is one of ``numbers``, or those whose number is not.
+
+    Numbers (not negative, dense within files or partitions) are written as bitmaps of 2**15 rows each, a bit a row,
+    so Spark copies them to all tasks under its size limit and moves no rows of ``df`` for far more
+    rows than if the numbers were joined as they are. Beyond that limit rows are joined by bitmap.
+    """
+    block, place = F.shiftright(row, _MAP_BITS), F.col(row).bitwiseAND(F.lit((1 << _MAP_BITS) - 1))
+    # Dealt by bitmap first: else each task would send a part of each bitmap.
+    dealt = numbers.select(block.alias("_block"), place.alias("_place")).repartition("_block")
+    maps = landed(dealt.groupBy("_block").agg(F.bitmap_construct_agg("_place").alias("_bits")), name)
+    byte = F.substring("_bits", (place / 8).cast("int") + 1, F.lit(1))
+    bit = F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), (place % 8).cast("int"))
+    marked = df.withColumn("_block", block).join(maps, "_block", "inner" if among else "left")
+    return marked.where(bit == 1 if among else F.coalesce(bit, F.lit(0)) == 0).select(*df.columns)
+
+
 def spread_scan(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Deal out the rows of a file scan that has fewer splits than there are cores.
 
