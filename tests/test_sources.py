@@ -236,3 +236,12 @@ def test_added_children_follow_the_listing(spark):
         "p0": ("A", 0), "p1": ("A", 1), "q0": ("B", 0), "k0": ("A", 2), "k1": ("A", 3), "k2": ("A", 4),
         "k3": ("C", 0),
     }
+
+
+def test_objects_are_parsed_once(spark, tmp_path):
+    """The table that is read again and again holds parsed objects."""
+    page = '<object class="Page"><id name="id">1</id><property name="title">one</property></object>'
+    (tmp_path / "a.xml").write_text(f"<objects>{page}</objects>", encoding="utf-8")
+    table = export.read_objects(spark, str(tmp_path))
+    assert "from_xml" not in table._jdf.queryExecution().optimizedPlan().toString()
+    assert [(r.id, r.title) for r in export.export_pages(table).collect()] == [("1", "one")]

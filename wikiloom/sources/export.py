@@ -19,7 +19,8 @@ def read_objects(spark: SparkSession, path: str) -> DataFrame:
     A file is read as text that is split at ``</object>``, so any number of tasks read one file: a record
     belongs to the split in which it begins. A body may hold the same tag in a CDATA section; pieces
     of such an object are put together again before anything is parsed. Objects have a closing tag of
-    their own; bytes are UTF-8.
+    their own; bytes are UTF-8. The parsed objects are written, so that each is parsed once however often
+    its class is read.
     """
     text = spark.read.option("lineSep", _END).text(path)
     at = [
@@ -40,7 +41,7 @@ def read_objects(spark: SparkSession, path: str) -> DataFrame:
         "ord",
         F.from_xml(F.concat(F.substr("_piece", begun), F.lit(_END)), schemas.EXPORT_OBJECT).alias("o"),
     )
-    return objects.select("o.*", "ord")
+    return landed(objects.select("o.*", "ord"), "export-objects")
 
 
 def _left_open(piece: Column) -> Column:
