@@ -131,3 +131,13 @@ def test_pieces_beyond_the_bound_are_encoded_again(path, monkeypatch):
         assert [made.encode([row])[0] for row in rows] == expected
     assert len(made.known.pieces) == len(made.known.ids) <= 5
     assert made.encode([]) == []
+
+
+@pytest.mark.parametrize(("path", "lead"), [(BYTE, " "), (WORD, "")])
+def test_parts_met_again_are_kept_and_others_are_not(path, lead):
+    rows = ["x photograph, photograph.\nPhotograph zebra! photograph zqxj", "", "y the*** zwölf the*** <a, \x01b\x01."]
+    made = tokens.Encoder(path)
+    assert made.encode(rows) == made.encode(tokens.pa.array(rows)) == ids_of(path, rows)
+    made = tokens.Encoder(path)
+    made.encode(rows)
+    assert sorted(made.known.pieces.to_pylist()) == sorted([lead + "photograph", lead + "the***", lead + "the", "***"])

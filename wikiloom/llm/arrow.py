@@ -16,6 +16,11 @@ def arrow_schema(ddl: str) -> pa.Schema:
     return to_arrow_schema(StructType.fromDDL(ddl))
 
 
+def give_back() -> None:
+    """Return unused Arrow memory of this worker: it lives on after its task and shares an executor's memory."""
+    pa.default_memory_pool().release_unused()
+
+
 def slices(batch: pa.RecordBatch, column: str, most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch where the bytes of one column pass a bound; a longer value stands alone."""
     rows = batch.num_rows

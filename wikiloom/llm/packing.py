@@ -40,7 +40,7 @@ def encode_placed(
         part, place = TaskContext.get().partitionId(), 0
         for batch in batches:
             for piece in slices(batch, "_text", 1 << 22):
-                ids = [b + end for b in encode(piece.column("_text").to_pylist())]
+                ids = [b + end for b in encode(piece.column("_text"))]
                 n = np.array([len(b) // 4 for b in ids], dtype=np.int64)
                 ends = place + np.cumsum(n)
                 place = int(ends[-1])

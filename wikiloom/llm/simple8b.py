@@ -237,9 +237,9 @@ def write_token_files(
             )
 
         for batch in batches:
-            for piece in slices(batch, "text", 1 << 22):
-                texts = piece.column("text").to_pylist()
-                for doc, ids in zip(piece.column("doc_id").to_pylist(), encode(texts)):
+            for piece in slices(batch, "text", 1 << 23):
+                found = encode(piece.column("text"))
+                for doc, ids in zip(piece.column("doc_id").to_pylist(), found):
                     keys.append(doc)
                     held.append(ids + end)
                     size += len(ids) // 4 + 1

@@ -18,17 +18,22 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-MEMO_PIECES = 400_000
-JOINED_WORDS = 128
+from wikiloom.llm.arrow import give_back
+
+MEMO_PIECES = 150_000
+JOINED_WORDS = 64
 KEPT_LENGTH = 64
 
 # Places where neither supported pre-tokenizer joins: a letter before a sign or a line break, a sign
 # before a line break, and a line break between a letter or sign and a letter.
 _LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
 _SIGN = r",.;:!?#*$%&|)"
-_CUT = re.compile(
-    rf"(?<=[{_LETTER}])(?=[{_SIGN}\n])|(?<=[{_SIGN}])(?=\n)|(?<=[{_LETTER}{_SIGN}]\n)(?=[{_LETTER}])"
-)
+_PART = "\x01"  # stands at such a place
+_CUTS = [
+    (f"([{_LETTER}])([{_SIGN}\n])", f"\\1{_PART}\\2"),
+    (f"([{_SIGN}])\n", f"\\1{_PART}\n"),
+    (f"{_PART}\n([{_LETTER}])", f"{_PART}\n{_PART}\\1"),
+]
 _SPACES = [chr(c) for c in range(0x3001) if chr(c).isspace()]
 _SPACE_RUNS = [s + " " for s in _SPACES]
 _AFTER_TEXT = re.compile(r"(?<!\s) ")
@@ -39,27 +44,6 @@ _WORD_ODD = "[" + "".join(f"\\x{{{ord(s):x}}}" for s in _SPACES if not "\t" <= s
 _PLAIN_SPACE = re.compile("[" + "".join(s for s in _SPACES if not "\x1c" <= s <= "\x1f") + "]+")
 
 
-class Memo(dict):
-    """Pieces kept up to a bound; those of the current batch beyond it are in ``extra``."""
-
-    def __init__(self) -> None:
-        super().__init__()
-        self.extra: dict[str, bytes] = {}
-
-    def __missing__(self, key: str) -> bytes:
-        return self.extra[key]
-
-    def add(self, found: dict[str, bytes]) -> None:
-        room = MEMO_PIECES - len(self)
-        self.extra = {}
-        for key, value in found.items():
-            if room > 0 and len(key) <= KEPT_LENGTH:
-                self[key] = value
-                room -= 1
-            else:
-                self.extra[key] = value
-
-
 class Known:
     """Pieces and their ids as two Arrow arrays, kept up to a bound, so that a batch is looked up at once."""
 
@@ -72,7 +56,7 @@ class Known:
         return pc.index_in(pieces, value_set=self.pieces)
 
     def add(self, pieces: pa.Array, ids: pa.Array) -> None:
-        """Keep new pieces, each given once."""
+        """Keep new pieces."""
         short = pc.less_equal(pc.utf8_length(pieces), KEPT_LENGTH)
         room = MEMO_PIECES - len(self.pieces)
         if room > 0 and len(pieces):
@@ -80,6 +64,14 @@ class Known:
             self.ids = pa.concat_arrays([self.ids, ids.filter(short)[:room]])
 
 
+def _strung(ids: pa.Array, bounds: np.ndarray) -> pa.Array:
+    """Binary values between bounds, each run of them one behind the other as one value."""
+    _, offsets, data = ids.buffers()
+    ends = np.frombuffer(offsets, np.int64, len(ids) + 1, 8 * ids.offset)[bounds]
+    data = pa.py_buffer(b"") if data is None else data
+    return pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(ends), data])
+
+
 class Encoder:
     def __init__(self, path: str) -> None:
         with open(path, encoding="utf-8") as file:
@@ -89,22 +81,21 @@ class Encoder:
         self.library.no_padding()
         self.marks = [t["content"] for t in spec["added_tokens"]]
         self.kind = _kind(spec)
-        self.known, self.parts = Known(), Memo()
-        self.word = re.compile(rf"[{_LETTER}]+")
-        self.plain = rf"^[{_LETTER}]+$"
+        self.known = Known()
+        self.lead = " " if self.kind == "byte" else ""
+        self.plain = rf"^{self.lead}[{_LETTER}]+$"
         vocab = self.library.get_vocab()
         self.edges = np.zeros(max(vocab.values(), default=0) + 1, dtype=bool)
         for token, i in vocab.items():
             self.edges[i] = token.startswith("Ġ") if self.kind == "byte" else token.endswith("</w>")
 
-    def _words(self, words: list[str], lead: str) -> pa.Array:
-        """Ids of plain words that follow the lead. They are joined, as a long text costs the
+    def _words(self, words: list[str]) -> pa.Array:
+        """Ids of plain words with their lead. They are joined, as a long text costs the
         library less, and parted at the tokens that begin or end a word."""
         if not words:
             return pa.array([], pa.large_binary())
-        joined = [
-            lead + " ".join(words[at : at + JOINED_WORDS]) for at in range(0, len(words), JOINED_WORDS)
-        ]
+        gap = "" if self.lead else " "
+        joined = [gap.join(words[at : at + JOINED_WORDS]) for at in range(0, len(words), JOINED_WORDS)]
         found = self._each(joined)
         data = b"".join(found)
         ids = np.frombuffer(data, "<u4")
@@ -131,17 +122,15 @@ class Encoder:
             return [piece for piece in _PLAIN_SPACE.split(text) if piece]
         return text.split()
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
+        column = texts.cast(pa.large_string()) if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())
         if self.kind == "whole":
-            return self._each(texts)
-        if not texts:
-            return []
-        column = pa.array(texts, pa.large_string())
+            return self._each(column.to_pylist())
         odd = pc.match_substring_regex(column, _BYTE_ODD if self.kind == "byte" else _WORD_ODD)
-        if not pc.any(odd).as_py():
+        if not pc.any(odd, min_count=0).as_py():
             return self._joined(self._split(column))
-        out: list[bytes] = [b""] * len(texts)
+        out: list[bytes] = [b""] * len(column)
         for rows, split in ((pc.invert(odd), self._split), (odd, self._split_odd)):
             found = self._joined(split(column.filter(rows)))
             for at, ids in zip(pc.indices_nonzero(rows).to_pylist(), found):
@@ -161,58 +150,77 @@ class Encoder:
             return []
         bounds = cut.offsets.to_numpy() - cut.offsets[0].as_py()
         coded = cut.flatten().dictionary_encode()
-        pieces = coded.dictionary
-        if self.kind == "byte":
+        pieces, each = coded.dictionary, coded.indices.to_numpy()
+        if self.lead:
             # The first piece of a text follows no blank.
             heads = self._each(pc.list_element(cut, 0).to_pylist())
+            lead, nothing = (pa.scalar(text, pa.large_string()) for text in (self.lead, ""))
+            pieces = pc.binary_join_element_wise(lead, pieces, nothing)
+        table = [self._found(pieces, np.bincount(each, minlength=len(pieces)))]
+        if self.lead:
+            each = each.copy()
+            each[bounds[:-1]] = len(pieces) + np.arange(len(heads))
+            table.append(pa.array(heads, pa.large_binary()))
+        ids = _strung(pa.concat_arrays(table).take(pa.array(each)), bounds)
+        found = ids.to_pylist()
+        del table, ids, coded, cut, each
+        give_back()
+        return found
+
+    def _found(self, pieces: pa.Array, counts: np.ndarray) -> pa.Array:
+        """Ids of distinct pieces, which occur so many times. New ones are cut on, and their distinct parts looked
+        up in turn; those met more than once are kept, as most others never come again."""
         place = self.known.find(pieces)
         new = pc.is_null(place)
-        unknown = pieces.filter(new)
-        fresh = self._learn(unknown, " " if self.kind == "byte" else "")
-        places = place.fill_null(0).to_numpy().copy()
-        places[new.to_numpy(zero_copy_only=False)] = len(self.known.ids) + np.arange(len(fresh))
-        each = places[coded.indices.to_numpy()]
-        table = [self.known.ids, fresh]
-        if self.kind == "byte":
-            each[bounds[:-1]] = len(self.known.ids) + len(fresh) + np.arange(len(heads))
-            table.append(pa.array(heads, pa.large_binary()))
-        ids = pa.concat_arrays(table).take(pa.array(each))
-        self.known.add(unknown, fresh)
-        _, offsets, data = ids.buffers()
-        ends = np.frombuffer(offsets, np.int64, len(ids) + 1)[bounds].tolist()
-        whole = b"" if data is None else data.to_pybytes()
-        del table, ids, data, offsets, coded, cut, place, each
-        pa.default_memory_pool().release_unused()  # several workers share an executor's memory
-        return [whole[a:b] for a, b in zip(ends, ends[1:])]
-
-    def _learn(self, pieces: pa.Array, lead: str) -> pa.Array:
-        """Ids of pieces; plain words are encoded as they are, others are cut on."""
-        plain = pc.match_substring_regex(pieces, self.plain)
-        words, others = pieces.filter(plain), pieces.filter(pc.invert(plain))
-        found = [self._words(words.to_pylist(), lead), self._others(others.to_pylist(), lead)]
-        order = np.empty(len(pieces), dtype=np.int64)
-        order[np.argsort(~plain.to_numpy(zero_copy_only=False), kind="stable")] = np.arange(len(pieces))
-        return pa.concat_arrays(found).take(pa.array(order))
+        rows = np.flatnonzero(new.to_numpy(zero_copy_only=False))
+        if not len(rows):
+            return self.known.ids.take(place)
+        unknown, times = pieces.filter(new), counts[rows]
+        cut = self._cut_on(unknown)
+        bounds = cut.offsets.to_numpy() - cut.offsets[0].as_py()
+        coded = cut.flatten().dictionary_encode()
+        parts, each = coded.dictionary, coded.indices.to_numpy()
+        at = self.known.find(parts)
+        fresh = parts.filter(pc.is_null(at))
+        made = self._encoded(fresh)
+        places = at.fill_null(0).to_numpy().copy()
+        unmet = at.is_null().to_numpy(zero_copy_only=False)
+        places[unmet] = len(self.known.ids) + np.arange(len(fresh))
+        ids = pa.concat_arrays([self.known.ids, made]).take(pa.array(places[each]))
+        whole = _strung(ids, bounds)
+        out = place.fill_null(0).to_numpy().copy()
+        out[rows] = len(self.known.ids) + np.arange(len(rows))
+        out = pa.concat_arrays([self.known.ids, whole]).take(pa.array(out))
+        often = np.bincount(each, np.repeat(times, np.diff(bounds)), len(parts))[unmet] > 1
+        self.known.add(fresh.filter(pa.array(often)), made.filter(pa.array(often)))
+        several = pa.array((times > 1) & (np.diff(bounds) > 1))
+        self.known.add(unknown.filter(several), whole.filter(several))
+        return out
 
-    def _others(self, pieces: list[str], lead: str) -> pa.Array:
-        """A piece's head follows the lead, as plain words do, and the parts behind the head follow other text."""
-        plain = self.word.fullmatch
-        split, words, others = [], set(), set()
-        for piece in pieces:
-            first, *rest = [lead + piece] if "<" in piece else _CUT.split(lead + piece)
-            head = first[len(lead):]
-            (words if plain(head) else others).add(head)
-            split.append((head, rest))
-        parts = {part for _, rest in split for part in rest}
-        parts = list(parts.difference(self.parts))
-        self.parts.add(dict(zip(parts, self._each(parts))))
-        new = list(words)
-        found = dict(zip(new, self._words(new, lead).to_pylist()))
-        new = list(others)
-        found.update(zip(new, self._each([lead + head for head in new])))
-        get = self.parts.__getitem__
-        made = [found[head] + b"".join(map(get, rest)) if rest else found[head] for head, rest in split]
-        return pa.array(made, pa.large_binary())
+    def _cut_on(self, pieces: pa.Array) -> pa.Array:
+        """Parts of pieces, between which no pre-tokenizer joins; pieces that may hold a mark are left whole."""
+        marked = pieces
+        for pattern, parted in _CUTS:
+            marked = pc.replace_substring_regex(marked, pattern, parted)
+        kept = pc.match_substring_regex(pieces, f"[<{_PART}]")
+        cut = pc.split_pattern(pc.if_else(kept, "", marked), _PART)
+        if not pc.any(kept).as_py():
+            return cut
+        flat, firsts = cut.flatten(), cut.offsets.to_numpy()[:-1] - cut.offsets[0].as_py()
+        places = np.arange(len(flat))
+        rows = np.flatnonzero(kept.to_numpy(zero_copy_only=False))
+        places[firsts[rows]] = len(flat) + np.arange(len(rows))
+        flat = pa.concat_arrays([flat, pieces.filter(kept)]).take(pa.array(places))
+        return pa.ListArray.from_arrays(cut.offsets, flat)
+
+    def _encoded(self, parts: pa.Array) -> pa.Array:
+        """Ids of parts by the library; plain words are joined."""
+        plain = pc.match_substring_regex(parts, self.plain)
+        words, others = parts.filter(plain), parts.filter(pc.invert(plain))
+        found = [self._words(words.to_pylist()), pa.array(self._each(others.to_pylist()), pa.large_binary())]
+        order = np.empty(len(parts), dtype=np.int64)
+        order[np.argsort(~plain.to_numpy(zero_copy_only=False), kind="stable")] = np.arange(len(parts))
+        return pa.concat_arrays(found).take(pa.array(order))
 
 
 def _kind(spec: dict) -> str:
