@@ -14,6 +14,7 @@ from wikiloom.llm.cqf import build_block, exact_groups, merge_sorted, read_block
 from wikiloom.llm.jaccard_join import (
     Shells, chunk_blocks, folded, from_varints, jaccard_components, near_pairs, shared_keys, sketch_of, varints,
 )
+from wikiloom.llm import shingles
 from wikiloom.llm.shingles import shingle_sets
 
 HARD = [
@@ -197,3 +198,13 @@ def test_components(spark):
 def test_shingles_of_case_and_space():
     a, b, c = shingle_sets(["A b\x0bC d", "a B c\rD", "a b c é"], 3)
     assert (a == b).all() and len(a) == 2 and len(np.intersect1d(a, c)) == 1
+
+
+def test_tables_that_a_worker_keeps_are_small(monkeypatch):
+    monkeypatch.setattr(shingles, "_kept", [])
+    long = "ab cd ef " * 300_000
+    whole = shingle_sets([long], 2)[0].tolist()
+    assert sum(t.nbytes for t in shingles._kept) <= 16 << 20
+    part = long[: shingles.SLICE - 1]
+    assert shingle_sets([part], 2)[0].tolist() == whole
+    assert 0 < sum(t.nbytes for t in shingles._kept) <= 16 << 20

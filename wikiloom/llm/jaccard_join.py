@@ -45,9 +45,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wikiloom.llm.arrow import arrow_schema, slices
+from wikiloom.llm.arrow import arrow_schema, give_back, slices
 from wikiloom.llm.components import components
-from wikiloom.llm.shingles import mix, shingle_sets
+from wikiloom.llm.shingles import SLICE, mix, shingle_sets
 from wikiloom.scale import landed, lookup, rows_among
 
 SHELL_RATIO = 1.3
@@ -248,7 +248,7 @@ def described(rows: DataFrame, words: int, percent: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shells = Shells(percent)
         for batch in batches:
-            for piece in slices(batch, "text", 1 << 21):
+            for piece in slices(batch, "text", SLICE):
                 sets = shingle_sets(piece.column("text").to_pylist(), words)
                 most = [sum(shells.parts(k)[0] for k in shells.of(len(s))) if len(s) else 0 for s in sets]
                 yield pa.RecordBatch.from_arrays(
@@ -262,6 +262,7 @@ def described(rows: DataFrame, words: int, percent: int) -> DataFrame:
                     ],
                     schema=schema,
                 )
+        give_back()
 
     return rows.select("doc_id", "row", "text").mapInArrow(run, ddl)
 
@@ -343,7 +344,7 @@ def shared_regions(texts: DataFrame, words: int, percent: int, most: int) -> Dat
             )
 
         for batch in batches:
-            for piece in slices(batch, "text", 1 << 21):
+            for piece in slices(batch, "text", SLICE):
                 sets = shingle_sets(piece.column("text").to_pylist(), words)
                 for row, points in zip(piece.column("row").to_pylist(), sets):
                     if not len(points):
@@ -358,6 +359,7 @@ def shared_regions(texts: DataFrame, words: int, percent: int, most: int) -> Dat
                     size += len(found)
         if keys:
             yield flush()
+        give_back()
 
     out = "region long, point long"
     out_schema = arrow_schema(out)
@@ -512,8 +514,8 @@ def measured(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for half in slices(batch, "_s", 1 << 21):
-                for piece in slices(half, "_t", 1 << 21):
+            for half in slices(batch, "_s", SLICE // 2):
+                for piece in slices(half, "_t", SLICE // 2):
                     left, right = sets_of(piece, "a", "_s"), sets_of(piece, "b", "_t")
                     both = [len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(left, right)]
                     either = [len(x) + len(y) - k for x, y, k in zip(left, right, both)]

@@ -15,7 +15,8 @@ _BASE = 0x9E3779B97F4A7C15
 _BASE_INVERSE = pow(_BASE, -1, 2**64)
 _IS_SPACE = np.zeros(256, dtype=bool)
 _IS_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
-KEPT_POWERS = 1 << 22
+SLICE = 1_000_000  # bytes of texts that are hashed at once; arrays and tables have eight times as many
+KEPT_POWERS = 1 << 20  # tables that a worker keeps: enough for a slice and its line breaks
 _kept: list[np.ndarray] = []
 
 
