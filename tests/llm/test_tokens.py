@@ -141,3 +141,15 @@ def test_parts_met_again_are_kept_and_others_are_not(path, lead):
     made = tokens.Encoder(path)
     made.encode(rows)
     assert sorted(made.known.pieces.to_pylist()) == sorted([lead + "photograph", lead + "the***", lead + "the", "***"])
+
+
+def test_texts_are_packed_in_short_batches(spark, monkeypatch):
+    """Python gets some megabytes at a time, and the session's own bound holds again afterwards."""
+    from wikiloom.llm import packing
+
+    sizes = []
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    monkeypatch.setattr(packing, "landed", lambda df, table: sizes.append(spark.conf.get(name)) or df)
+    packing.pack_documents(hard(spark), WORD, 1).count()
+    assert sizes == [str(4 << 20)] and spark.conf.get(name) == before

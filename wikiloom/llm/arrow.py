@@ -3,19 +3,34 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 BATCH_BYTES = 16 << 20
+SHORT_BYTES = 4 << 20
 
 
 def arrow_schema(ddl: str) -> pa.Schema:
     return to_arrow_schema(StructType.fromDDL(ddl))
 
 
+@contextmanager
+def short_batches(spark: SparkSession) -> Iterator[None]:
+    """Texts that are written within go to Python in batches of some megabytes, as batches lie in the memory of both
+    processes of each task, beside Spark's own."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(SHORT_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def give_back() -> None:
     """Return unused Arrow memory of this worker: it lives on after its task and shares an executor's memory."""
     pa.default_memory_pool().release_unused()

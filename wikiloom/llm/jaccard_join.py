@@ -45,7 +45,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wikiloom.llm.arrow import arrow_schema, give_back, slices
+from wikiloom.llm.arrow import arrow_schema, give_back, short_batches, slices
 from wikiloom.llm.components import components
 from wikiloom.llm.shingles import SLICE, mix, shingle_sets
 from wikiloom.scale import landed, lookup, rows_among
@@ -594,7 +594,8 @@ def jaccard_components(
         F.col(key).alias("doc_id"), F.col(text).cast("string").alias("text"), number.alias("row")
     )
     rows = landed(rows, "jaccard-rows") if row is None else rows
-    table = landed(described(rows, words, percent), "jaccard-texts")
+    with short_batches(rows.sparkSession):
+        table = landed(described(rows, words, percent), "jaccard-texts")
     points = landed(
         table.where(F.col("point").isNotNull())
         .groupBy("point").agg(
@@ -605,7 +606,8 @@ def jaccard_components(
     )
     most = points.agg(F.sum("most")).first()[0] or 0
     texts = one_per_point(rows, table, points)
-    shared = landed(shared_regions(texts, words, percent, most), "jaccard-shared")
+    with short_batches(rows.sparkSession):
+        shared = landed(shared_regions(texts, words, percent, most), "jaccard-shared")
     members = region_members(shared)
     star = landed(members.select(F.col("pivot").alias("a"), F.col("point").alias("b")).distinct(), "jaccard-pairs")
     wanted = star.select(F.col("a").alias("row")).union(star.select("b")).distinct()

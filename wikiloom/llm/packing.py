@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wikiloom.llm.arrow import arrow_schema, slices
+from wikiloom.llm.arrow import arrow_schema, short_batches, slices
 from wikiloom.llm.tokens import encoder
 from wikiloom.scale import landed
 
@@ -68,7 +68,8 @@ def pack_documents(
     are one row per partition; the driver adds them up.
     """
     spark = docs.sparkSession
-    placed = landed(encode_placed(docs, tokenizer, end_id, text, key), "packing-ids")
+    with short_batches(spark):
+        placed = landed(encode_placed(docs, tokenizer, end_id, text, key), "packing-ids")
     sums = placed.groupBy("part").agg(F.max(F.col("place") + F.col("n")).alias("n")).collect()
     starts, total = [], 0
     for row in sorted(sums, key=lambda r: r["part"]):
