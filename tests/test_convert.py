@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import html
+import re
 from html.entities import html5
 
 import pytest
 from pyspark.sql import functions as F
 
 from wikiloom.catalog.markup import link, macro, par, plain, rich
+from wikiloom.functions import text
 from wikiloom.functions.text import unescape, where_held
+from wikiloom.markup import html as html_rules
 from wikiloom.markup import marks
 from wikiloom.markup.convert import convert_pages, with_link_targets
 
@@ -250,3 +253,15 @@ def test_code_up_to_its_first_closing_tag(spark):
     )
     assert converted(spark, [body]) == ["```\na ]] ]]> </b>\n<i>\n```\n\n# x ** **3**"]
     assert converted(spark, ["<h1>a<h1>b</h1>c</h1>", "<b>a<b>c</b>"]) == ["# ab\nc", "**ac**"]
+
+
+def test_white_space_at_ends_goes_by_literal_searches(spark):
+    """Bodies and emphasis: every white space character at both ends, and marks without a partner."""
+    white = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
+    rows = [f"{white}a{white}b{white}", *[f"{c}<b>a\n{c} b{c}</b>{c}" for c in white]]
+    out = [r["t"] for r in spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "i int, s string").select(
+        "i", text.strip_long(F.col("s")).alias("t")).orderBy("i").collect()]
+    assert out == [r.strip() for r in rows]
+    assert re.fullmatch(f"[{text.SPACE}]+", white)
+    plan = str(html_rules.finish(F.col("b"), "markdown")._jc)
+    assert f"[{marks.BOLD_OPEN}{marks.BOLD_CLOSE}]" not in plan

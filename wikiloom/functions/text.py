@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 # Character classes with the usual Unicode meaning of word, digit and white space.
 WORD = r"\p{L}\p{N}_"
 DIGIT = r"\p{Nd}"
-SPACE = r"\s\x1c-\x1f\x85\p{Z}"
+SPACE = r" \n\t\r\f\x0b\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"  # \s, \p{Z} and more
 
 # All white space characters, as the class above
 _SPACES = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
@@ -27,12 +27,24 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(_SPACES))
 
 
+def strip_long(text: Column) -> Column:
+    """The same for whole bodies: the end is trimmed only where it is white, as that search lists all places."""
+
+    def ends(body: Column) -> Column:
+        white = F.endswith(body, F.lit(_SPACES[0]))
+        for sign in _SPACES[1:]:
+            white = white | F.endswith(body, F.lit(sign))
+        return F.when(white, strip(body)).otherwise(F.ltrim(body, F.lit(_SPACES)))
+
+    return bind(text, ends)
+
+
 def drop_tags(text: Column) -> Column:
     return F.regexp_replace(text, "<[^>]+>", "")
 
 
 def one_line(text: Column) -> Column:
-    return strip(F.regexp_replace(text, rf"[{SPACE}]+", " "))
+    return F.trim(F.regexp_replace(text, rf"[{SPACE}]+", " "))
 
 
 def has(text: Column, pattern: str) -> Column:
