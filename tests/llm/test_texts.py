@@ -8,6 +8,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from wikiloom.llm import ordered
 from wikiloom.llm.chat import read_back, windows
 from wikiloom.llm.language import UNKNOWN, fit, identify
 from wikiloom.llm.outliers import quality
@@ -238,3 +239,36 @@ def test_revisits(spark):
         F.create_map(F.lit("date"), F.lit("2"), F.lit("X"), F.lit("no")))).first()[0]
     assert [tuple(h) for h in merged] == [("date", "2"), ("x", "x")]
     assert resolve_revisits(records.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("chunk", [2, 4])
+def test_revisits_of_many_levels(spark, monkeypatch, chunk):
+    """More records than three levels of chunks hold; the latest response may lie many chunks before."""
+    draw = random.Random(11)
+    rows = [(0, "e.org/0", 0, "response", "t", None, None)]
+    rows += [
+        (i, f"e.org/{draw.randrange(3)}", i, draw.choices(["response", "revisit"], [1, 20])[0], "t", None, None)
+        for i in range(1, 200)
+    ]
+    records = spark.createDataFrame(
+        rows, "record_id long, url string, ts long, kind string, etag string, digest string, headers map<string,string>"
+    )
+    latest, want = {}, {}
+    for i, url, _, kind, *_ in rows:
+        if kind == "response":
+            latest[url] = i
+        else:
+            want[i] = latest.get(url)
+    monkeypatch.setattr(ordered, "CHUNK", chunk)
+    assert {r["record_id"]: r["response_id"] for r in resolve_revisits(records).collect()} == want
+
+
+@pytest.mark.parametrize("keys", [[], ["k"]])
+def test_running_sums_of_many_levels(spark, monkeypatch, keys):
+    monkeypatch.setattr(ordered, "CHUNK", 3)
+    draw = random.Random(2)
+    rows = [(i // 40, i, draw.randrange(9)) for i in range(100)]
+    got = ordered.running_sum(spark.createDataFrame(rows, "k long, at long, v long"), keys, "at", "v", "sum", 100)
+    assert got.columns == ["k", "at", "v", "sum"]
+    want = {i: sum(v for l, j, v in rows if j < i and (l == k or not keys)) for k, i, _ in rows}
+    assert {r["at"]: r["sum"] for r in got.collect()} == want

@@ -24,16 +24,18 @@ def running(
     if rows <= CHUNK:
         window = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(index).rowsBetween(*before)
         return df.withColumn(name, gather(value).over(window))
-    placed = df.withColumn("_chunk", F.floor(F.col(index) / CHUNK).cast("long"))
-    window = Window.partitionBy(*keys, "_chunk").orderBy(index).rowsBetween(*before)
-    inner = placed.withColumn("_in", gather(value).over(window))
-    totals = placed.groupBy(*keys, "_chunk").agg(gather(value).alias("_total"))
-    totals = running(totals, keys, "_chunk", "_total", "_out", rows // CHUNK + 1, gather, join)
-    out = inner.join(totals.drop("_total"), [*keys, "_chunk"], "left")
-    both = F.when(F.col("_in").isNull(), F.col("_out")).when(
-        F.col("_out").isNull(), F.col("_in")
-    ).otherwise(join(F.col("_out"), F.col("_in")))
-    return out.withColumn(name, both).drop("_chunk", "_in", "_out")
+    # Each level has names of its own, as the columns of one are the input of the next.
+    chunk, inside, whole, outside = (f"{index}_{part}" for part in ("chunk", "in", "total", "out"))
+    placed = df.withColumn(chunk, F.floor(F.col(index) / CHUNK).cast("long"))
+    window = Window.partitionBy(*keys, chunk).orderBy(index).rowsBetween(*before)
+    inner = placed.withColumn(inside, gather(value).over(window))
+    totals = placed.groupBy(*keys, chunk).agg(gather(value).alias(whole))
+    totals = running(totals, keys, chunk, whole, outside, rows // CHUNK + 1, gather, join)
+    out = inner.join(totals.drop(whole), [*keys, chunk], "left")
+    both = F.when(F.col(inside).isNull(), F.col(outside)).when(
+        F.col(outside).isNull(), F.col(inside)
+    ).otherwise(join(F.col(outside), F.col(inside)))
+    return out.withColumn(name, both).drop(chunk, inside, outside)
 
 
 def running_sum(
