@@ -150,6 +150,19 @@ def test_chat_windows_keep_the_budget(spark):
     assert [r["n_turns"] - r["n_context"] for r in out if r["conv_id"] == 1] == [2, 1]
 
 
+def test_chat_sums_of_many_levels(spark, monkeypatch):
+    """More turns than three levels of chunks hold, in one long conversation among short ones."""
+    draw = random.Random(5)
+    sizes = {c: [draw.choice([3, 40, 300]) for _ in range(90 if c == 2 else 5)] for c in range(6)}
+    rows = [(c, n, "user" if n % 2 else "assistant", "w " * k) for c, all_ in sizes.items() for n, k in enumerate(all_)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    monkeypatch.setattr(ordered, "CHUNK", 4)
+    out = windows(turns).orderBy("conv_id", "window").collect()
+    for conv, all_ in sizes.items():
+        new = [r["n_turns"] - r["n_context"] for r in out if r["conv_id"] == conv]
+        assert new == plain_windows([k + 4 for k in all_], 2048 - 256)
+
+
 def test_quality(spark):
     words = [f"w{n}" for n in range(400)]
     rows = [(n, " ".join(words[n : n + 60 + n % 40]) + ".\nnew line", "en", "s") for n in range(150)]
