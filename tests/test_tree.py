@@ -79,3 +79,11 @@ def test_child_links_and_parent_titles(spark):
     )
     titles = {r.id: r.parent_title for r in tree.with_parent_title(frame).collect()}
     assert titles == {"p": None, "c0": "Top_001", "c1": "Top_001", "c2": "Top_001"}
+
+
+def test_size_estimates_stay_small_in_deep_trees(spark):
+    """The planner's estimate must not be multiplied from round to round, which takes the driver's memory."""
+    nodes = [(str(i), str(i - 1) if i else None, 0, i, "t") for i in range(200)]
+    paths = tree.tree_paths(spark.createDataFrame(nodes, SCHEMA), ["ord"])
+    assert paths._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().bit_length() < 100
+    assert {(r.id, r.depth) for r in paths.collect()} == {(str(i), i) for i in range(200)}

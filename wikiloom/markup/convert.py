@@ -129,6 +129,14 @@ def convert_pages(
     )
 
 
+def holds_targets(body: Column, with_spaces: bool = True) -> Column:
+    """Whether a body holds links to pages or, ``with_spaces``, to spaces, for which ``with_link_targets`` looks."""
+    linked = F.regexp_like(body, F.lit(_PAGE_ID))
+    if with_spaces:
+        linked = linked | F.regexp_like(body, F.lit(_DISPLAY_SPACE))
+    return linked
+
+
 def with_link_targets(
     bodies: DataFrame,
     keys: Sequence[str],
@@ -145,9 +153,7 @@ def with_link_targets(
     """
     keys = list(keys)
     page_map = "map<string, struct<title: string, project: string>>"
-    linked = F.regexp_like(body, F.lit(_PAGE_ID))
-    if spaces is not None:
-        linked = linked | F.regexp_like(body, F.lit(_DISPLAY_SPACE))
+    linked = holds_targets(F.col(body), spaces is not None)
     without = bodies.where(~linked | F.col(body).isNull()).withColumns(
         {
             "link_pages": F.lit(None).cast(page_map),

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wikiloom.scale import durable, listed_in_parts, lookup, with_index
+from wikiloom.scale import landed, listed_in_parts, lookup, with_index
 
 
 def with_parent_from_ancestors(pages: DataFrame) -> DataFrame:
@@ -43,7 +43,9 @@ def tree_paths(pages: DataFrame, sibling_order: Sequence[str]) -> DataFrame:
         "id", "parent_id", F.col("parent_id").alias("up"), F.array(key).alias("path"),
         F.lit(0).alias("depth"),
     )
-    rows = durable(rows)
+    # Written tables are planned by the size of their files. A checkpoint keeps the estimate of its plan, in which
+    # each join multiplies the sizes of its sides: within some rounds that number alone fills the driver.
+    rows = landed(rows, "tree-rows")
     waiting = rows.where("up IS NOT NULL").count()
     held = 1
     while waiting:
@@ -57,7 +59,7 @@ def tree_paths(pages: DataFrame, sibling_order: Sequence[str]) -> DataFrame:
             "id", "parent_id", F.col("_up").alias("up"), F.concat("_path", "path").alias("path"),
             (F.col("_depth") + F.col("depth") + 1).alias("depth"),
         )
-        rows = durable(rows.where("up IS NULL").unionByName(grown))
+        rows = landed(rows.where("up IS NULL").unionByName(grown), "tree-rows")
         held *= 2
         left = rows.where("up IS NOT NULL").count()
         if left == waiting:
@@ -76,7 +78,7 @@ def _ranked(rows: DataFrame) -> DataFrame:
     found = lookup(
         rows, ranks.select("path", "_rank"), ["path"], ["id"], "inner", counts=ranks.select("path", "_n")
     )
-    return durable(found.withColumn("path", F.array("_rank")).drop("_rank"))
+    return landed(found.withColumn("path", F.array("_rank")).drop("_rank"), "tree-ranked")
 
 
 def unreached_pages(pages: DataFrame, paths: DataFrame) -> DataFrame:

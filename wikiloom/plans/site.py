@@ -11,6 +11,7 @@ from wikiloom.functions.keys import file_name
 from wikiloom.markup.convert import (
     convert_pages,
     current_comment,
+    holds_targets,
     old_comment,
     page_text,
     version_text,
@@ -18,7 +19,7 @@ from wikiloom.markup.convert import (
 )
 from wikiloom.operators import mapping, pages as page_ops, tree, versions as version_ops
 from wikiloom.operators.links import page_images, page_map
-from wikiloom.scale import landed, lookup
+from wikiloom.scale import landed, lookup, scratch_path
 
 
 @dataclass
@@ -41,8 +42,9 @@ class SiteTables:
 
 def moved_pages(tables: SiteTables) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Pages of spaces with a project, with parents and push order; link targets; the space map."""
-    mapped = mapping.space_map(tables.spaces, tables.projects, tables.entries)
-    homes = mapping.with_project(mapped).join(tables.spaces.select("key", "ord"), "key")
+    # The map and the homes have a row per space; what follows would plan and make them again each time.
+    mapped = landed(mapping.space_map(tables.spaces, tables.projects, tables.entries), "space-map")
+    homes = landed(mapping.with_project(mapped).join(tables.spaces.select("key", "ord"), "key"), "homes")
     # Titles are made once; what follows reads them many times.
     targets = landed(page_map(tables.pages, homes), "targets")
     rooted = tree.with_parent_from_ancestors(tables.pages).drop("ancestors", "space_key")
@@ -65,33 +67,43 @@ def revisions(tables: SiteTables, fmt: str = "markdown", newest: int = 0) -> Dat
     """One row per page revision in push order: old versions from oldest to newest, then the page.
 
     All bodies, old and current, go through one conversion. They are written once beside their
-    keys, since finding link targets reads them several times.
+    keys, since finding link targets reads them several times; those with such links are written again
+    beside the first ones with what was found, so that one scan reads all of them and the conversion is planned once.
     """
     moved, targets, mapped = moved_pages(tables)
     placed = version_ops.history(tables.versions.select("page_id", "number"))
-    kept = version_ops.capped(placed, newest)
-    old = kept.join(tables.version_bodies, ["page_id", "number"]).select(
-        "page_id", "number", "position", "total", "body", "author", "when",
-        F.lit(False).alias("is_current"),
-    )
-    now = tables.current_bodies.select(
-        "page_id",
-        F.lit(None).cast("int").alias("number"),
-        F.lit(None).cast("long").alias("position"),
-        F.lit(None).cast("long").alias("total"),
-        "body", "author", "when",
-        F.lit(True).alias("is_current"),
-    )
     about = moved.select(
         F.col("id").alias("page_id"), "title", "wiki_title", "project", "parent_title", "push_ord"
     )
-    bodies = old.withColumn("number", F.col("number").cast("int")).unionByName(now)
     children = tree.child_macro(moved.select("id", "parent_id")).withColumnRenamed("id", "page_id")
-    spread = ["number", "is_current"]
-    keyed = lookup(bodies, about.join(children, "page_id", "left"), ["page_id"], spread, "inner")
+    about = about.join(children, "page_id", "left")
+    # What is known of the page goes to the narrow rows of old versions, so their bodies are moved once.
+    kept = version_ops.capped(placed, newest).select("page_id", "number", "position", "total")
+    old = lookup(kept, about, ["page_id"], ["number"], "inner").join(
+        tables.version_bodies, ["page_id", "number"]
+    ).withColumns({"number": F.col("number").cast("int"), "is_current": F.lit(False)})
+    now = lookup(tables.current_bodies, about, ["page_id"], ["when"], "inner").withColumns({
+        "number": F.lit(None).cast("int"),
+        "position": F.lit(None).cast("long"),
+        "total": F.lit(None).cast("long"),
+        "is_current": F.lit(True),
+    })
+    columns = [
+        "page_id", "number", "position", "total", "body", "author", "when", "is_current",
+        *[c for c in about.columns if c != "page_id"],
+    ]
     # Revision number -1 stands for the current body in the key.
-    keyed = landed(keyed.withColumn("_revision", F.coalesce("number", F.lit(-1))), "revisions")
-    linked = with_link_targets(keyed, ["page_id", "_revision"], targets, mapped)
+    keyed = old.select(*columns).unionByName(now.select(*columns)).withColumn(
+        "_revision", F.coalesce("number", F.lit(-1))
+    )
+    keyed = keyed.withColumn("_links", F.when(holds_targets(F.col("body")), "raw").otherwise("none"))
+    spark, path = keyed.sparkSession, scratch_path(keyed.sparkSession, "revisions")
+    keyed.write.partitionBy("_links").parquet(path)
+    raw = spark.read.schema(keyed.schema).parquet(path).where("_links = 'raw'")
+    linked = with_link_targets(raw.drop("_links"), ["page_id", "_revision"], targets, mapped)
+    linked = linked.withColumn("_links", F.lit("found"))
+    linked.write.mode("append").partitionBy("_links").parquet(path)
+    linked = spark.read.schema(linked.schema).parquet(path).where("_links <> 'raw'").drop("_links")
     rows = convert_pages(linked, fmt)
     current = F.col("is_current")
     return rows.select(
